@@ -536,7 +536,7 @@ def o50_ingest_stream(spark, sf_dir):
         keyed = turns.withColumn("record_id", F.col("conv_id") * views.TURNS + F.col("turn"))
         shards.ingest_stream(keyed, sink, checkpoint)
     stored = T.StructType([*schemas.CONVERSATIONS.fields, T.StructField("record_id", T.LongType())])
-    return tables.read_dataset(spark, sink, stored)
+    return tables.read_dataset(spark, sink, stored).drop("batch_id")
 
 
 @query
