@@ -43,8 +43,9 @@ WHITE_SPACE = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 
-# A word token, after lower-casing.
+# A word token, after lower-casing, and what lies between two tokens.
 TOKEN_PATTERN = "[a-z0-9]+"
+TOKEN_GAP = "[^a-z0-9]+"
 
 # Request texts. Names in braces are columns.
 PROMPTS = {

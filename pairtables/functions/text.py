@@ -30,7 +30,7 @@ def is_empty(col: Column) -> Column:
 
 def tokens(col: Column) -> Column:
     """Lower-cased word tokens."""
-    return F.regexp_extract_all(F.lower(col), F.lit(fixed.TOKEN_PATTERN), F.lit(0))
+    return F.array_remove(F.split(F.lower(col), fixed.TOKEN_GAP), "")
 
 
 def _variant_is(value: Column, kind: str) -> Column:

@@ -84,24 +84,31 @@ def _bleu_stats() -> Column:
     return F.struct(*fields)
 
 
-def bleu_of(df: DataFrame, by: list[str]) -> DataFrame:
-    """Corpus BLEU of rows that hold ``bleu_stats``: counts are summed before they are divided."""
+def bleu_sums() -> list[Column]:
+    """Aggregates over ``bleu_stats``: counts are summed before they are divided."""
     names = ["target_tokens", "output_tokens"]
     names += [f"{kind}{n}" for kind in ("overlap", "grams") for n in range(1, _BLEU_N + 1)]
-    sums = df.groupBy(*by).agg(
-        *[F.sum(f"bleu_stats.{name}").alias(name) for name in names],
-        F.count("bleu_stats.output_tokens").alias("n"),
-    )
-    logs = sum((F.ln(F.col(f"overlap{n}") / F.col(f"grams{n}")) for n in range(1, _BLEU_N + 1)), F.lit(0.0))
-    brevity = F.when(F.col("output_tokens") > F.col("target_tokens"), F.lit(1.0)).otherwise(
-        F.exp(1 - F.col("target_tokens") / F.col("output_tokens"))
+    sums = [F.sum(f"bleu_stats.{name}").alias(f"_{name}") for name in names]
+    return [*sums, F.count("bleu_stats.output_tokens").alias("_bleu_n")]
+
+
+def bleu_of_sums() -> Column:
+    """Corpus BLEU from the columns of :func:`bleu_sums`."""
+    ratios = [F.col(f"_overlap{n}") / F.col(f"_grams{n}") for n in range(1, _BLEU_N + 1)]
+    logs = sum((F.ln(ratio) for ratio in ratios), F.lit(0.0))
+    brevity = F.when(F.col("_output_tokens") > F.col("_target_tokens"), F.lit(1.0)).otherwise(
+        F.exp(1 - F.col("_target_tokens") / F.col("_output_tokens"))
     )
-    all_hit = F.least(*[F.col(f"overlap{n}") for n in range(1, _BLEU_N + 1)]) > 0
-    bleu = F.when(all_hit, 100 * brevity * F.exp(logs / _BLEU_N)).otherwise(F.lit(0.0))
-    return sums.select(*by, bleu.alias("bleu"), "n")
+    all_hit = F.least(*[F.col(f"_overlap{n}") for n in range(1, _BLEU_N + 1)]) > 0
+    value = F.when(all_hit, 100 * brevity * F.exp(logs / _BLEU_N)).otherwise(F.lit(0.0))
+    return F.when(F.col("_bleu_n") > 0, value)
 
 
 def corpus_bleu(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Corpus BLEU, 0 to 100, with n-grams of 1 to 4 words and no smoothing."""
     stats = with_counts(df, max_n=_BLEU_N).withColumn("bleu_stats", _bleu_stats())
-    return bleu_of(stats, by or [])
+    return (
+        stats.groupBy(*(by or []))
+        .agg(*bleu_sums())
+        .select(*(by or []), bleu_of_sums().alias("bleu"), F.col("_bleu_n").alias("n"))
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairtables import fixed_values as fixed
-from pairtables.operators.lexical import lexical_scores
+from pairtables.operators.lexical import bleu_of_sums, bleu_sums, lexical_scores
 
 
 def score(df: DataFrame, scorers: dict[str, Column]) -> DataFrame:
@@ -16,25 +16,28 @@ def score(df: DataFrame, scorers: dict[str, Column]) -> DataFrame:
     return df.withColumns(scorers)
 
 
-def metric_means(df: DataFrame, metrics: dict[str, str], by: list[str] | None = None) -> DataFrame:
+def metric_means(
+    df: DataFrame, metrics: dict[str, str], by: list[str] | None = None, bleu: bool = False
+) -> DataFrame:
     """Mean and number of scored rows of every metric, as ``(…by, metric, value, n)``.
 
-    ``metrics`` maps a metric's name to its column. Means are taken in one aggregation, and
-    the one row per group is turned into one row per metric afterwards.
+    ``metrics`` maps a metric's name to its column; ``bleu`` adds corpus BLEU of rows that
+    hold ``bleu_stats``. Everything comes from one aggregation, so that scores are computed
+    once; its one row per group is turned into one row per metric afterwards.
     """
     by = by or []
-    aggregates = []
-    for i, column in enumerate(metrics.values()):
-        aggregates += [
-            F.avg(F.col(column).cast("double")).alias(f"_v{i}"),
-            F.count(column).alias(f"_n{i}"),
-        ]
+    aggregates, found = [], []
+    for i, (name, column) in enumerate(metrics.items()):
+        aggregates.append(F.avg(F.col(column).cast("double")).alias(f"_v{i}"))
+        aggregates.append(F.count(column).alias(f"_n{i}"))
+        found.append((name, F.col(f"_v{i}"), F.col(f"_n{i}")))
+    if bleu:
+        aggregates += bleu_sums()
+        found.append(("bleu", bleu_of_sums(), F.col("_bleu_n")))
     rows = F.array(
         *[
-            F.struct(
-                F.lit(name).alias("metric"), F.col(f"_v{i}").alias("value"), F.col(f"_n{i}").alias("n")
-            )
-            for i, name in enumerate(metrics)
+            F.struct(F.lit(name).alias("metric"), value.alias("value"), n.alias("n"))
+            for name, value, n in found
         ]
     )
     return df.groupBy(*by).agg(*aggregates).select(*by, F.inline(rows))

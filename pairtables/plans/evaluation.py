@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from pairtables import fixed_values as fixed
 from pairtables.operators.judge import judge_scores
-from pairtables.operators.lexical import bleu_of, lexical_scores
+from pairtables.operators.lexical import lexical_scores
 from pairtables.operators.report import check_thresholds, compare_sources, metric_means
 
 LEXICAL = ("rouge1", "rouge2", "rougeL", "token_count")
@@ -19,12 +19,10 @@ def score_rows(rows: DataFrame, responses: DataFrame, key: str = "record_id") ->
 
 
 def metrics_of(scored: DataFrame, by: list[str]) -> DataFrame:
-    """Means of all row scores, and corpus BLEU, as one long table."""
+    """Means of all row scores, and corpus BLEU, as one long table from one aggregation."""
     columns = {name: name for name in LEXICAL}
     columns |= {f"{m}/v1/mean": m for m in fixed.JUDGE_METRICS}
-    means = metric_means(scored, columns, by)
-    bleu = bleu_of(scored, by).select(*by, F.lit("bleu").alias("metric"), F.col("bleu").alias("value"), "n")
-    return means.unionByName(bleu)
+    return metric_means(scored, columns, by, bleu=True)
 
 
 def evaluate(

@@ -41,8 +41,8 @@ def _round(*names: str):
 
 
 def _batch_size(rows: int) -> int:
-    """Some hundred batches however large the table, and never fewer than ten rows in one."""
-    return max(fixed.BATCH_SIZE, rows // 100)
+    """Some 25 batches however large the table, and never fewer than ten rows in one."""
+    return max(fixed.BATCH_SIZE, rows // 25)
 
 
 # Sources and sinks
@@ -55,7 +55,7 @@ def o01_read_dataset(spark, sf_dir):
 
 def _sharded(spark, sf_dir) -> str:
     rows, root = views.qa_dual(spark, sf_dir), shared_path(spark, "shards")
-    tables.write_shards(rows, root, _batch_size(rows.count()), rows_per_bucket=ROWS_PER_RANGE)
+    tables.write_shards(rows, root, _batch_size(rows.count()), rows_per_bucket=ROWS_PER_RANGE // 16)
     return root
 
 
@@ -162,13 +162,13 @@ VOCABULARY = 500
 
 @query
 def o13_build_vocab(spark, sf_dir):
-    vocab = en.build_vocab(views.table(spark, sf_dir, "documents"), VOCABULARY)
+    vocab = en.build_vocab(tables.spread_small(views.table(spark, sf_dir, "documents")), VOCABULARY)
     return vocab.select("token", *_long("count", "id"))
 
 
 @query
 def o13_encode(spark, sf_dir):
-    docs = views.table(spark, sf_dir, "documents")
+    docs = tables.spread_small(views.table(spark, sf_dir, "documents"))
     encoded = en.encode(docs, en.build_vocab(docs, VOCABULARY))
     ids = [F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("input_ids", "attention_mask", "labels")]
     return encoded.select("doc_id", *ids, "truncated")
@@ -469,7 +469,8 @@ def o44_metrics_long(spark, sf_dir):
         (F.col("event_id") % 97).cast("string"), F.lit('.5,"note":"'), "event_type",
         F.lit('","ok":true,"quoted":"7","empty":null,'), F.col("props").substr(F.lit(2), F.length("props")),
     )
-    logged = views.table(spark, sf_dir, "events").select("event_id", entry.alias("entry"))
+    events = tables.spread_small(views.table(spark, sf_dir, "events"))
+    logged = events.select("event_id", entry.alias("entry"))
     return re_.metrics_long(logged, "entry")
 
 

@@ -5,23 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 _TEXT_FIELDS = ("model", "topic", "instruction")
+_NUMBER_KINDS = "^(BIGINT|DOUBLE|FLOAT|DECIMAL|STRING|BOOLEAN)"
+# Fields stay untyped in the parse, so that a number in place of a text can be told apart.
+_SHAPE = "records array<struct<model variant, topic variant, instruction variant, temperature variant>>"
+_NO_LIST = "no list of records"
 
 
-def _kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def _is_kind(value: Column, pattern: str) -> Column:
+    return F.coalesce(F.schema_of_variant(value).rlike(pattern), F.lit(False))
 
 
 def _problem(item: Column) -> Column:
     """Why a record is not valid, or null."""
-    checks = F.when(~F.coalesce(_kind(item).startswith("OBJECT"), F.lit(False)), "not an object")
+    checks = F.when(item.isNull(), "not an object")
     for name in _TEXT_FIELDS:
-        field = F.try_variant_get(item, f"$.{name}", "variant")
-        checks = checks.when(~F.coalesce(_kind(field) == "STRING", F.lit(False)), f"{name} is not text")
-    field = F.try_variant_get(item, "$.temperature", "variant")
-    number = F.try_variant_get(item, "$.temperature", "double")
-    return checks.when(
-        number.isNull() | ~F.coalesce(_kind(field).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL|STRING|BOOLEAN)"), F.lit(False)),
-        "temperature is not a number",
+        checks = checks.when(~_is_kind(item[name], "^STRING$"), f"{name} is not text")
+    number = F.try_variant_get(item["temperature"], "$", "double")
+    readable = number.isNotNull() & _is_kind(item["temperature"], _NUMBER_KINDS)
+    return checks.when(~readable, "temperature is not a number")
+
+
+def _entry(pos: Column, reason: Column, rejected: Column, item: Column | None = None) -> Column:
+    def field(name: str, kind: str) -> Column:
+        value = F.lit(None) if item is None else F.try_variant_get(item[name], "$", kind)
+        return value.cast(kind).alias(name)
+
+    return F.struct(
+        pos.cast("int").alias("pos"),
+        reason.cast("string").alias("reason"),
+        rejected.cast("string").alias("rejected"),
+        *[field(name, "string") for name in _TEXT_FIELDS],
+        field("temperature", "double"),
     )
 
 
@@ -33,36 +47,27 @@ def validate_records(
     A record needs three texts and a number. With ``whole_response`` one bad record rejects
     its response, as a validated response object does; otherwise only that record.
     Rejects keep the response (or the record) and say why.
+
+    Every response is parsed once. What becomes of it is decided inside the row, as a list
+    of entries that is then laid out in rows; filters come after that, where the optimizer
+    cannot copy the parse into them.
     """
-    value = F.try_parse_json(F.col(json_col))
-    listed = F.try_variant_get(value, "$.records", "array<variant>")
-    problems = F.filter(
-        F.transform("_items", lambda item: _problem(item)), lambda p: p.isNotNull()
-    )
-    parsed = df.withColumn("_items", listed).withColumn(
-        "_problem",
-        F.when(F.col("_items").isNull(), F.lit("no list of records")).when(
-            F.lit(whole_response), F.try_element_at(problems, F.lit(1))
-        ),
-    )
     kept = [c for c in df.columns if c != json_col]
-    items = parsed.where(F.col("_problem").isNull()).select(
-        *kept, F.posexplode("_items").alias("pos", "_item")
-    )
-    checked = items.withColumn("_problem", _problem(F.col("_item")))
-    text = [F.try_variant_get("_item", f"$.{name}", "string").alias(name) for name in _TEXT_FIELDS]
-    valid = checked.where(F.col("_problem").isNull()).select(
-        *kept, "pos", *text, F.try_variant_get("_item", "$.temperature", "double").alias("temperature")
-    )
-    rejected = parsed.where(F.col("_problem").isNotNull()).select(
-        *kept,
-        F.lit(None).cast("int").alias("pos"),
-        F.col(json_col).alias("rejected"),
-        F.col("_problem").alias("reason"),
+    items = F.from_json(json_col, _SHAPE)["records"]
+    parsed = df.withColumn("_items", items)
+    checked = parsed.withColumn("_problems", F.transform("_items", _problem))
+    first = F.try_element_at(F.array_compact("_problems"), F.lit(1))
+    nowhere, whole = F.lit(None), F.col(json_col)
+    per_record = F.transform(
+        F.arrays_zip(F.col("_items").alias("item"), F.col("_problems").alias("problem")),
+        lambda z, i: _entry(
+            i, z["problem"], F.when(z["problem"].isNotNull(), F.to_json(z["item"])), z["item"]
+        ),
     )
-    if not whole_response:
-        bad = checked.where(F.col("_problem").isNotNull()).select(
-            *kept, "pos", F.to_json("_item").alias("rejected"), F.col("_problem").alias("reason")
-        )
-        rejected = rejected.unionByName(bad)
+    entries = F.when(F.col("_items").isNull(), F.array(_entry(nowhere, F.lit(_NO_LIST), whole)))
+    if whole_response:
+        entries = entries.when(first.isNotNull(), F.array(_entry(nowhere, first, whole)))
+    rows = checked.select(*kept, F.inline(entries.otherwise(per_record)))
+    valid = rows.where(F.col("reason").isNull()).drop("reason", "rejected")
+    rejected = rows.where(F.col("reason").isNotNull()).select(*kept, "pos", "rejected", "reason")
     return valid, rejected

@@ -13,6 +13,18 @@ def read_dataset(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).parquet(path)
 
 
+def spread_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
+    """Spread a table of at most ``max_rows`` rows over all cores; leave a larger one as it is.
+
+    A small file has one row group, so one task would do all the work on it. Large tables
+    come in more pieces than there are cores, and are not shuffled; ``take`` looks only at
+    as many of their pieces as it needs to pass the bound.
+    """
+    if len(df.select(F.lit(1)).take(max_rows + 1)) > max_rows:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def append_dataset(df: DataFrame, path: str) -> None:
     """Add rows to a table. Part files get unique names, so nothing is overwritten."""
     df.write.mode("append").parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pairtables import schemas
-from pairtables.sources.tables import read_dataset
+from pairtables.sources.tables import read_dataset, spread_small
 
 TURNS = 2**32
 _SCHEMAS = {
@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def qa_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns with the assistant turn that follows, joined on the unique turn."""
-    turns = table(spark, sf_dir, "conversations")
+    turns = spread_small(table(spark, sf_dir, "conversations"))
     asked = turns.where("role = 'user'").select(
         "conv_id", F.col("turn").alias("at"), F.col("text").alias("instruction")
     )
@@ -52,7 +52,7 @@ def eval_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents as targets, and outputs that overlap with them."""
     skipped = (F.col("n_chars") % 40).cast("int")
     rest = F.col("text").substr(skipped + 1, F.length("text"))
-    return table(spark, sf_dir, "documents").select(
+    return spread_small(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("record_id"),
         F.col("lang").alias("topic"),
         F.concat_ws(" ", F.lit("Write"), "lang", F.lit("text like"), "source").alias("inputs"),
@@ -161,4 +161,5 @@ def record_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"instruction":"Explain","temperature":1}]'),
         F.when(key % 13 == 0, "").otherwise("}"),
     )
-    return table(spark, sf_dir, "documents").select(key.alias("record_id"), body.alias("response"))
+    docs = spread_small(table(spark, sf_dir, "documents"))
+    return docs.select(key.alias("record_id"), body.alias("response"))
