@@ -175,6 +175,11 @@ def model_slug(
     return slug if catalog is None else F.concat_ws(".", F.lit(catalog), F.lit(schema), slug)
 
 
+def model_uri(name: Column, alias: str | None = None) -> Column:
+    """The address of a registered model: under an alias, else its latest version."""
+    return F.concat(F.lit("models:/"), name, F.lit(f"@{alias}" if alias else "/latest"))
+
+
 def endpoint_name(model: Column, version: Column) -> Column:
     """The name under which a model version is served, before it is made a slug."""
     return F.concat(F.translate(model, ".-,", "__"), F.lit("_v"), version.cast("string"))

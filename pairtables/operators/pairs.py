@@ -47,7 +47,7 @@ def assemble_messages(
     One row holds the turns of ``turns_per_row`` consecutive turn numbers. A longer
     conversation goes on in the rows ``part`` = 1, 2, …, so no task has to hold all of it.
     """
-    part = F.floor(F.col(turn) / turns_per_row).alias("part")
+    part = F.expr(f"{turn} div {int(turns_per_row)}").alias("part")
     message = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(content).alias("content"))
     ordered = F.sort_array(F.collect_list(message))
     return (

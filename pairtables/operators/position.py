@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pairtables import fixed_values as fixed
 
@@ -28,14 +28,19 @@ def _bounds(keys: DataFrame, key: str, n: int, buckets: int) -> list:
     return sorted(cuts)
 
 
-def _bucket(key: Column, bounds: list) -> Column:
+def _bucket(key: Column, bounds: list, dtype: T.DataType) -> Column:
     """Number of bounds that are not above the key, found in two steps of at most 128 compares."""
     if not bounds:
         return F.lit(0)
+
+    def literal(values: list) -> Column:
+        return F.array(*[F.lit(v).cast(dtype) for v in values])
+
     groups = [bounds[i : i + _FAN_OUT] for i in range(0, len(bounds), _FAN_OUT)]
-    heads = F.array(*[F.lit(g[0]) for g in groups[1:]]) if len(groups) > 1 else None
-    coarse = F.lit(0) if heads is None else F.size(F.filter(heads, lambda b: b <= key))
-    inner = F.element_at(F.array(*[F.array(*[F.lit(b) for b in g]) for g in groups]), coarse + 1)
+    if len(groups) == 1:
+        return F.size(F.filter(literal(bounds), lambda b: b <= key))
+    coarse = F.size(F.filter(literal([g[0] for g in groups[1:]]), lambda b: b <= key))
+    inner = F.element_at(F.array(*[literal(g) for g in groups]), coarse + 1)
     return coarse * _FAN_OUT + F.size(F.filter(inner, lambda b: b <= key))
 
 
@@ -47,8 +52,8 @@ def with_positions(
     n = keys.count()
     buckets = min(MAX_BUCKETS, max(1, math.ceil(n / rows_per_bucket)))
     bounds = _bounds(keys, order_by, n, buckets) if buckets > 1 else []
-    bucket = _bucket(F.col(order_by), bounds).alias("_bucket")
-    sizes = dict(keys.groupBy(bucket).count().collect())
+    bucket = _bucket(F.col(order_by), bounds, df.schema[order_by].dataType)
+    sizes = dict(keys.groupBy(bucket.alias("_bucket")).count().collect())
     starts, total = [], 0
     for b in sorted(sizes):
         starts.append((b, total))
@@ -73,9 +78,8 @@ def with_batches(
 ) -> DataFrame:
     """Add ``position``, ``batch`` and the batch's ``batch_start`` and ``batch_end`` (exclusive)."""
     numbered, n = with_positions(df, order_by, rows_per_bucket)
-    batch = F.floor(F.col("position") / batch_size)
     return (
-        numbered.withColumn("batch", batch)
+        numbered.withColumn("batch", F.expr(f"position div {int(batch_size)}"))
         .withColumn("batch_start", F.col("batch") * batch_size)
         .withColumn("batch_end", F.least(F.col("batch_start") + batch_size, F.lit(n)))
     )

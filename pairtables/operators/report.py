@@ -128,3 +128,14 @@ def metrics_long(df: DataFrame, entry: str, step: str = "step") -> DataFrame:
     return pairs.where((F.col("key") != step) & F.col("value").isNotNull()).select(
         *rest, "step", "key", "value"
     )
+
+
+def params_long(df: DataFrame, params: dict[str, Column]) -> DataFrame:
+    """Parameters of each row's run as ``(…, key, value)``, values as text."""
+    entries = F.array(
+        *[
+            F.struct(F.lit(key).alias("key"), value.cast("string").alias("value"))
+            for key, value in params.items()
+        ]
+    )
+    return df.select(*df.columns, F.inline(entries))

@@ -319,7 +319,8 @@ from (select topic, unnest(range(1, cast(ceil(shortfall / 20.0) as bigint) + 1))
 from documents""",
     "o17_slugs": """with s as (select page_id, url,
   replace(replace(replace(url, '/', '_'), '-', '_'), '.', '') as slug from pages)
-select page_id, slug || '_v-a.l' as slug, 'main.models.' || slug || '_gpt5' as registered,
+select page_id, slug || '_v-a.l' as slug, 'models:/main.models.' || slug || '_v1@prod' as registered,
+  'models:/' || slug || '_v-a.l/latest' as uri,
   replace(replace(replace(lower(replace(replace(replace(slug || '_v-a.l', ',', ''), '.', '-'), '-', '_')
     || '_v' || page_id), '.', '-'), '/', '-'), '_', '-') as endpoint
 from s""",
@@ -411,6 +412,10 @@ select record_id, source, outputs, round(rouge1, 6) as rouge1, round(rouge2, 6)
     "o44_metrics_long": """select event_id, event_id as step, 'loss' as key, event_id % 97 + 0.5::double as value from events
 union all select event_id, event_id, 'ok', 1.0 from events
 union all select event_id, event_id, 'k', cast(props ->> '$.k' as double) from events where props ->> '$.k' is not null""",
+    "o44_params_long": f"""with r as (select source, count(*) as n from ({PREDICTIONS}) group by source)
+select source, 'model_name' as key, 'Org_Base_05_' || source as value from r
+union all select source, 'source_column', source from r
+union all select source, 'num_samples', cast(n as varchar) from r""",
     "o45_latest_version": f"select name, max(cast(version as bigint)) as latest from ({VERSIONS}) group by name",
     "o46_retain_versions": f"""select name, version,
   case when row_number() over (partition by name order by cast(version as int) desc) <= 3 then stage

@@ -223,7 +223,8 @@ def o17_slugs(spark, sf_dir):
     slug = tx.model_slug(url, F.lit("v-a.l"))
     return views.table(spark, sf_dir, "pages").select(
         "page_id", slug.alias("slug"),
-        tx.model_slug(url, F.lit("gpt5"), "main", "models").alias("registered"),
+        tx.model_uri(tx.model_slug(url, F.lit("v1"), "main", "models"), "prod").alias("registered"),
+        tx.model_uri(slug).alias("uri"),
         tx.endpoint_slug(tx.endpoint_name(slug, F.col("page_id"))).alias("endpoint"),
     )
 
@@ -474,6 +475,17 @@ def o44_metrics_long(spark, sf_dir):
     return re_.metrics_long(logged, "entry")
 
 
+@query
+def o44_params_long(spark, sf_dir):
+    runs = views.predictions(spark, sf_dir).groupBy("source").agg(F.count("*").alias("num_samples"))
+    params = {
+        "model_name": tx.model_slug(F.lit("Org/Base-0.5"), F.col("source")),
+        "source_column": F.col("source"),
+        "num_samples": F.col("num_samples"),
+    }
+    return re_.params_long(runs, params).select("source", "key", "value")
+
+
 # Ranking, top-k, versioned tables
 
 

@@ -90,7 +90,7 @@ def test_many_ranges_use_two_steps(spark):
     df = numbered(spark, 3000)
     bounds = list(range(5, 3000, 10))
     key = F.col("record_id")
-    found = df.select(key, po._bucket(key, bounds).alias("b")).collect()
+    found = df.select(key, po._bucket(key, bounds, T.LongType()).alias("b")).collect()
     assert len({r["b"] for r in found}) == len(bounds) + 1
     ordered = [r["b"] for r in sorted(found)]
     assert ordered == sorted(ordered)
