@@ -9,23 +9,19 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairtables import fixed_values as fixed
 
-_EDGE_SPACE = f"^[{fixed.WHITE_SPACE}]+|[{fixed.WHITE_SPACE}]+$"
-_NON_SPACE = f"[^{fixed.WHITE_SPACE}]"
-
-
 def strip(col: Column) -> Column:
     """Remove white space at both ends, tabs and line breaks included."""
-    return F.regexp_replace(col, _EDGE_SPACE, "")
+    return F.btrim(col, F.lit(fixed.WHITE_SPACE))
 
 
 def is_blank(col: Column) -> Column:
     """True for null, empty and white-space-only text."""
-    return ~F.coalesce(col.rlike(_NON_SPACE), F.lit(False))
+    return is_empty(F.ltrim(col, F.lit(fixed.WHITE_SPACE)))
 
 
 def is_empty(col: Column) -> Column:
     """True for null and empty text; white space counts as content."""
-    return F.coalesce(F.length(col) == 0, F.lit(True))
+    return F.coalesce(F.octet_length(col) == 0, F.lit(True))
 
 
 def tokens(col: Column) -> Column:

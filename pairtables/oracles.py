@@ -24,7 +24,7 @@ def _blank(text: str) -> str:
 
 
 def _words(text: str) -> str:
-    return f"regexp_replace({text}, '[^A-Za-z0-9]+', ' ', 'g')"
+    return f"regexp_replace({text}, '\\W+', ' ', 'g')"
 
 
 def _prompt(kind: str) -> str:
@@ -194,7 +194,7 @@ gate as (select s.source, threshold_name, value, threshold,
     case when value is null then 'N/A' when value >= threshold then 'PASS' else 'FAIL' end as status
   from (select distinct source from m) s cross join th left join m on m.source = s.source and m.metric = th.metric)"""
 
-_BATCH = "greatest(10, (select count(*) from ({0})) // 25)"
+_BATCH = "greatest(10, (select count(*) from ({0})) // 8)"
 
 
 def _shards(rows: str) -> str:

@@ -41,8 +41,8 @@ def _round(*names: str):
 
 
 def _batch_size(rows: int) -> int:
-    """Some 25 batches however large the table, and never fewer than ten rows in one."""
-    return max(fixed.BATCH_SIZE, rows // 25)
+    """Some eight batches however large the table, and never fewer than ten rows in one."""
+    return max(fixed.BATCH_SIZE, rows // 8)
 
 
 # Sources and sinks
@@ -62,8 +62,8 @@ def _sharded(spark, sf_dir) -> str:
 @query
 def o02_read_shards(spark, sf_dir):
     root = _sharded(spark, sf_dir)
-    other = views.qa_dual(spark, sf_dir).withColumn("shard", F.lit("draft-0"))
-    other.write.mode("append").partitionBy("shard").parquet(root)
+    other = views.qa_dual(spark, sf_dir)
+    other.write.parquet(f"{root}/shard=draft-0")
     read = tables.read_shards(spark, root, T.StructType(DUAL_FIELDS))
     return read.select("record_id", "shard", "gpt_output")
 

@@ -118,7 +118,7 @@ def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def words_only(col: str):
     """Text without characters that JSON would have to escape."""
-    return F.regexp_replace(col, "[^A-Za-z0-9]+", " ")
+    return F.regexp_replace(col, r"\W+", " ")
 
 
 def poly_output(spark: SparkSession, sf_dir: str) -> DataFrame:
