@@ -115,11 +115,12 @@ def metrics_long(df: DataFrame, entry: str, step: str = "step") -> DataFrame:
             *rest, F.col(entry)[step].try_cast("long").alias("step"), F.explode(entry).alias("key", "_text")
         ).withColumn("value", F.col("_text").try_cast("double"))
     else:
+        # With explode_outer the optimizer adds no filter that would parse the entry again.
         parsed = F.from_json(entry, "map<string,variant>")
         exploded = df.select(*rest, parsed.alias("_map")).select(
             *rest,
             F.try_variant_get(F.col("_map")[step], "$", "bigint").alias("step"),
-            F.explode("_map").alias("key", "_value"),
+            F.explode_outer("_map").alias("key", "_value"),
         )
         numeric = F.schema_of_variant("_value").rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL|BOOLEAN)")
         pairs = exploded.withColumn(
