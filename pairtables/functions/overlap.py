@@ -2,7 +2,7 @@
 
 Both texts sit in the same row, so nothing has to be exploded, shuffled or grouped: a row
 is compared where it is read. Built-in array functions can express the n-gram count too,
-but measured six times slower, and common subsequences would copy quadratically.
+but took several times as long, and common subsequences would copy quadratically.
 """
 
 from __future__ import annotations

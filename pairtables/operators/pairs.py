@@ -16,7 +16,7 @@ PROVIDERS = ("gpt_output", "gemini_output")
 
 def _require(df: DataFrame, column: str) -> None:
     if column not in df.columns:
-        raise ValueError(f"Column '{column}' not found in dataset. Available: {df.columns}")
+        raise ValueError(f"no column {column!r}; the table has {', '.join(df.columns)}")
 
 
 def select_source(df: DataFrame, source: str, key: str = "record_id") -> DataFrame:

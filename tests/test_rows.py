@@ -137,7 +137,7 @@ def dual(spark):
 
 def test_select_source_names_the_columns_it_has(spark):
     assert pa.select_source(dual(spark), "gpt_output").columns == ["record_id", "instruction", "output"]
-    with pytest.raises(ValueError, match="Available.*gemini_output"):
+    with pytest.raises(ValueError, match="no column 'other'.*gemini_output"):
         pa.select_source(dual(spark), "other")
 
 
