@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_BROADCAST_ROWS = 50_000
 MAX_BROADCAST_CHARS = 16 * 1024 * 1024
 SALTS = 64
+# A key is hot when it holds more rows than one task should get.
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
 
 
 def lookup_join(
@@ -16,21 +21,45 @@ def lookup_join(
     spread: str,
     how: str = "left",
     max_rows: int = MAX_BROADCAST_ROWS,
+    hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join ``right``, which holds each key once, to ``left``.
 
     ``right`` holds keys and numbers, no texts. It is fetched once, up to a bound of rows;
     within the bound it is broadcast and ``left`` is not shuffled. Beyond it both sides are
-    shuffled on the key and a salt taken from ``spread``, a column of ``left`` that differs
-    between the rows of a key; so a key that holds a third of ``left`` is spread over
-    ``salts`` tasks.
+    shuffled on the key, and the hot keys of ``left`` also on a salt, see :func:`_salted_join`.
     """
     rows = right.limit(max_rows + 1).collect()
     chars = sum(len(str(value)) for row in rows for value in row)
     if len(rows) <= max_rows and chars <= MAX_BROADCAST_CHARS:
         fetched = left.sparkSession.createDataFrame(rows, right.schema)
         return left.join(F.broadcast(fetched), on, how)
-    salted = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    keyed = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    return keyed.join(salted, [*on, "_salt"], how).drop("_salt")
+    return _salted_join(left, right, on, spread, how, hot_rows, salts)
+
+
+def _salted_join(
+    left: DataFrame, right: DataFrame, on: list[str], spread: str, how: str, hot_rows: int, salts: int
+) -> DataFrame:
+    """Shuffle join that spreads each hot key of ``left`` over ``salts`` tasks.
+
+    ``spread`` is a column of ``left`` that differs between the rows of a key. Only the rows
+    of ``right`` that hold a hot key are repeated, once per salt. A key counts as hot above
+    ``hot_rows`` rows, or above a ten-thousandth of all rows if that is more, so that the
+    list of hot keys is bounded whatever the data.
+    """
+    limit = max(hot_rows, left.count() // MAX_HOT_KEYS)
+    hot = left.groupBy(*on).count().where(F.col("count") > limit).select(*on).collect()
+    key_types = left.select(*on).schema
+    hot_keys = left.sparkSession.createDataFrame(hot, key_types).withColumn("_hot", F.lit(True))
+    row_salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+    # A null key matches nothing, so its rows may go anywhere.
+    no_key = reduce(Column.__or__, [F.col(k).isNull() for k in on])
+    keyed = left.join(F.broadcast(hot_keys), on, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | no_key, row_salt).otherwise(F.lit(0))
+    )
+    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
+    repeated = right.join(F.broadcast(hot_keys), on, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0))))
+    )
+    return keyed.drop("_hot").join(repeated.drop("_hot"), [*on, "_salt"], how).drop("_salt")

@@ -107,22 +107,26 @@ def test_slice_rows(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_lookup_join_past_the_bound_gives_the_same_rows(spark, how):
+@pytest.mark.parametrize("hot_rows", [0, 50, 10**6])
+def test_lookup_join_past_the_bound_gives_the_same_rows(spark, how, hot_rows):
     left = numbered(spark, 600).withColumn("k", F.when(F.col("record_id") % 3 == 0, 0).otherwise(F.col("record_id") % 50))
     left = left.withColumn("k", F.when(F.col("record_id") == 7, None).otherwise(F.col("k")))
     right = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     small = lookup_join(left, right, ["k"], "record_id", how)
-    large = lookup_join(left, right, ["k"], "record_id", how, max_rows=0, salts=8)
+    large = lookup_join(left, right, ["k"], "record_id", how, max_rows=0, hot_rows=hot_rows, salts=8)
     assert "Broadcast" in small._jdf.queryExecution().toString()
     assert sorted(map(repr, small.collect())) == sorted(map(repr, large.select(small.columns).collect()))
 
 
 def test_hot_keys_are_spread_over_tasks(spark):
-    left = numbered(spark, 2000).withColumn("k", F.lit("hot"))
-    right = spark.createDataFrame([("hot", 1)], "k string, v int")
-    spread = lookup_join(left, right, ["k"], "record_id", max_rows=0, salts=16)
-    salts = left.groupBy(F.pmod(F.xxhash64("record_id"), F.lit(16))).count().collect()
-    assert spread.count() == 2000 and max(r["count"] for r in salts) < 250
+    left = numbered(spark, 3000).withColumn("k", F.when(F.col("record_id") < 1000, "hot").otherwise(F.col("record_id").cast("string")))
+    right = left.select("k").distinct().withColumn("v", F.lit(1))
+    joined = lookup_join(left, right, ["k"], "record_id", max_rows=0, hot_rows=100, salts=16)
+    assert joined.count() == 3000 and joined.where("v is null").count() == 0
+    plain = left.repartition(16, "k").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    salted = left.withColumn("s", F.when(F.col("k") == "hot", F.pmod(F.xxhash64("record_id"), F.lit(16))).otherwise(0))
+    spread = salted.repartition(16, "k", "s").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert plain >= 1000 and spread < 600
 
 
 # Pairs
