@@ -46,7 +46,7 @@ DOCUMENTS = T.StructType(
 EVENTS = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
-        T.StructField("ts", T.TimestampType()),
+        T.StructField("ts", T.TimestampNTZType()),
         T.StructField("user_id", T.LongType()),
         T.StructField("event_type", T.StringType()),
         T.StructField("value", T.DoubleType()),
