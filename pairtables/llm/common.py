@@ -35,12 +35,3 @@ def text_key(text: Column) -> list[Column]:
     """128 bits that stand for a text; null counts as empty."""
     text = F.coalesce(text, F.lit(""))
     return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
-
-
-def null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    """Join condition in which null equals null; ``pairs`` are (left, right) names."""
-    conditions = [left[a].eqNullSafe(right[b]) for a, b in pairs]
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out & c
-    return out
