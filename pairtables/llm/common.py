@@ -35,3 +35,13 @@ def text_key(text: Column) -> list[Column]:
     """128 bits that stand for a text; null counts as empty."""
     text = F.coalesce(text, F.lit(""))
     return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+
+
+def in_fold(id_col: Column, folds: int, fold: int) -> Column:
+    """Whether crc32 of the id's text falls into a fold; false for a null id."""
+    return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(False))
+
+
+def sample_by_hash(ids: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` rows, those whose id has the smallest hash: the same at every run."""
+    return ids.orderBy(F.xxhash64("_id"), "_id").limit(rows)

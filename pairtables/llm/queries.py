@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pairtables.llm import chat_format, exact_dedup, line_dedup, mixing, url_rules
+from pairtables.llm import chat_format, exact_dedup, line_dedup, mixing, quality, toxicity, url_rules
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op5_chat_format": chat_format.op5_chat_format,
     "op6_mix_sources": mixing.op6_mix_sources,
+    "op7_quality": quality.op7_quality,
     "op8_url_rules": url_rules.op8_url_rules,
 }
 ORACLES = {
