@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pairtables.llm import chat_format, exact_dedup, line_dedup, mixing, quality, toxicity, url_rules
+from pairtables.llm import (
+    chat_format, decontaminate, exact_dedup, line_dedup, mixing, ngram_join, quality, toxicity, url_rules,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_chat_format": chat_format.op5_chat_format,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_quality": quality.op7_quality,
     "op8_url_rules": url_rules.op8_url_rules,
+    "op10_ngram_join": ngram_join.op10_ngram_join,
 }
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
