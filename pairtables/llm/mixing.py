@@ -111,7 +111,7 @@ def tilts(counts: DataFrame, targets: DataFrame, most: float = MOST) -> DataFram
 
 def mix_sources(
     docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, id_col: str = "doc_id",
-    text_col: str = "text", source_col: str = "source",
+    text_col: str = "text", source_col: str = "source", row: Column | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, taken, copies.
 
@@ -120,13 +120,14 @@ def mix_sources(
     smallest ``random number - rest``, as many as bring the source nearest to its target; then
     ``POLISH`` single documents make up for what is missing. The random number comes from id and text, so
     reruns agree; rows that repeat both count one by one. Null sources are one source; a
-    document without words has one copy and takes nothing. An empty table gives no rows.
+    document without words has one copy and takes nothing. An empty table gives no rows. A column ``row`` that numbers the
+    rows is returned as ``_row``.
     """
     u = F.pmod(F.xxhash64(F.lit(11), F.col(id_col), *text_key(F.col(text_col))), F.lit(2**53)) / F.lit(float(2**53))
     sizes = stored(
         docs.select(
             F.col(id_col).alias("_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"),
-            u.alias("_u"), F.monotonically_increasing_id().alias("_row"),
+            u.alias("_u"), (F.monotonically_increasing_id() if row is None else row).alias("_row"),
         ),
         "sizes",
     )
@@ -149,7 +150,7 @@ def mix_sources(
         rounded = _polished(stored(rounded.select(*_ROUNDED), "copies"), most)
     return rounded.select(
         F.col("_id").alias(id_col), "size", "source_size", "target",
-        (F.col("size") * F.col("copies")).alias("taken"), "copies",
+        (F.col("size") * F.col("copies")).alias("taken"), "copies", *([] if row is None else ["_row"]),
     )
 
 
@@ -223,5 +224,16 @@ def _crossing(cells: DataFrame, need: DataFrame) -> DataFrame:
     )
 
 
+def take_mix(docs: DataFrame, **settings) -> DataFrame:
+    """The documents of the mix: all columns of ``docs`` under their names, and the struct
+    ``mix`` (size, source_size, target, taken, copies). Documents with 0 copies are not in it."""
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    numbered = stored(docs.select(doc, F.monotonically_increasing_id().alias("_at")), "numbered")
+    flat = numbered.select("_doc.doc_id", "_doc.text", "_doc.source", "_at")
+    mix = mix_sources(flat, row=F.col("_at"), **settings).where("copies > 0")
+    values = F.struct("size", "source_size", "target", "taken", "copies").alias("mix")
+    return numbered.join(mix.select("_row", values), F.col("_at") == F.col("_row")).select("_doc.*", "mix")
+
+
 def op6_mix_sources(spark, sf_dir: str) -> DataFrame:
     return mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pairtables.llm import (
-    chat_format, decontaminate, exact_dedup, line_dedup, mixing, ngram_join, quality, toxicity, url_rules,
+    chat_format, decontaminate, exact_dedup, html_wrappers, line_dedup, mixing, ngram_join, quality,
+    toxicity, url_rules,
 )
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_quality": quality.op7_quality,
     "op8_url_rules": url_rules.op8_url_rules,
+    "op9_html_text": html_wrappers.op9_html_text,
     "op10_ngram_join": ngram_join.op10_ngram_join,
 }
 ORACLES = {
