@@ -21,6 +21,8 @@ OUTSIDE_WORDS = frozenset(
     "disqus footer header masthead menu modal nav navbar navigation newsletter notice popup promo related "
     "reply replies respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Elements whose class and id say nothing on that.
+WHOLE = frozenset("html body main article".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 #: A start tag of the second kind closes an open element of the first inside the same parent.
 CLOSED_BY = {
@@ -55,7 +57,7 @@ class Element:
                 self.outside = self.outside or value in OUTSIDE_ROLES
                 self.key += "@main" if value == "main" else ""
             else:
-                if name not in ("body", "html", "article", "main"):
+                if name not in WHOLE:
                     self.outside = self.outside or bool(OUTSIDE_WORDS & set(re.split(r"[^a-z0-9]+", value)))
                 if not any(c.isdigit() for c in value):
                     self.key += "." + ".".join(sorted(value.split()))
@@ -225,7 +227,7 @@ def _is_main(key: str) -> int:
 
 def _outside_key(key: str) -> bool:
     name, _, words = key.partition(".")
-    return name in OUTSIDE or bool(OUTSIDE_WORDS & set(re.split(r"[^a-z0-9]+", words)))
+    return name in OUTSIDE or name not in WHOLE and bool(OUTSIDE_WORDS & set(re.split(r"[^a-z0-9]+", words)))
 
 
 def main_paths(wrapper: str) -> list[str]:

@@ -1,0 +1,153 @@
+"""Classifiers, mixing, and the pipeline."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import helpers
+from pairtables.llm import mixing, quality, toxicity
+from pairtables.llm.common import in_fold
+
+
+def _held_out(spark, sf_dir, query, label):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    got = query(spark, sf_dir).join(labels, "doc_id").toPandas()
+    return got[got.held_out], got[label][got.held_out]
+
+
+def test_quality_of_held_out_documents(spark):
+    got, label = _held_out(spark, "/root/testdata/sf0.1", quality.op7_quality, "quality")
+    assert len(got) > 500 and (got.predicted == label).mean() > 0.98
+    assert (got.predicted[label == 0] == 0).mean() > 0.95
+
+
+def test_toxicity_of_held_out_documents(spark):
+    got, label = _held_out(spark, "/root/testdata/sf0.1", toxicity.op2_toxicity, "toxic")
+    assert (got.predicted == label).mean() > 0.97
+    assert (got.predicted[label == 1]).mean() > 0.8 and (got.predicted[label == 0]).mean() < 0.01
+
+
+def test_labels_of_the_held_out_fold_are_not_used(spark, sf_small):
+    docs, labels = (spark.read.parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "labels"))
+    other = lambda f, k, c: labels.withColumn(c, F.when(in_fold(F.col("doc_id"), f, k), 1 - F.col(c)).otherwise(F.col(c)))
+    a, b = (quality.train_quality(docs, x) for x in (labels, other(4, 2, "quality")))
+    assert np.array_equal(a.weights, b.weights)
+    a, b = (toxicity.train_toxicity(docs, x) for x in (labels, other(5, 0, "toxic")))
+    assert np.array_equal(a.w, b.w) and np.array_equal(a.v, b.v)
+
+
+def test_crc_folds(spark):
+    import zlib
+
+    df = spark.createDataFrame([(i,) for i in [*range(50), -3, None]], "i long").select("i", in_fold(F.col("i"), 5, 0).alias("f"))
+    assert all(r.f == (r.i is not None and zlib.crc32(str(r.i).encode()) % 5 == 0) for r in df.collect())
+
+
+def test_machine_learns_pairs():
+    """Each of two terms alone is harmless; only both together are not."""
+    rnd = np.random.default_rng(2)
+    lists, y = [], []
+    for _ in range(3000):
+        kinds = rnd.random(2) < 0.5
+        noise = rnd.integers(100, 400, 5)
+        lists.append(np.unique(np.concatenate([np.array([1, 2], dtype=np.int64)[kinds], noise])).astype(np.int32))
+        y.append(float(kinds.all()))
+    machine = toxicity.fit_machine(np.concatenate(lists), np.array([len(x) for x in lists]), np.array(y))
+    scores = machine.scores([np.array(x, dtype=np.int32) for x in ([1], [2], [1, 2], [])])
+    assert scores[2] > 0.9 and max(scores[0], scores[1], scores[3]) < 0.2
+    assert machine.v[1] @ machine.v[2] > 0.3
+
+
+def test_models_without_labels_and_with_odd_texts(spark):
+    docs = helpers.frame(spark, [(1, None, "s"), (2, "", "s"), (2, "x" * 50_000, None), (None, "Text. Here", "s")])
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    scored = quality.score_quality(docs, quality.train_quality(docs, labels)).collect()
+    assert len(scored) == 4 and all(0 <= r.score <= 1 for r in scored)
+    scored = toxicity.score_toxicity(docs, toxicity.train_toxicity(docs, labels)).collect()
+    assert [round(r.score, 6) for r in scored] == [0.5] * 4
+    assert quality.keep_good(docs, quality.train_quality(docs, labels), 0.0).columns == docs.columns
+    assert quality.score_quality(docs.limit(0), quality.train_quality(docs, labels)).count() == 0
+    assert toxicity.score_toxicity(docs.limit(0), toxicity.train_toxicity(docs, labels)).count() == 0
+
+
+def _plain_targets(sizes, weights=(5, 2, 1), most=3):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    left, free, out = float(sum(sizes.values())), set(names), {}
+    while free:
+        total = sum(weight[s] for s in free)
+        above = [s for s in free if left * weight[s] / total > most * sizes[s]]
+        if not above:
+            return out | {s: left * weight[s] / total for s in free}
+        for s in above:
+            out[s] = float(most * sizes[s])
+            free.remove(s)
+        left = sum(sizes.values()) - sum(out.values())
+    return out
+
+
+def test_targets(spark):
+    for sizes in ({"b": 100, "a": 3, "ä": 40, "Z": 7, None: 500}, {"a": 1, "b": 0}, {"x": 10}, {None: 5, "q": 5}):
+        df = spark.createDataFrame(list(sizes.items()), "source string, size long")
+        got = {r.source: r.target for r in mixing.source_targets(df).collect()}
+        assert got == pytest.approx(_plain_targets(sizes))
+
+
+def test_mix_meets_targets_and_repeats_itself(spark):
+    rnd = np.random.default_rng(1)
+    rows = [(i, " ".join(["w"] * int(rnd.integers(0, 60))), ("a", "b", "c", None)[min(3, int(rnd.integers(0, 9)))]) for i in range(800)]
+    rows += [(5, "same row twice", "a"), (5, "same row twice", "a"), (None, "no id", "b"), (7, None, "c"), (8, "word", "tiny")]
+    docs = helpers.frame(spark, rows)
+    got = mixing.mix_sources(docs).collect()
+    assert len(got) == len(rows) and all(0 <= r.copies <= 3 and r.taken == r.copies * r.size for r in got)
+    sizes, taken, target = {}, {}, {}
+    for r in got:
+        sizes[r.source_size] = sizes.get(r.source_size, 0) + r.size
+        taken[r.source_size] = taken.get(r.source_size, 0) + r.taken
+        target[r.source_size] = r.target
+    assert all(k == v for k, v in sizes.items())
+    assert all(abs(taken[k] - target[k]) <= max(3, 0.002 * target[k]) for k in taken)
+    again = mixing.mix_sources(docs.repartition(3)).collect()
+    key = lambda rs: sorted((r.doc_id or -1, r.size, r.taken) for r in rs)
+    assert key(got) == key(again)
+    assert mixing.mix_sources(docs.limit(0)).count() == 0
+
+
+def test_rates_are_tilted_exponentially(spark):
+    counts = spark.createDataFrame([("a", 10, 5), ("a", 30, 3), ("a", 0, 2), ("b", 4, 1)], "source string, size long, n long")
+    targets = spark.createDataFrame([("a", 140, 100.0), ("b", 4, 12.0)], "source string, source_size long, target double")
+    got = {r.source: r for r in mixing.tilts(counts, targets).collect()}
+    assert got["b"].fixed == 3.0
+    x = np.array([10, 30]) / got["a"].mean
+    assert got["a"].mean == pytest.approx(140 / 8)
+    assert (np.array([50, 90]) * np.minimum(3, np.exp(got["a"].tilt * x))).sum() == pytest.approx(100.0)
+
+
+def test_pipeline_stages(spark, sf_small):
+    import corpus_pipeline as cp
+    from pairtables.llm import decontaminate, line_dedup
+    from pairtables.llm.common import stored
+
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    seen = {}
+    for name, stage in cp.STAGES:
+        out = stored(stage(spark, docs, sf_small), name)
+        seen[name] = (docs.collect(), out.collect())
+        assert out.columns[:5] == docs.columns
+        docs = out
+    before, after = seen["quality"]
+    model = quality.train_quality(
+        spark.read.parquet(f"{sf_small}/documents.parquet"), spark.read.parquet(f"{sf_small}/labels.parquet")
+    )
+    scores = model.scores(np.array([quality.features(r.text) for r in before]))
+    assert {r.doc_id for r in after} == {r.doc_id for r, s in zip(before, scores) if s >= quality.THRESHOLD}
+    before, after = seen["line_dedup"]
+    assert [r.doc_id for r in sorted(before)] == [r.doc_id for r in sorted(after)]
+    assert all(r.n_chars == len(r.text) for r in after)
+    before, after = seen["near_copies"]
+    groups = helpers.groups([(r.doc_id, r.text) for r in before], 5, 80, 100)
+    assert {r.doc_id for r in after} == {i for i, (size, least) in groups.items() if size == 0 or least == i}
+    before, after = seen["decontaminate"]
+    assert {r.doc_id for r in after} < {r.doc_id for r in before}
+    before, after = seen["mix"]
+    assert {r.doc_id for r in after} <= {r.doc_id for r in before} and all(r.copies >= 1 for r in after)
