@@ -68,6 +68,8 @@ def flatten_text(col: Column, dtype: T.DataType) -> Column:
         return _flatten_variant(col)
     if isinstance(dtype, T.StructType):
         return F.when(col.isNotNull(), F.coalesce(_field_text(col, dtype), F.lit("")))
+    if isinstance(dtype, T.MapType):
+        return F.when(col.isNotNull(), F.coalesce(_map_text(col), F.lit("")))
     if isinstance(dtype, T.ArrayType):
         return F.array_join(
             F.transform(col, lambda item: F.coalesce(_item_text(item, dtype.elementType), F.lit(""))),
@@ -80,9 +82,15 @@ def _field_text(col: Column, dtype: T.StructType) -> Column:
     return col["text"].cast("string") if "text" in dtype.fieldNames() else F.lit("")
 
 
+def _map_text(col: Column) -> Column:
+    return F.try_element_at(col, F.lit("text")).cast("string")
+
+
 def _item_text(item: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.VariantType):
         return _variant_item(item, "text", F.lit(""))
+    if isinstance(dtype, T.MapType):
+        return _map_text(item)
     return _field_text(item, dtype) if isinstance(dtype, T.StructType) else item.cast("string")
 
 
@@ -127,7 +135,7 @@ class ChatTemplate:
 
 
 def render_messages(messages: Column, template: ChatTemplate = ChatTemplate()) -> Column:
-    """An array of ``{role, content}`` as one text."""
+    """An array of ``{role, content}`` as one text; null if a message has no role or content."""
     rendered = F.transform(
         messages,
         lambda m: F.concat(
@@ -138,7 +146,8 @@ def render_messages(messages: Column, template: ChatTemplate = ChatTemplate()) -
             F.lit(template.after_content),
         ),
     )
-    return F.concat(F.array_join(rendered, ""), F.lit(template.tail))
+    whole = ~F.exists(rendered, lambda text: text.isNull())
+    return F.when(whole, F.concat(F.array_join(rendered, ""), F.lit(template.tail)))
 
 
 def chat_format(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pairtables import fixed_values as fixed
 from pairtables.functions.text import prompt_text
+from pairtables.operators.pairs import single_value
 
 
 def found_score(col: Column) -> Column:
@@ -30,16 +31,19 @@ def judge_prompts(df: DataFrame, key: str = "record_id") -> DataFrame:
 
 
 def judge_scores(
-    df: DataFrame, responses: DataFrame, key: str = "record_id", metrics=fixed.JUDGE_METRICS
-) -> DataFrame:
+    df: DataFrame, responses: DataFrame, key: str = "record_id", metrics=fixed.JUDGE_METRICS,
+    order: str | None = None,
+) -> DataFrame:
     """Add a score per metric from responses ``(key, metric, response)``.
 
     A missing, failed or unreadable response scores 3.0, and ``defaulted`` counts how many
-    of a row's scores came about that way.
+    of a row's scores came about that way. A judge's answers to one key must be one, or be
+    ordered by the column ``order``; the last counts.
     """
     wide = responses.groupBy(key).agg(
         *[
-            F.max(F.when(F.col("metric") == m, found_score(F.col("response")))).alias(f"_{m}")
+            single_value(found_score(F.col("response")), F.col("metric") == m, order, "answer of a judge")
+            .alias(f"_{m}")
             for m in metrics
         ]
     )

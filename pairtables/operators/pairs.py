@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from pairtables import fixed_values as fixed
 from pairtables.functions.text import flatten_text, is_blank
@@ -34,6 +34,29 @@ def build_eval_frame(df: DataFrame, source: str, key: str = "record_id", **split
     )
 
 
+def ordered_turns(
+    df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", content: str = "text",
+    turns_per_block: int = 10_000,
+) -> DataFrame:
+    """``conv_id``, ``position`` (from 0, without gaps), ``role``, ``content``: the turns of every
+    conversation in order, whatever its length.
+
+    Turns are numbered inside blocks of turn numbers, and a block starts where the blocks
+    before it end, so a long conversation is spread over tasks.
+    """
+    block = F.expr(f"{turn} div {int(turns_per_block)}")
+    rows = df.select(conv, turn, F.col(role).alias("role"), F.col(content).alias("content"), block.alias("_block"))
+    sizes = rows.groupBy(conv, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(conv).orderBy("_block")) - F.col("_n")
+    starts = sizes.select(conv, "_block", before.alias("_start"))
+    inside = F.row_number().over(Window.partitionBy(conv, "_block").orderBy(turn)) - 1
+    numbered = rows.withColumn("_row", inside)
+    same = [numbered[conv].eqNullSafe(starts[conv]), numbered["_block"].eqNullSafe(starts["_block"])]
+    return numbered.join(starts, same).select(
+        numbered[conv], (F.col("_start") + F.col("_row")).alias("position"), "role", "content"
+    )
+
+
 def assemble_messages(
     df: DataFrame,
     conv: str = "conv_id",
@@ -42,26 +65,21 @@ def assemble_messages(
     content: str = "text",
     turns_per_row: int = 10_000,
 ) -> DataFrame:
-    """Ordered ``messages`` of every conversation.
+    """``messages`` of every conversation, packed from :func:`ordered_turns`.
 
-    One row holds the turns of ``turns_per_row`` consecutive turn numbers. A longer
-    conversation goes on in the rows ``part`` = 1, 2, …, so no task has to hold all of it.
+    A row holds ``turns_per_row`` messages. ``part`` counts the rows of a conversation from 0
+    and ``n_parts`` says how many there are: 1 unless it has more turns than that, so a reader
+    can tell, and no task has to hold all of a longer one.
     """
-    part = F.expr(f"{turn} div {int(turns_per_row)}").alias("part")
-    message = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(content).alias("content"))
-    ordered = F.sort_array(F.collect_list(message))
-    return (
-        df.groupBy(conv, part)
-        .agg(ordered.alias("_ordered"))
-        .select(
-            conv,
-            "part",
-            F.transform(
-                "_ordered",
-                lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")),
-            ).alias("messages"),
-        )
+    rows = ordered_turns(df, conv, turn, role, content, turns_per_row)
+    part = F.floor(F.col("position") / int(turns_per_row)).alias("part")
+    message = F.struct("position", "role", "content")
+    packed = rows.groupBy(conv, part).agg(F.sort_array(F.collect_list(message)).alias("_ordered"))
+    n_parts = (F.max("part").over(Window.partitionBy(conv)) + 1).alias("n_parts")
+    messages = F.transform(
+        "_ordered", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))
     )
+    return packed.select(conv, "part", n_parts, messages.alias("messages"))
 
 
 def stamp_settings(
@@ -93,20 +111,31 @@ def pending_outputs(
     )
 
 
+def single_value(value: Column, wanted: Column, order: str | None, what: str) -> Column:
+    """The one wanted value of a group, or the last by ``order``; without an order a second
+    value is an error, as either could be meant."""
+    if order is not None:
+        return F.max_by(F.when(wanted, value), F.when(wanted, F.col(order)))
+    repeated = F.raise_error(F.lit(f"repeated {what}: name a column that orders them"))
+    return F.when(F.count_if(wanted) > 1, repeated).otherwise(F.max(F.when(wanted, value)))
+
+
 def fill_missing(
     df: DataFrame,
     answers: DataFrame,
     providers: tuple[str, ...] = PROVIDERS,
     key: str = "record_id",
+    order: str | None = None,
 ) -> DataFrame:
     """Put answers ``(key, provider, response)`` where one is missing and keep the rest.
 
     A failed call has no response and leaves the old value. The answers are brought to one
-    row per key first, so both sides meet in one shuffle on the unique key.
+    row per key first, so both sides meet in one shuffle on the unique key. A provider's
+    answers to one key must be one, or be ordered by the column ``order``; the last counts.
     """
     wide = answers.groupBy(key).agg(
         *[
-            F.max(F.when(F.col("provider") == p, F.col("response"))).alias(f"_new_{p}")
+            single_value(F.col("response"), F.col("provider") == p, order, "answer").alias(f"_new_{p}")
             for p in providers
         ]
     )
@@ -137,6 +166,13 @@ def concat_all(parts: list[DataFrame], schema: T.StructType | None = None) -> Da
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def mark_existing(df: DataFrame, registry: DataFrame, key: str, spread: str, flag: str = "registered") -> DataFrame:
+    """Add whether a row's key is registered; a null key is not."""
+    known = registry.select(key).where(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
+    joined = lookup_join(df, known, [key], spread)
+    return joined.select(*df.columns, F.coalesce(flag, F.lit(False)).alias(flag))
+
+
 def only_existing(df: DataFrame, registry: DataFrame, key: str, spread: str) -> DataFrame:
     """Rows whose key is registered."""
     return lookup_join(df, registry.select(key).distinct(), [key], spread, "left_semi")

@@ -52,7 +52,9 @@ def check_thresholds(
     The metric table is an aggregate with a few rows per source. One aggregation per source
     looks up every threshold, so no join and no list of sources is needed.
     """
-    wanted = list((thresholds or fixed.THRESHOLDS).items())
+    wanted = list((fixed.THRESHOLDS if thresholds is None else thresholds).items())
+    if not wanted:  # no gate, no rows
+        return check_thresholds(metrics, fixed.THRESHOLDS, by).where(F.lit(False))
     values = [
         F.max(F.when(F.col("metric") == fixed.METRIC_OF_THRESHOLD.get(name, name), F.col("value")))
         for name, _ in wanted

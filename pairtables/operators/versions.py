@@ -8,41 +8,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pairtables import fixed_values as fixed
-from pairtables.operators.lookup import SALTS, lookup_join
+from pairtables.operators.lookup import lookup_join, null_key
 
 
 def version_number(col: Column) -> Column:
     """A version as a number; -1 if it is none."""
-    return F.coalesce(col.try_cast("int"), F.lit(-1))
+    return F.coalesce(col.try_cast("bigint"), F.lit(-1).cast("bigint"))
 
 
 def latest_version(df: DataFrame) -> DataFrame:
     """The highest version per name; null if no version of the name is a number."""
-    return df.groupBy("name").agg(F.max(F.col("version").try_cast("int")).alias("latest"))
+    return df.groupBy("name").agg(F.max(F.col("version").try_cast("bigint")).alias("latest"))
 
 
-def retain_versions(df: DataFrame, keep: int = fixed.KEEP_VERSIONS) -> DataFrame:
+def retain_versions(df: DataFrame, keep: int = fixed.KEEP_VERSIONS, key: str = "version") -> DataFrame:
     """Mark every version past the ``keep`` highest of its name as ``Archived``.
 
-    Only the lowest kept version per name is looked for: the top ``keep`` per name and salt,
-    then the top ``keep`` of those. A name with very many versions is spread over the salts.
+    Versions are ordered by number, then by text, then by ``key``, which tells the rows of a
+    name apart, so exactly ``keep`` rows of a name stay; rows without a name are one name.
+    Only the lowest kept row per name is looked for, and each map task passes on at most
+    ``keep`` rows of a name.
     """
-    number = version_number(F.col("version"))
-    salted = df.select(
-        "name", number.alias("_v"), F.pmod(F.xxhash64("version"), F.lit(SALTS)).alias("_salt")
-    )
-    by_salt = Window.partitionBy("name", "_salt").orderBy(F.desc("_v"))
-    by_name = Window.partitionBy("name").orderBy(F.desc("_v"))
+    place = F.struct(version_number(F.col("version")).alias("number"), F.col("version"), F.col(key).alias("key"))
+    keyed = df.withColumn("_name", null_key("name")).withColumn("_place", place)
+    ranked = Window.partitionBy("_name").orderBy(F.desc("_place"))
     cut = (
-        salted.withColumn("_rank", F.row_number().over(by_salt))
-        .where(F.col("_rank") <= keep)
-        .withColumn("_rank", F.row_number().over(by_name))
+        keyed.select("_name", "_place")
+        .withColumn("_rank", F.row_number().over(ranked))
         .where(F.col("_rank") <= keep)
-        .groupBy("name")
-        .agg(F.min("_v").alias("_lowest"))
+        .groupBy("_name")
+        .agg(F.min("_place").alias("_lowest"))
     )
-    kept = number >= F.col("_lowest")
-    return lookup_join(df, cut, ["name"], "version").select(
+    kept = F.coalesce(F.col("_place") >= F.col("_lowest"), F.lit(False))
+    return lookup_join(keyed, cut, ["_name"], "version").select(
         *[c for c in df.columns if c != "stage"],
         F.when(kept, F.col("stage")).otherwise(F.lit("Archived")).alias("stage"),
     )

@@ -69,7 +69,9 @@ _RESPONSE = """case when {0} % 13 = 0 then null when {0} % 5 = 0 then 'no score'
 JUDGE_RAW = f"select event_id as record_id, event_type as metric, {_RESPONSE.format('event_id')} as response from events"
 
 VERSIONS = """
-select 'model_' || cast(user_id % 50 as varchar) as name, cast(event_id as varchar) as version,
+select case when user_id % 50 <> 7 then 'model_' || cast(user_id % 50 as varchar) end as name,
+  case when event_id % 19 = 0 then 'v' || cast(event_id as varchar)
+    when event_id % 17 = 0 then cast(event_id + 3000000000 as varchar) else cast(event_id as varchar) end as version,
   event_type as stage
 from events"""
 
@@ -194,14 +196,10 @@ gate as (select s.source, threshold_name, value, threshold,
     case when value is null then 'N/A' when value >= threshold then 'PASS' else 'FAIL' end as status
   from (select distinct source from m) s cross join th left join m on m.source = s.source and m.metric = th.metric)"""
 
-_BATCH = "greatest(10, (select count(*) from ({0})) // 8)"
-
 
 def _shards(rows: str) -> str:
-    size = _BATCH.format(rows)
-    return f"""select *, printf('batch-%07d-%07d', pos // size * size, least(pos // size * size + size, n)) as shard
-from (select *, row_number() over (order by record_id) - 1 as pos, {size} as size, count(*) over () as n
-      from ({rows}))"""
+    return f"""select *, printf('batch-%07d-%07d', pos // 10 * 10, least(pos // 10 * 10 + 10, n)) as shard
+from (select *, row_number() over (order by record_id) - 1 as pos, count(*) over () as n from ({rows}))"""
 
 
 def _json_item(item: str, field: str, missing: str) -> str:
@@ -244,7 +242,7 @@ checked as (select *, case
 SERVED = """
 select source as endpoint, 'model_' || cast(doc_id % 40 as varchar) as name,
   coalesce(try_cast(case when doc_id % 9 = 0 then 'latest' when doc_id % 8 = 0 then null
-    else cast(doc_id as varchar) end as int), -1) as version
+    else cast(doc_id as varchar) end as bigint), -1) as version
 from documents"""
 
 _TEST = "md5(cast({0} as varchar) || ':42') < '33333333'"
@@ -265,6 +263,8 @@ from checked group by record_id
 union all select record_id, 0, 'no list of records' from r where not ok""",
     "o04_append_dataset": "select * from documents",
     "o05_write_shards": f"""select shard, count(*) as n_rows, min(record_id) as first_id, max(record_id) as last_id
+from ({_shards(DUAL)}) group by shard""",
+    "o05_resume_shards": f"""select shard, count(*) as n_rows, min(record_id) as first_id, max(record_id) as last_id
 from ({_shards(DUAL)}) group by shard""",
     "o06_consolidate": f"""select record_id, instruction,
   case when {_blank('gpt_output')} then instruction else gpt_output end as gpt_output, gemini_output from ({DUAL})""",
@@ -276,13 +276,22 @@ from ({DUAL}) where {_TEST.format('record_id')}""",
     lambda x: {_json_item('x', 'text', "''")}), ' ')
   else {_json_item('output', 'text', "''")} end as output
 from ({POLY})""",
+    "o09_flatten_maps": f"""select record_id, case when record_id % 5 <> 0
+    then case when record_id % 3 = 0 then '' else output end end as cell,
+  case when record_id % 5 <> 0 and record_id % 3 <> 0 then output else '' end || ' ' || instruction as cells
+from ({QA})""",
     "o10_normalize_content": f"""select record_id,
   {_strip("chr(9) || ' ' || instruction || ' ' || output || ' ' || chr(10)")} as content from ({QA})""",
     "o11_chat_format": f"""select record_id, '<|im_start|>user' || chr(10) || instruction || '<|im_end|>' || chr(10)
   || '<|im_start|>assistant' || chr(10) || output || '<|im_end|>' || chr(10) as text from ({QA})""",
-    "o12_assemble_messages": """select conv_id, turn // 10000 as part, count(*) as n_messages,
+    "o11_training_text": f"""select record_id, '<|im_start|>user' || chr(10) || instruction || '<|im_end|>' || chr(10)
+  || '<|im_start|>assistant' || chr(10) || gpt_output || '<|im_end|>' || chr(10) as text
+from ({DUAL}) where gpt_output is not null and record_id % 4 <> 0""",
+    "o12_assemble_messages": """select conv_id, 0 as part, 1 as n_parts, count(*) as n_messages,
   string_agg(role || ': ' || text, chr(10) order by turn) as messages
-from conversations group by 1, 2""",
+from conversations group by conv_id""",
+    "o12_ordered_turns": """select conv_id, row_number() over (partition by conv_id order by turn) - 1 as position,
+  role, md5(text) as digest from conversations""",
     "o13_build_vocab": f"""select token, count, row_number() over (order by count desc, token) + 1 as id
 from (select unnest({_tok('text')}) as token, count(*) as count from documents group by 1)
 order by count desc, token limit 500""",
@@ -370,7 +379,7 @@ from (select event_id, row_number() over (order by event_id) - 1 as position, co
 union all select record_id, null, gemini_output, null from ({DUAL})
 union all select record_id, gpt_output, null, instruction from ({DUAL})""",
     "o31_existing": f"""select name, version, stage,
-  name in (select 'model_' || cast(doc_id % 40 as varchar) from labels) as registered from ({VERSIONS})""",
+  coalesce(name in (select 'model_' || cast(doc_id % 40 as varchar) from labels), false) as registered from ({VERSIONS})""",
     "o32_batch_progress": f"""select (row - 1) // 10 as batch,
   count(*) filter (coalesce(gpt_output, '') <> '') as gpt_output_done,
   count(*) filter (coalesce(gemini_output, '') <> '') as gemini_output_done, count(*) as n_rows
@@ -416,9 +425,9 @@ union all select event_id, event_id, 'k', cast(props ->> '$.k' as double) from e
 select source, 'model_name' as key, 'Org_Base_05_' || source as value from r
 union all select source, 'source_column', source from r
 union all select source, 'num_samples', cast(n as varchar) from r""",
-    "o45_latest_version": f"select name, max(cast(version as bigint)) as latest from ({VERSIONS}) group by name",
+    "o45_latest_version": f"select name, max(try_cast(version as bigint)) as latest from ({VERSIONS}) group by name",
     "o46_retain_versions": f"""select name, version,
-  case when row_number() over (partition by name order by cast(version as int) desc) <= 3 then stage
+  case when row_number() over (partition by name order by coalesce(try_cast(version as bigint), -1) desc, version desc) <= 3 then stage
     else 'Archived' end as stage from ({VERSIONS})""",
     "o47_resolve_endpoint": f"""with s as (select name, version, min(endpoint) as endpoint from ({SERVED}) group by 1, 2),
 w as (select name, arg_max(endpoint, version) as endpoint from s group by 1),
@@ -428,8 +437,8 @@ select request_id, q.name, q.version, coalesce(s.endpoint, w.endpoint) as endpoi
 from q left join s on s.name = q.name and s.version = q.version left join w on w.name = q.name""",
     "o48_sample_rows": f"select record_id, inputs, outputs from ({EVAL}) order by record_id limit 3",
     "o49_cap_per_topic": """select record_id, topic
-from (select doc_id as record_id, lang as topic,
-        row_number() over (partition by lang order by md5(cast(doc_id as varchar))) as r from documents)
+from (select doc_id as record_id, nullif(lang, 'es') as topic,
+        row_number() over (partition by nullif(lang, 'es') order by md5(cast(doc_id as varchar))) as r from documents)
 where r <= 150""",
     "o50_ingest_stream": f"select *, conv_id * {TURNS} + turn as record_id from conversations",
     "o51_progress_stream": f"""select shard, count(*) filter (coalesce(gpt_output, '') <> '') as gpt_output_done,
@@ -440,4 +449,35 @@ from ({_shards(DUAL)}) group by shard""",
   contains(outputs, topic)::int::double as names_source from ({EVAL})""",
     "o53_map_batches": """select doc_id, length(text) as n_text,
   length(text) - length(replace(text, chr(10), '')) + 1 as n_lines from documents""",
+    "entry_answers": "select record_id, "
+    + ", ".join(
+        f"""case when {_blank(p)} and not {_blank('instruction')} and length({_prompt(p)}) % 17 <> 0
+  then length({_prompt(p)}) || ' characters' else {p} end as {p}"""
+        for p in ("gpt_output", "gemini_output")
+    )
+    + f", 0.2::double as temperature, 400::bigint as max_tokens from ({DUAL})",
+    "entry_training": f"""with s as (select record_id, '<|im_start|>user' || chr(10) || instruction || '<|im_end|>' || chr(10)
+    || '<|im_start|>assistant' || chr(10) || gemini_output || '<|im_end|>' || chr(10) as text
+  from ({DUAL}) where gemini_output is not null),
+t as (select record_id, {_tok('text')} as toks from s),
+v as (select token, row_number() over (order by count(*) desc, token) + 1 as id
+      from (select unnest(toks) as token from t) group by token order by count(*) desc, token limit 500),
+p as (select record_id, x.i, coalesce(v.id, 1) as id
+      from (select record_id, unnest(range(1, least(len(toks), 256) + 1)) as i, toks from t) x
+      left join v on v.token = x.toks[x.i]),
+e as (select record_id, list(id order by i) as ids from p group by record_id)
+select record_id, md5(array_to_string(list_resize(coalesce(ids, []), 256, 0), ' ')) as digest,
+  len(toks) > 256 as truncated, {_TEST.format('record_id')} as is_test from t left join e using (record_id)""",
+    "entry_instructions": f"""{_RECORDS},
+a as (select topic, count(*) as produced from (select distinct item ->> '$.topic' as topic,
+  item ->> '$.instruction' as instruction from checked where status = 'valid') group by topic),
+g as (select lang as topic, count(*) as target from documents group by lang),
+n as (select 1 as planning, topic, target as short from g
+      union all select 2, topic, target - coalesce(produced, 0) from g left join a using (topic)),
+q as (select planning, topic, unnest(range(1, cast(ceil(short / 20.0) as bigint) + 1)) as round from n where short > 0),
+m as (select planning, topic, round, model, 10 as batch_size, 0.2::double as temperature, 400 as max_tokens
+      from q, (values ('gpt'), ('gemini')) x(model))
+select md5('1:' || planning || length(topic) || ':' || topic || length(cast(round as varchar)) || ':' || round
+    || length(model) || ':' || model) as record_id,
+  planning::bigint as planning, round, topic, model, {_prompt('instructions')} as prompt from m""",
 }

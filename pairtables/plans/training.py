@@ -14,10 +14,21 @@ from pairtables.operators.split import train_test_split
 def training_text(
     df: DataFrame, source: str, template: ChatTemplate = ChatTemplate(), key: str = "record_id"
 ) -> DataFrame:
-    """One source's pairs as chat text. Rows without an answer are left out."""
+    """One source's pairs as chat text. Rows without an instruction or an answer have none and
+    are left out; :func:`left_out` counts them."""
     pairs = select_source(df, source, key)
     flat = pairs.withColumn("output", flatten_text(F.col("output"), pairs.schema["output"].dataType))
-    return chat_format(flat.where(F.col("output").isNotNull()), template).select(key, "text")
+    return chat_format(flat, template).where(F.col("text").isNotNull()).select(key, "text")
+
+
+def left_out(df: DataFrame, source: str) -> DataFrame:
+    """One row: how many rows of a source make no training text, by what they lack."""
+    return select_source(df, source).select(
+        F.col("instruction").isNull().alias("a"), F.col("output").isNull().alias("b")
+    ).agg(
+        F.count_if("a").alias("no_instruction"),
+        F.count_if(~F.col("a") & F.col("b")).alias("no_answer"),
+    )
 
 
 def training_rows(

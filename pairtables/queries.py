@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 import pandas as pd
@@ -14,8 +13,8 @@ from pairtables.operators import encode as en, generation as ge, judge as ju, le
 from pairtables.operators import pairs as pa, position as po, progress as pr, report as re_, versions as ve
 from pairtables.operators.infer import batch_infer, map_batches
 from pairtables.operators.split import is_test_row
-from pairtables.plans import evaluation as ev
-from pairtables.session import shared_path
+from pairtables.plans import answers as an, evaluation as ev, instructions as ins, training as tr
+from pairtables.session import shared_path, stored
 from pairtables.sources import records, tables
 from pairtables.streaming import shards
 
@@ -40,11 +39,6 @@ def _round(*names: str):
     return [F.round(n, 6).alias(n) for n in names]
 
 
-def _batch_size(rows: int) -> int:
-    """Some eight batches however large the table, and never fewer than ten rows in one."""
-    return max(fixed.BATCH_SIZE, rows // 8)
-
-
 # Sources and sinks
 
 
@@ -55,10 +49,17 @@ def o01_read_dataset(spark, sf_dir):
 
 def _sharded(spark, sf_dir) -> str:
     rows, root = views.qa_dual(spark, sf_dir), shared_path(spark, "shards")
-    tables.write_shards(rows, root, _batch_size(rows.count()), rows_per_bucket=ROWS_PER_RANGE // 16)
+    tables.write_shards(rows, root, rows_per_bucket=ROWS_PER_RANGE // 16)
     return root
 
 
+def _shard_sizes(spark, root: str) -> DataFrame:
+    read = tables.read_shards(spark, root, T.StructType(DUAL_FIELDS))
+    return read.groupBy("shard").agg(
+        F.count("*").alias("n_rows"), F.min("record_id").alias("first_id"), F.max("record_id").alias("last_id")
+    )
+
+
 @query
 def o02_read_shards(spark, sf_dir):
     root = _sharded(spark, sf_dir)
@@ -70,23 +71,19 @@ def o02_read_shards(spark, sf_dir):
 
 @query
 def o03_validate_records(spark, sf_dir):
-    valid, rejected = records.validate_records(
-        views.record_sets(spark, sf_dir), "response", whole_response=False
-    )
-    good = valid.select(
+    rows = records.validate_records(views.record_sets(spark, sf_dir), "response", whole_response=False)
+    return rows.select(
         "record_id", *_long("pos"), "model", "topic", F.md5("instruction").alias("digest"),
-        "temperature", F.lit("valid").alias("status"),
+        "temperature", F.coalesce("reason", F.lit("valid")).alias("status"),
     )
-    bad = rejected.select("record_id", *_long("pos"), F.col("reason").alias("status"))
-    return good.unionByName(bad, allowMissingColumns=True)
 
 
 @query
 def o03_validate_responses(spark, sf_dir):
-    valid, rejected = records.validate_records(views.record_sets(spark, sf_dir), "response")
-    good = valid.groupBy("record_id").agg(F.count("*").alias("n_records"), F.lit("valid").alias("status"))
-    bad = rejected.select("record_id", F.lit(0).cast("long").alias("n_records"), F.col("reason").alias("status"))
-    return good.unionByName(bad)
+    rows = records.validate_records(views.record_sets(spark, sf_dir), "response")
+    return rows.groupBy("record_id").agg(
+        F.count_if(F.col("reason").isNull()).alias("n_records"), F.coalesce(F.max("reason"), F.lit("valid")).alias("status")
+    )
 
 
 @query
@@ -99,11 +96,16 @@ def o04_append_dataset(spark, sf_dir):
 
 @query
 def o05_write_shards(spark, sf_dir):
-    root = _sharded(spark, sf_dir)
-    read = tables.read_shards(spark, root, T.StructType(DUAL_FIELDS))
-    return read.groupBy("shard").agg(
-        F.count("*").alias("n_rows"), F.min("record_id").alias("first_id"), F.max("record_id").alias("last_id")
-    )
+    return _shard_sizes(spark, _sharded(spark, sf_dir))
+
+
+@query
+def o05_resume_shards(spark, sf_dir):
+    """Half of the shards are written by a run that ends early, the rest by the next one."""
+    rows, root = views.qa_dual(spark, sf_dir), shared_path(spark, "shards")
+    for only in (F.xxhash64("shard") % 2 == 0, None):
+        tables.write_shards(rows, root, rows_per_bucket=ROWS_PER_RANGE // 16, only=only)
+    return _shard_sizes(spark, root)
 
 
 @query
@@ -134,6 +136,20 @@ def o09_flatten_text(spark, sf_dir):
     )
 
 
+@query
+def o09_flatten_maps(spark, sf_dir):
+    """Cells that are maps, and lists of maps; some have no text, some are null."""
+    key, none = F.col("record_id"), F.lit(None).cast("map<string,string>")
+    one = F.when(key % 5 == 0, none).when(key % 3 == 0, F.create_map(F.lit("n"), "output")).otherwise(
+        F.create_map(F.lit("text"), "output", F.lit("n"), "instruction")
+    )
+    rows = views.qa_pairs(spark, sf_dir).select(
+        "record_id", one.alias("cell"), F.array(one, F.create_map(F.lit("text"), "instruction")).alias("cells")
+    )
+    flat = [tx.flatten_text(F.col(c), rows.schema[c].dataType).alias(c) for c in ("cell", "cells")]
+    return rows.select("record_id", *flat)
+
+
 @query
 def o10_normalize_content(spark, sf_dir):
     parts = F.array(F.concat(F.lit("\t "), "instruction"), F.concat("output", F.lit(" \n")))
@@ -147,28 +163,42 @@ def o11_chat_format(spark, sf_dir):
     return tx.chat_format(views.qa_pairs(spark, sf_dir)).select("record_id", "text")
 
 
+@query
+def o11_training_text(spark, sf_dir):
+    """Chat texts; rows without an instruction or an answer have none."""
+    key = F.col("record_id")
+    dual = views.qa_dual(spark, sf_dir)
+    return tr.training_text(dual.withColumn("instruction", F.when(key % 4 != 0, F.col("instruction"))), "gpt_output")
+
+
 @query
 def o12_assemble_messages(spark, sf_dir):
     assembled = pa.assemble_messages(views.table(spark, sf_dir, "conversations"))
     line = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"]))
     return assembled.select(
-        "conv_id", *_long("part"), F.size("messages").cast("long").alias("n_messages"),
+        "conv_id", *_long("part", "n_parts"), F.size("messages").cast("long").alias("n_messages"),
         F.array_join(line, "\n").alias("messages"),
     )
 
 
+@query
+def o12_ordered_turns(spark, sf_dir):
+    turns = pa.ordered_turns(views.table(spark, sf_dir, "conversations"), turns_per_block=3)
+    return turns.select("conv_id", *_long("position"), "role", F.md5("content").alias("digest"))
+
+
 VOCABULARY = 500
 
 
 @query
 def o13_build_vocab(spark, sf_dir):
-    vocab = en.build_vocab(tables.spread_small(views.table(spark, sf_dir, "documents")), VOCABULARY)
+    vocab = en.build_vocab(views.spread(views.table(spark, sf_dir, "documents")), VOCABULARY)
     return vocab.select("token", *_long("count", "id"))
 
 
 @query
 def o13_encode(spark, sf_dir):
-    docs = tables.spread_small(views.table(spark, sf_dir, "documents"))
+    docs = views.spread(views.table(spark, sf_dir, "documents"))
     encoded = en.encode(docs, en.build_vocab(docs, VOCABULARY))
     ids = [F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("input_ids", "attention_mask", "labels")]
     return encoded.select("doc_id", *ids, "truncated")
@@ -355,9 +385,7 @@ def _registry(spark, sf_dir) -> DataFrame:
 @query
 def o31_existing(spark, sf_dir):
     rows, registry = views.versions(spark, sf_dir), _registry(spark, sf_dir)
-    have = pa.only_existing(rows, registry, "name", "version").withColumn("registered", F.lit(True))
-    lack = pa.only_missing(rows, registry, "name", "version").withColumn("registered", F.lit(False))
-    return have.unionByName(lack)
+    return pa.mark_existing(rows, registry, "name", "version")
 
 
 # Aggregation, metrics, gate
@@ -470,7 +498,7 @@ def o44_metrics_long(spark, sf_dir):
         (F.col("event_id") % 97).cast("string"), F.lit('.5,"note":"'), "event_type",
         F.lit('","ok":true,"quoted":"7","empty":null,'), F.col("props").substr(F.lit(2), F.length("props")),
     )
-    events = tables.spread_small(views.table(spark, sf_dir, "events"))
+    events = views.spread(views.table(spark, sf_dir, "events"))
     logged = events.select("event_id", entry.alias("entry"))
     return re_.metrics_long(logged, "entry")
 
@@ -525,7 +553,7 @@ def o48_sample_rows(spark, sf_dir):
 @query
 def o49_cap_per_topic(spark, sf_dir):
     docs = views.table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("record_id"), F.col("lang").alias("topic")
+        F.col("doc_id").alias("record_id"), F.nullif(F.col("lang"), F.lit("es")).alias("topic")
     )
     return ge.cap_per_topic(docs, 150)
 
@@ -533,23 +561,23 @@ def o49_cap_per_topic(spark, sf_dir):
 # Streaming
 
 
-def _file_stream(spark, sf_dir, name, schema) -> DataFrame:
-    """A table as a stream of its files; on a cluster a table is a directory, in tests one file."""
-    path = f"{sf_dir}/{name}.parquet"
-    if os.path.isfile(path):
-        return shards.shard_stream(spark, sf_dir, schema, files=f"{name}.parquet")
-    return shards.shard_stream(spark, path, schema)
-
-
 @query
 def o50_ingest_stream(spark, sf_dir):
-    sink, checkpoint = shared_path(spark, "ingested"), shared_path(spark, "checkpoint")
-    for _ in range(2):
-        turns = _file_stream(spark, sf_dir, "conversations", schemas.CONVERSATIONS)
+    """Files arrive, one per micro-batch; then more files, some rows a second time, after a restart."""
+    table = views.table(spark, sf_dir, "conversations")
+    source, sink, checkpoint = (shared_path(spark, n) for n in ("arrived", "ingested", "checkpoint"))
+    third = F.pmod(F.xxhash64("conv_id"), F.lit(3))
+    for part in (table.where(third < 2), table.where(third > 0)):
+        tables.append_dataset(part.repartition(2), source)
+        turns = shards.shard_stream(spark, source, schemas.CONVERSATIONS, max_files=1)
         keyed = turns.withColumn("record_id", F.col("conv_id") * views.TURNS + F.col("turn"))
         shards.ingest_stream(keyed, sink, checkpoint)
-    stored = T.StructType([*schemas.CONVERSATIONS.fields, T.StructField("record_id", T.LongType())])
-    return tables.read_dataset(spark, sink, stored).drop("batch_id")
+    schema = T.StructType([*schemas.CONVERSATIONS.fields, T.StructField("record_id", T.LongType())])
+    return tables.read_dataset(spark, sink, schema).drop("run", "batch_id")
+
+
+#: Files per micro-batch of the query below: a few micro-batches at any size of the samples.
+MAX_FILES = 50
 
 
 @query
@@ -557,7 +585,8 @@ def o51_progress_stream(spark, sf_dir):
     root = _sharded(spark, sf_dir)
     schema = T.StructType([*DUAL_FIELDS, T.StructField("shard", T.StringType())])
     sink, checkpoint = shared_path(spark, "progress"), shared_path(spark, "checkpoint")
-    shards.progress_stream(shards.shard_stream(spark, root, schema), sink, checkpoint, ["shard"])
+    stream = shards.shard_stream(spark, root, schema, max_files=MAX_FILES)
+    shards.progress_stream(stream, sink, checkpoint, ["shard"])
     return shards.latest_progress(spark, sink)
 
 
@@ -591,6 +620,53 @@ def o53_map_batches(spark, sf_dir):
     return map_batches(docs, word_lengths, "doc_id long, n_text long, n_lines long")
 
 
+# Whole entries
+
+
+@query
+def entry_answers(spark, sf_dir):
+    """Answers are filled, sharded in two runs, and consolidated with what was done before."""
+    dual = views.qa_dual(spark, sf_dir)
+    blank = [tx.is_blank(F.col(p)) for p in pa.PROVIDERS]
+    done = pa.stamp_settings(dual.where(~blank[0] & ~blank[1]))
+    models = dict.fromkeys(pa.PROVIDERS, stand_in_model)
+    filled = stored(an.fill_answers(dual, models, shared_path(spark, "answers"), done), "filled")
+    root = shared_path(spark, "shards")
+    for only in (F.xxhash64("shard") % 2 == 0, None):
+        tables.write_shards(filled, root, rows_per_bucket=ROWS_PER_RANGE // 16, only=only)
+    new = tables.read_shards(spark, root, filled.schema).drop("shard")
+    table = tables.consolidate(done, new, shared_path(spark, "train"))
+    return table.select("record_id", "gpt_output", "gemini_output", "temperature", *_long("max_tokens"))
+
+
+@query
+def entry_training(spark, sf_dir):
+    """One source is selected, flattened, made chat text, encoded and split."""
+    train, test = tr.training_rows(views.qa_dual(spark, sf_dir), "gemini_output", VOCABULARY)
+    both = train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
+    ids = F.array_join(F.col("input_ids").cast("array<string>"), " ")
+    return both.select("record_id", F.md5(ids).alias("digest"), "truncated", "is_test")
+
+
+@query
+def entry_instructions(spark, sf_dir):
+    """Requests are planned, responses validated and appended, and what is still missing is planned.
+
+    The recorded responses of ``record_sets`` stand for those of a model."""
+    targets = views.table(spark, sf_dir, "documents").groupBy(F.col("lang").alias("topic")).agg(
+        F.count("*").alias("target")
+    )
+    path, models = shared_path(spark, "records"), ["gpt", "gemini"]
+    none = spark.createDataFrame([], "topic string")
+    first = stored(ins.planned_requests(none, targets, models), "first")
+    accepted, _ = ins.accepted_records(views.record_sets(spark, sf_dir), whole_response=False)
+    tables.append_dataset(accepted.select(*[f.name for f in schemas.INSTRUCTION_RECORD.fields]), path)
+    have = tables.read_dataset(spark, path, schemas.INSTRUCTION_RECORD)
+    second = ins.planned_requests(have, targets, models, planning=2)
+    both = first.unionByName(pa.pending_rows(second, first))
+    return both.select("record_id", *_long("planning", "round"), "topic", "model", "prompt")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Do the sources' predictions pass the acceptance gate?"""
     return o41_check_thresholds(spark, sf_dir)

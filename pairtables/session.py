@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Streams keep the keys they have seen on disk, not in the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Texts differ in length by three orders of magnitude, so an Arrow batch is
     # bounded by bytes as well as by rows.
@@ -29,14 +32,23 @@ def build_session(app_name: str = "pairtables", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path for a table under ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The parent of all tables that this application writes; drop it when they are done with.
 
-    Only a local master may go without that setting; it then uses a temporary folder.
+    It is below ``spark.checkpoint.dir``, or below the warehouse where that is not set.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/pairtables-{uuid.uuid4().hex}/{name}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/pairtables-{spark.sparkContext.applicationId}"
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new, unused path for a table that all executors can read."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: computed once, and kept when an
+    executor is lost."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -27,7 +27,7 @@ def _problem(item: Column) -> Column:
 
 def _entry(pos: Column, reason: Column, rejected: Column, item: Column | None = None) -> Column:
     def field(name: str, kind: str) -> Column:
-        value = F.lit(None) if item is None else F.try_variant_get(item[name], "$", kind)
+        value = F.lit(None) if item is None else F.when(reason.isNull(), F.try_variant_get(item[name], "$", kind))
         return value.cast(kind).alias(name)
 
     return F.struct(
@@ -39,18 +39,17 @@ def _entry(pos: Column, reason: Column, rejected: Column, item: Column | None =
     )
 
 
-def validate_records(
-    df: DataFrame, json_col: str, whole_response: bool = True
-) -> tuple[DataFrame, DataFrame]:
-    """Split responses ``{"records": [...]}`` into typed records and rejects.
+def validate_records(df: DataFrame, json_col: str, whole_response: bool = True) -> DataFrame:
+    """Records and rejects of responses ``{"records": [...]}`` as one table.
 
-    A record needs three texts and a number. With ``whole_response`` one bad record rejects
-    its response, as a validated response object does; otherwise only that record.
-    Rejects keep the response (or the record) and say why.
+    A record needs three texts and a number; its row has ``pos`` and its fields. With
+    ``whole_response`` one bad record rejects its response, as a validated response object
+    does; otherwise only that record. The row of a reject has ``reason`` and, as ``rejected``,
+    the response (or the record).
 
     Every response is parsed once. What becomes of it is decided inside the row, as a list
-    of entries that is then laid out in rows; filters come after that, where the optimizer
-    cannot copy the parse into them.
+    of entries that is then laid out in rows. Where both :func:`valid_records` and
+    :func:`rejects` are wanted, write this table once and filter what was written.
     """
     kept = [c for c in df.columns if c != json_col]
     items = F.from_json(json_col, _SHAPE)["records"]
@@ -67,7 +66,14 @@ def validate_records(
     entries = F.when(F.col("_items").isNull(), F.array(_entry(nowhere, F.lit(_NO_LIST), whole)))
     if whole_response:
         entries = entries.when(first.isNotNull(), F.array(_entry(nowhere, first, whole)))
-    rows = checked.select(*kept, F.inline(entries.otherwise(per_record)))
-    valid = rows.where(F.col("reason").isNull()).drop("reason", "rejected")
-    rejected = rows.where(F.col("reason").isNotNull()).select(*kept, "pos", "rejected", "reason")
-    return valid, rejected
+    return checked.select(*kept, F.inline(entries.otherwise(per_record)))
+
+
+def valid_records(rows: DataFrame) -> DataFrame:
+    """The typed records of :func:`validate_records`."""
+    return rows.where(F.col("reason").isNull()).drop("reason", "rejected")
+
+
+def rejects(rows: DataFrame) -> DataFrame:
+    """The rejects of :func:`validate_records`."""
+    return rows.where(F.col("reason").isNotNull()).drop(*_TEXT_FIELDS, "temperature")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from pairtables import fixed_values as fixed
 from pairtables.operators.position import ROWS_PER_BUCKET, with_batches
@@ -13,18 +14,6 @@ def read_dataset(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).parquet(path)
 
 
-def spread_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
-    """Spread a table of at most ``max_rows`` rows over all cores; leave a larger one as it is.
-
-    A small file has one row group, so one task would do all the work on it. Large tables
-    come in more pieces than there are cores, and are not shuffled; ``take`` looks only at
-    as many of their pieces as it needs to pass the bound.
-    """
-    if len(df.select(F.lit(1)).take(max_rows + 1)) > max_rows:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def append_dataset(df: DataFrame, path: str) -> None:
     """Add rows to a table. Part files get unique names, so nothing is overwritten."""
     df.write.mode("append").parquet(path)
@@ -47,20 +36,42 @@ def with_shards(
     return numbered.withColumn("shard", shard_name()).drop(*helper)
 
 
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The table at a path, or None if there is no such path. Any other error is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def write_shards(
     df: DataFrame,
     root: str,
     batch_size: int = fixed.BATCH_SIZE,
     order_by: str = "record_id",
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    only: Column | None = None,
 ) -> None:
-    """Write one ``shard=batch-…`` directory per batch.
-
-    Rows leave the numbering sorted by key within a range of keys, so each task writes the
-    shards of its own range, one after the other. ``batch_size`` should grow with the table.
+    """Write one ``shard=batch-…`` directory per batch, except those that are there already.
+
+    ``df`` is the whole table: a shard's name comes from the positions of its rows in it, so
+    a run that goes on after an interruption writes the shards that are missing and no
+    others. ``only``, a condition on the columns of ``df`` and ``shard``, leaves shards for a
+    later run. A shard replaces its own directory at most. Rows leave the numbering sorted by
+    key within a range of keys, so each task writes the shards of its own range, one after
+    the other. ``batch_size`` should grow with the table: every batch is a directory.
     """
     sharded = with_shards(df, batch_size, order_by, rows_per_bucket)
-    sharded.sortWithinPartitions("shard").write.partitionBy("shard").parquet(root)
+    if only is not None:
+        sharded = sharded.where(only)
+    names = T.StructType([T.StructField("shard", T.StringType())])
+    there = read_if_there(df.sparkSession, root, names)
+    if there is not None:
+        sharded = sharded.join(there.select("shard").distinct(), "shard", "left_anti").select(*df.columns, "shard")
+    writer = sharded.sortWithinPartitions("shard").write.partitionBy("shard")
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
 
 
 def read_shards(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pairtables.operators.pairs import PROVIDERS, pending_rows
 from pairtables.operators.progress import completion
-from pairtables.sources.tables import one_per_key
+from pairtables.sources.tables import read_if_there
 
 
 def shard_stream(
@@ -26,32 +27,29 @@ def shard_stream(
     return reader.parquet(src)
 
 
-def _earlier(batch: DataFrame, sink: str, key: str, batch_id: int) -> DataFrame | None:
-    """Keys written by other micro-batches, or None when there are none yet."""
-    schema = T.StructType([batch.schema[key], T.StructField("batch_id", T.LongType())])
-    try:
-        stored = batch.sparkSession.read.schema(schema).parquet(sink)
-    except AnalysisException:
-        return None
-    return stored.where(F.col("batch_id") != batch_id).select(key)
-
-
 def ingest_stream(stream: DataFrame, sink: str, checkpoint: str, key: str = "record_id") -> None:
     """Take in all shards that have not been seen, each row once; return when none is left.
 
-    A micro-batch replaces its own ``batch_id=`` directory, so running it again after a
-    failure adds nothing, and only the key column of the sink is read back.
+    The keys seen so far are the state of the stream, partitioned by key and kept on disk
+    (see ``session.SETTINGS``), so a micro-batch looks up its own keys and does not read the
+    sink. A micro-batch replaces its own ``run=…/batch_id=…`` directory, so running it again
+    after a failure adds nothing. A run is a checkpoint; only if the sink has rows of other
+    runs, which are not in this one's state, their keys are read.
     """
+    run = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    fields = [stream.schema[key], T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
+    there = read_if_there(stream.sparkSession, sink, T.StructType(fields))
+    others = None if there is None else there.where(F.col("run") != run)
+    if others is not None and others.isEmpty():
+        others = None
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = one_per_key(batch, key, F.xxhash64(*batch.columns))
-        earlier = _earlier(batch, sink, key, batch_id)
-        if earlier is not None:
-            fresh = pending_rows(fresh, earlier, key)
-        fresh.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        fresh = batch if others is None else pending_rows(batch, others, key)
+        fresh.write.mode("overwrite").parquet(f"{sink}/run={run}/batch_id={batch_id}")
 
     query = (
-        stream.writeStream.foreachBatch(write)
+        stream.dropDuplicates([key])
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pairtables import schemas
-from pairtables.sources.tables import read_dataset, spread_small
+from pairtables.sources.tables import read_dataset
 
 TURNS = 2**32
 _SCHEMAS = {
@@ -24,9 +24,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_dataset(spark, f"{sf_dir}/{name}.parquet", _SCHEMAS[name])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A sample file is one piece, which one task would read and work on alone. Rows of a table
+    in fewer pieces than there are cores are dealt out; a larger table is not shuffled. No job
+    runs for this, and rows and results are the same either way."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def qa_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns with the assistant turn that follows, joined on the unique turn."""
-    turns = spread_small(table(spark, sf_dir, "conversations"))
+    turns = spread(table(spark, sf_dir, "conversations"))
     asked = turns.where("role = 'user'").select(
         "conv_id", F.col("turn").alias("at"), F.col("text").alias("instruction")
     )
@@ -52,7 +60,7 @@ def eval_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents as targets, and outputs that overlap with them."""
     skipped = (F.col("n_chars") % 40).cast("int")
     rest = F.col("text").substr(skipped + 1, F.length("text"))
-    return spread_small(table(spark, sf_dir, "documents")).select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("record_id"),
         F.col("lang").alias("topic"),
         F.concat_ws(" ", F.lit("Write"), "lang", F.lit("text like"), "source").alias("inputs"),
@@ -108,10 +116,17 @@ def _response(number):
 
 
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Versions as text, so that numeric and lexical order differ."""
+    """Versions as text, so that numeric and lexical order differ; some exceed 32 bits, some
+    are no numbers, and some have no name."""
+    user, number = F.col("user_id") % 50, F.col("event_id")
+    version = (
+        F.when(number % 19 == 0, F.concat(F.lit("v"), number.cast("string")))
+        .when(number % 17 == 0, (number + 3_000_000_000).cast("string"))
+        .otherwise(number.cast("string"))
+    )
     return table(spark, sf_dir, "events").select(
-        F.concat(F.lit("model_"), (F.col("user_id") % 50).cast("string")).alias("name"),
-        F.col("event_id").cast("string").alias("version"),
+        F.when(user != 7, F.concat(F.lit("model_"), user.cast("string"))).alias("name"),
+        version.alias("version"),
         F.col("event_type").alias("stage"),
     )
 
@@ -161,5 +176,5 @@ def record_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"instruction":"Explain","temperature":1}]'),
         F.when(key % 13 == 0, "").otherwise("}"),
     )
-    docs = spread_small(table(spark, sf_dir, "documents"))
+    docs = spread(table(spark, sf_dir, "documents"))
     return docs.select(key.alias("record_id"), body.alias("response"))

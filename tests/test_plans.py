@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import Window, functions as F
 
-from pairtables import schemas, views
-from pairtables.operators import encode as en, lexical as lx, pairs as pa, report as rp, split as sp, versions as ve
+from pairtables import queries, schemas, views
+from pairtables.operators import encode as en, lexical as lx, lookup, pairs as pa, report as rp, split as sp, versions as ve
 from pairtables.plans import evaluation as ev
 from pairtables.sources import records, tables
 from pairtables.streaming import shards
@@ -68,21 +68,47 @@ def test_only_few_rows_per_key_reach_the_shuffle(spark, pairs):
 
 def test_registry_joins_do_not_shuffle_the_rows(spark, pairs):
     registry = spark.createDataFrame([("a",)], "source string")
-    assert "Exchange hashpartitioning" not in plan(pa.only_missing(pairs, registry, "source", "record_id"))
+    assert "Exchange hashpartitioning" not in plan(pa.mark_existing(pairs, registry, "source", "record_id"))
     versions = pairs.select(F.col("source").alias("name"), F.col("record_id").cast("string").alias("version"), F.lit("s").alias("stage"))
     assert "Exchange hashpartitioning" not in plan(ve.retain_versions(versions))
 
 
+def test_the_salts_of_a_hot_key_grow_with_its_rows(spark):
+    """70,000 rows of one key at 100 rows for a task: some 700 salts, and no job while planning."""
+    left = spark.range(71_000).select(F.col("id").alias("record_id"), F.when(F.col("id") < 70_000, 0).otherwise(F.col("id")).alias("k"))
+    right = left.select("k").distinct().withColumn("v", F.lit(1))
+    status = spark.sparkContext.statusTracker()
+    before = len(status.getJobIdsForGroup(None))
+    joined = lookup.salted_join(left, right, ["k"], "record_id", hot_rows=100)
+    assert len(status.getJobIdsForGroup(None)) == before
+    assert joined.count() == 71_000 and joined.where("v is null").count() == 0
+    keyed = joined._jdf.queryExecution().analyzed().toString()
+    assert "_salt" in keyed
+    counts = left.groupBy("k").count().where("count > 100").select(F.ceil(F.col("count") / 100)).collect()
+    assert [r[0] for r in counts] == [700]
+    text = plan(joined)
+    assert "Cartesian" not in text and "NestedLoop" not in text
+
+
 def test_responses_are_parsed_once(pairs):
-    valid, rejected = records.validate_records(pairs.select("record_id", F.col("targets").alias("response")), "response")
-    assert plan(valid).count("from_json") == 1 and plan(rejected).count("from_json") == 1
+    rows = records.validate_records(pairs.select("record_id", F.col("targets").alias("response")), "response")
+    for part in (rows, records.valid_records(rows), records.rejects(rows)):
+        assert plan(part).count("from_json") == 1
     logged = rp.metrics_long(pairs.select("record_id", F.col("targets").alias("entry")), "entry")
     assert plan(logged).count("from_json") == 1
 
 
-def test_small_tables_are_spread_and_large_ones_left_alone(spark, pairs):
-    assert "RoundRobinPartitioning" in plan(tables.spread_small(pairs))
-    assert "Exchange" not in plan(tables.spread_small(pairs, max_rows=100))
+def test_registered_queries_scan_their_table_once(spark, sf_small):
+    text = plan(queries.QUERIES["o03_validate_records"](spark, sf_small))
+    assert text.count("from_json") == 1 and text.count("FileScan") == 1
+    text = plan(queries.QUERIES["o31_existing"](spark, sf_small))
+    assert text.count("events.parquet") == 1
+
+
+def test_tables_of_few_pieces_are_spread_and_others_left_alone(spark, pairs):
+    assert "RoundRobinPartitioning" in plan(views.spread(pairs.coalesce(1)))
+    many = spark.range(1000).repartition(spark.sparkContext.defaultParallelism)
+    assert views.spread(many) is many
 
 
 def test_pairs_are_joined_on_the_whole_key(spark, sf_small):

@@ -5,14 +5,14 @@ import sys
 
 import pytest
 from pyspark import cloudpickle
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F, types as T
 
 from pairtables import schemas
 from pairtables.operators import encode as en, generation as ge, infer, pairs as pa, position as po
 from pairtables.operators import progress as pr, split as sp, versions as ve
 from pairtables.operators.lookup import lookup_join
 from pairtables.plans.answers import fill_answers
-from pairtables.plans.instructions import accepted_records, planned_requests
+from pairtables.plans.instructions import accepted_records, key_of, planned_requests
 from pairtables.plans.training import training_rows
 from pairtables.sources import records, tables
 
@@ -113,7 +113,7 @@ def test_lookup_join_past_the_bound_gives_the_same_rows(spark, how, hot_rows):
     left = left.withColumn("k", F.when(F.col("record_id") == 7, None).otherwise(F.col("k")))
     right = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     small = lookup_join(left, right, ["k"], "record_id", how)
-    large = lookup_join(left, right, ["k"], "record_id", how, max_rows=0, hot_rows=hot_rows, salts=8)
+    large = lookup_join(left, right, ["k"], "record_id", how, max_rows=0, hot_rows=hot_rows)
     assert "Broadcast" in small._jdf.queryExecution().toString()
     assert sorted(map(repr, small.collect())) == sorted(map(repr, large.select(small.columns).collect()))
 
@@ -121,7 +121,7 @@ def test_lookup_join_past_the_bound_gives_the_same_rows(spark, how, hot_rows):
 def test_hot_keys_are_spread_over_tasks(spark):
     left = numbered(spark, 3000).withColumn("k", F.when(F.col("record_id") < 1000, "hot").otherwise(F.col("record_id").cast("string")))
     right = left.select("k").distinct().withColumn("v", F.lit(1))
-    joined = lookup_join(left, right, ["k"], "record_id", max_rows=0, hot_rows=100, salts=16)
+    joined = lookup_join(left, right, ["k"], "record_id", max_rows=0, hot_rows=100)
     assert joined.count() == 3000 and joined.where("v is null").count() == 0
     plain = left.repartition(16, "k").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     salted = left.withColumn("s", F.when(F.col("k") == "hot", F.pmod(F.xxhash64("record_id"), F.lit(16))).otherwise(0))
@@ -150,6 +150,16 @@ def test_blank_rows_pass_through(spark):
     assert ids(full) == [1, 2, 3] and ids(blank) == [4, 5]
 
 
+def test_repeated_answers_need_an_order(spark):
+    answers = spark.createDataFrame(
+        [(1, "gpt_output", "b", 1), (1, "gpt_output", "a", 2)], "record_id long, provider string, response string, at int"
+    )
+    filled = pa.fill_missing(dual(spark), answers, order="at").where("record_id = 1").first()
+    assert filled["gpt_output"] == "a"
+    with pytest.raises(Exception, match="repeated answer"):
+        pa.fill_missing(dual(spark), answers).collect()
+
+
 def test_pending_and_fill(spark):
     pending = pa.pending_outputs(dual(spark))
     found = sorted((r["record_id"], r["provider"]) for r in pending.collect())
@@ -168,12 +178,21 @@ def test_pending_and_fill(spark):
 def test_long_conversations_come_in_parts(spark):
     turns = spark.createDataFrame([(1, t, "user", f"m{t}") for t in range(25)] + [(2, 0, "user", "z")], schemas.CONVERSATIONS)
     rows = pa.assemble_messages(turns.repartition(5), turns_per_row=10).orderBy("conv_id", "part").collect()
-    assert [(r["conv_id"], r["part"], [m["content"] for m in r["messages"]]) for r in rows] == [
-        (1, 0, [f"m{t}" for t in range(10)]), (1, 1, [f"m{t}" for t in range(10, 20)]),
-        (1, 2, [f"m{t}" for t in range(20, 25)]), (2, 0, ["z"]),
+    assert [(r["conv_id"], r["part"], r["n_parts"], [m["content"] for m in r["messages"]]) for r in rows] == [
+        (1, 0, 3, [f"m{t}" for t in range(10)]), (1, 1, 3, [f"m{t}" for t in range(10, 20)]),
+        (1, 2, 3, [f"m{t}" for t in range(20, 25)]), (2, 0, 1, ["z"]),
     ]
 
 
+def test_turns_are_ordered_without_gaps_at_any_length(spark):
+    turns = [(1, 3 * t + 5, "user", f"m{t}") for t in range(40)] + [(None, 9, "user", "y"), (None, 2, "user", "x")]
+    df = spark.createDataFrame(turns, schemas.CONVERSATIONS).repartition(5)
+    for block in (1, 7, 1000):
+        rows = pa.ordered_turns(df, turns_per_block=block).collect()
+        assert sorted((r["position"], r["content"]) for r in rows if r["conv_id"] == 1) == [(t, f"m{t}") for t in range(40)]
+        assert sorted((r["position"], r["content"]) for r in rows if r["conv_id"] is None) == [(0, "x"), (1, "y")]
+
+
 def test_concat_of_nothing_and_of_different_columns(spark):
     assert pa.concat_all([], schemas.METRICS).schema == schemas.METRICS
     both = pa.concat_all([numbered(spark, 2), numbered(spark, 2).withColumn("x", F.lit(1))])
@@ -242,7 +261,9 @@ def test_validate_records(spark):
     texts = [f'{{"records":[{GOOD},{GOOD.replace("0.2", "1")}]}}', f'{{"records":[{",".join([GOOD, *bad])}]}}', '{"records":[]}', "{}", "oops", None,
              f'{{"records":[{GOOD.replace("0.2", chr(34) + "0.5" + chr(34))}]}}']
     df = spark.createDataFrame(list(enumerate(texts)), "record_id long, response string")
-    valid, rejected = records.validate_records(df, "response", whole_response=False)
+    rows = records.validate_records(df, "response", whole_response=False)
+    valid, rejected = records.valid_records(rows), records.rejects(rows)
+    assert set(rejected.columns) == {"record_id", "pos", "rejected", "reason"}
     assert sorted((r["record_id"], r["pos"], r["temperature"]) for r in valid.collect()) == [(0, 0, 0.2), (0, 1, 1.0), (1, 0, 0.2), (6, 0, 0.5)]
     reasons = sorted((r["record_id"], -1 if r["pos"] is None else r["pos"], r["reason"]) for r in rejected.collect())
     assert reasons == [
@@ -250,7 +271,8 @@ def test_validate_records(spark):
         (1, 4, "temperature is not a number"), (1, 5, "temperature is not a number"), (1, 6, "not an object"),
         (3, -1, "no list of records"), (4, -1, "no list of records"), (5, -1, "no list of records"),
     ]
-    valid, rejected = records.validate_records(df, "response")
+    rows = records.validate_records(df, "response")
+    valid, rejected = records.valid_records(rows), records.rejects(rows)
     assert ids(valid) == [0, 0, 6] and ids(rejected) == [1, 3, 4, 5]
     accepted, _ = accepted_records(df)
     assert accepted.count() == 1 and set(accepted.columns) >= {"record_id", "topic", "temperature"}
@@ -270,10 +292,35 @@ def test_plan_covers_the_shortfall(spark):
     ]
     asked = planned_requests(made, targets, ["p"], 10).where("topic = 'c'").first()
     assert asked["prompt"] == "batch_size:10 , topic:c, model:p, max_tokens:400, temperature:0.2"
+    again = planned_requests(made, targets, ["p"], 10, planning=2).where("topic = 'c'").first()
+    assert again["record_id"] != asked["record_id"] and len(asked["record_id"]) == 32
     topics = spark.createDataFrame([("x y, z",)], "topics string")
     assert [r[0] for r in ge.split_topics(topics).collect()] == ["x y", "z"]
 
 
+def test_plan_of_a_shortfall_beyond_32_bits(spark, monkeypatch):
+    monkeypatch.setattr(ge, "_ROUNDS_PER_ROW", 7)
+    topics = spark.createDataFrame([("a", 10**11), ("b", 95)], "topic string, shortfall long")
+    plan = ge.generation_plan(topics.where("topic = 'b'"), ["p"], 10).collect()
+    assert sorted(r["round"] for r in plan) == list(range(1, 11))
+    blocks = ge.generation_plan(topics, ["p"], 10**9)
+    assert blocks.where("topic = 'a'").count() == 100
+
+
+def test_keys_tell_fields_apart(spark):
+    df = spark.createDataFrame([("a", "bc"), ("ab", "c"), (None, "c"), ("-", "c"), ("", "c")], "x string, y string")
+    assert df.select(key_of("x", "y").alias("k")).distinct().count() == 5
+
+
+def test_cap_of_rows_without_a_topic_and_of_nothing(spark):
+    df = numbered(spark, 90).withColumn("topic", F.when(F.col("record_id") % 3 > 0, "t"))
+    capped = ge.cap_per_topic(df, 4)
+    rank = F.row_number().over(Window.partitionBy("topic").orderBy(F.md5(F.col("record_id").cast("string"))))
+    assert ids(capped) == ids(df.withColumn("r", rank).where("r <= 4"))
+    assert capped.where("topic is null").count() == 4
+    assert ge.cap_per_topic(df, 0).count() == 0 and ge.cap_per_topic(df, 0).columns == df.columns
+
+
 @pytest.mark.parametrize("rows_per_range", [4, 16, 65_536])
 @pytest.mark.parametrize("target", [1, 17, 300, 5000])
 def test_cap_per_topic_of_a_hot_topic(spark, monkeypatch, rows_per_range, target):
@@ -303,6 +350,19 @@ def test_latest_and_retention(spark):
     assert sorted(int(r["version"]) for r in many.collect()) == list(range(100))
 
 
+def test_retention_of_large_equal_and_nameless_versions(spark):
+    rows = [("big", v, "P") for v in ("3000000000", "5", "4", "3")] + [("tie", v, "P") for v in ("2", "x", "y", "z")]
+    rows += [(None, v, "P") for v in ("1", "2", "3")] + [("same", "7", "P"), ("same", "07", "P"), ("same", "007", "P")]
+    df = spark.createDataFrame(rows, "name string, version string, stage string").repartition(3)
+    number = F.coalesce(F.col("version").try_cast("bigint"), F.lit(-1))
+    rank = F.row_number().over(Window.partitionBy("name").orderBy(number.desc(), F.desc("version")))
+    for keep in (1, 2, 3):
+        want = df.withColumn("r", rank).where(F.col("r") <= keep).select("name", "version").collect()
+        live = ve.retain_versions(df, keep).where("stage = 'P'").select("name", "version").collect()
+        assert sorted(map(repr, live)) == sorted(map(repr, want))
+    assert {r["name"]: r["latest"] for r in ve.latest_version(df).collect()}["big"] == 3_000_000_000
+
+
 def test_resolve_endpoint(spark):
     served = spark.createDataFrame(
         [("e1", "a", "1"), ("e2", "a", "3"), ("e3", "a", "latest"), ("e0", "a", "3"), ("e5", "b", None)],
@@ -325,8 +385,18 @@ def test_encode_pads_cuts_and_keeps_order(spark):
     assert rows[2]["input_ids"] == rows[3]["input_ids"] == [0] * 6
     assert rows[4]["input_ids"] == [2] * 6 and rows[4]["truncated"] and not rows[1]["truncated"]
     assert all(r["labels"] == r["input_ids"] for r in rows.values()) and rows[5]["input_ids"][:2] == [1, 3]
-    with pytest.raises(ValueError):
-        en.build_vocab(df, en.MAX_VOCABULARY + 1)
+
+
+@pytest.mark.parametrize("hot_rows", [2, 10**6])
+def test_encoding_with_a_large_vocabulary_gives_the_same_rows(spark, monkeypatch, hot_rows):
+    df = spark.createDataFrame([(i, " ".join(f"w{(i * k) % 11}" for k in range(i % 9))) for i in range(60)] + [(99, None)], "record_id long, text string")
+    vocab = en.build_vocab(df, 6)
+    joined = en._joined_ids
+    monkeypatch.setattr(en, "_joined_ids", lambda cut, vocab: joined(cut, vocab, hot_rows))
+    for bound in ({"max_words": 2}, {"max_bytes": 3}):
+        assert sorted(map(repr, en.encode(df, vocab, max_len=5, **bound).collect())) == sorted(map(repr, en.encode(df, vocab, max_len=5).collect()))
+    empty = en.encode(df, vocab.where("false"), max_len=5).where("record_id = 8").first()
+    assert empty["input_ids"] == [1] * 5
 
 
 def test_training_rows(spark):
@@ -353,6 +423,20 @@ def test_resume_after_any_shards_gives_the_same_table(spark, tmp_path):
         assert sorted(map(repr, table.select(df.columns).collect())) == sorted(map(repr, finished.collect()))
 
 
+def test_shards_of_several_runs_are_those_of_one(spark, tmp_path):
+    df = dual(spark).unionByName(dual(spark).withColumn("record_id", F.col("record_id") + 10))
+    read = lambda root: tables.read_shards(spark, root, T.StructType(df.schema.fields))
+    one, several = str(tmp_path / "one"), str(tmp_path / "several")
+    tables.write_shards(df, one, 3, rows_per_bucket=2)
+    tables.write_shards(df, several, 3, rows_per_bucket=2, only=F.col("shard").endswith("6"))
+    first = {f for f in (tmp_path / "several").rglob("part-*")}
+    assert ids(read(several)) == [4, 5, 11]
+    tables.write_shards(df, several, 3, rows_per_bucket=2)
+    tables.write_shards(df, several, 3, rows_per_bucket=2)
+    assert sorted(map(repr, read(one).collect())) == sorted(map(repr, read(several).collect()))
+    assert first <= {f for f in (tmp_path / "several").rglob("part-*")}
+
+
 def test_consolidate_prefers_new_rows_and_never_overwrites(spark, tmp_path):
     old = dual(spark)
     new = old.where("record_id = 1").withColumn("gpt_output", F.lit("new"))

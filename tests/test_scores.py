@@ -133,6 +133,21 @@ def test_judge_scores(spark):
     assert found == [(1, 4.0, 3.0, 3.0, 2), (2, 3.0, 3.0, 3.0, 3)]
 
 
+def test_repeated_judge_answers_need_an_order(spark):
+    rows = spark.createDataFrame([(1,)], "record_id long")
+    answers = spark.createDataFrame(
+        [(1, "faithfulness", "5", 1), (1, "faithfulness", "2", 2)], "record_id long, metric string, response string, at int"
+    )
+    assert ju.judge_scores(rows, answers, order="at").first()["faithfulness"] == 2.0
+    with pytest.raises(Exception, match="repeated answer"):
+        ju.judge_scores(rows, answers).collect()
+
+
+def test_an_empty_gate_stays_empty(spark):
+    metrics = spark.createDataFrame([("s", "bleu", 1.0)], "source string, metric string, value double")
+    assert rp.check_thresholds(metrics, {}).count() == 0
+
+
 def test_judge_prompts(spark):
     df = spark.createDataFrame([(1, "q", "t", "o")], "record_id long, inputs string, targets string, outputs string")
     found = {r["metric"]: r["prompt"] for r in ju.judge_prompts(df).collect()}

@@ -90,3 +90,24 @@ def test_prompts_follow_their_template(spark, kind):
     }
     df = spark.createDataFrame([row])
     assert tx.render_prompt(df, kind).first()["prompt"] == fixed.PROMPTS[kind].format(**row)
+
+
+def test_map_cells(spark):
+    df = spark.sql("select map('text', 'hi', 'n', 'x') as m union all select map('n', 'x') union all select null")
+    kind = df.schema["m"].dataType
+    assert [r[0] for r in df.select(tx.flatten_text(F.col("m"), kind)).collect()] == ["hi", "", None]
+    lists = df.select(F.array("m", F.create_map(F.lit("text"), F.lit("b"))).alias("l"))
+    found = lists.select(tx.flatten_text(F.col("l"), lists.schema["l"].dataType)).collect()
+    assert [r[0] for r in found] == ["hi b", " b", " b"]
+
+
+def test_no_text_without_both_turns(spark):
+    from pairtables.plans.training import left_out, training_text
+
+    df = spark.createDataFrame(
+        [(1, "q", "a"), (2, None, "a"), (3, "q", None), (4, None, None)], "record_id long, instruction string, gpt_output string"
+    )
+    assert [r["record_id"] for r in training_text(df, "gpt_output").collect()] == [1]
+    assert tuple(left_out(df, "gpt_output").first()) == (2, 1)
+    chat = tx.chat_format(df.withColumnRenamed("gpt_output", "output"))
+    assert [r["text"] is None for r in chat.orderBy("record_id").collect()] == [False, True, True, True]
