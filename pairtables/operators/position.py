@@ -22,7 +22,7 @@ _SAMPLES_PER_BUCKET = 16
 def _bounds(keys: DataFrame, key: str, n: int, buckets: int) -> list:
     """``buckets - 1`` ascending values that cut the keys into ranges of similar size."""
     step = max(1, n // (buckets * _SAMPLES_PER_BUCKET))
-    picked = keys.where(F.pmod(F.xxhash64(key), F.lit(step)) == 0).orderBy(key).collect()
+    picked = keys.where(F.pmod(F.xxhash64(key), F.lit(step)) == 0).distinct().orderBy(key).collect()
     values = [row[0] for row in picked]
     cuts = {values[len(values) * i // buckets] for i in range(1, buckets)} if values else set()
     return sorted(cuts)
@@ -53,23 +53,46 @@ def with_positions(
     buckets = min(MAX_BUCKETS, max(1, math.ceil(n / rows_per_bucket)))
     bounds = _bounds(keys, order_by, n, buckets) if buckets > 1 else []
     bucket = _bucket(F.col(order_by), bounds, df.schema[order_by].dataType)
-    sizes = dict(keys.groupBy(bucket.alias("_bucket")).count().collect())
+    if not bounds:  # one range, so there is nothing to add
+        return df.withColumn("position", F.row_number().over(Window.orderBy(order_by)).cast("long") - 1), n
+    placed, ranges = df.withColumn("_bucket", bucket), ["_bucket"]
+    parts = math.ceil(n / (buckets * rows_per_bucket))
+    if parts > 1:  # more rows than the ranges are meant for: cut each at some of its own keys
+        placed, ranges = _with_parts(placed, order_by, n, buckets, min(parts, _FAN_OUT)), ["_bucket", "_part"]
+    sizes = placed.groupBy(*ranges).agg(F.count(F.lit(1)).alias("_n"))
+    totals = dict(sizes.groupBy("_bucket").agg(F.sum("_n")).collect())
     starts, total = [], 0
-    for b in sorted(sizes):
+    for b in sorted(totals):
         starts.append((b, total))
-        total += sizes[b]
+        total += totals[b]
     offsets = df.sparkSession.createDataFrame(starts, "_bucket int, _start long")
-    inside = Window.partitionBy("_bucket").orderBy(order_by)
+    if parts > 1:  # at most _FAN_OUT rows for each of MAX_BUCKETS
+        before = F.sum("_n").over(Window.partitionBy("_bucket").orderBy("_part")) - F.col("_n")
+        offsets = sizes.withColumn("_before", before).join(F.broadcast(offsets), "_bucket").select(
+            *ranges, (F.col("_start") + F.col("_before")).alias("_start")
+        )
+    inside = Window.partitionBy(*ranges).orderBy(order_by)
     numbered = (
-        df.withColumn("_bucket", bucket)
-        .withColumn("_row", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_bucket", "left")
+        placed.withColumn("_row", F.row_number().over(inside))
+        .join(F.broadcast(offsets), ranges, "left")
         .withColumn("position", F.col("_start") + F.col("_row") - 1)
-        .drop("_bucket", "_row", "_start")
+        .drop(*ranges, "_row", "_start")
     )
     return numbered, n
 
 
+def _with_parts(placed: DataFrame, key: str, n: int, buckets: int, parts: int) -> DataFrame:
+    """Add ``_part``: the number of the range's own cuts, at most ``parts - 1``, that are not above the key."""
+    step = max(1, n // (buckets * parts * _SAMPLES_PER_BUCKET))
+    picked = placed.where(F.pmod(F.xxhash64(key, F.lit(1)), F.lit(step)) == 0).select("_bucket", key).distinct()
+    picked = picked.groupBy("_bucket").agg(F.sort_array(F.collect_list(key)).alias("_keys"))
+    at = F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(parts - 1)), lambda i: F.floor(F.size("_keys") * i / parts)))
+    cuts = picked.select("_bucket", F.transform(at, lambda i: F.get("_keys", i.cast("int"))).alias("_cuts"))
+    joined = placed.join(F.broadcast(cuts), "_bucket", "left")
+    part = F.size(F.filter(F.coalesce("_cuts", F.array().cast(cuts.schema["_cuts"].dataType)), lambda c: c <= F.col(key)))
+    return joined.withColumn("_part", part).drop("_cuts")
+
+
 def with_batches(
     df: DataFrame,
     order_by: str = "record_id",

@@ -97,6 +97,14 @@ def test_many_ranges_use_two_steps(spark):
     assert all(len({r["b"] for r in found if lo <= r[0] < lo + 10}) == 1 for lo in bounds[:20])
 
 
+@pytest.mark.parametrize("most", [1, 2, 5])
+def test_positions_of_more_rows_than_the_ranges_are_meant_for(spark, monkeypatch, most):
+    monkeypatch.setattr(po, "MAX_BUCKETS", most)
+    df = numbered(spark, 700).withColumn("record_id", F.col("record_id") * 3 - 50)
+    found, n = po.with_positions(df, rows_per_bucket=10)
+    assert n == 700 and sorted((r["record_id"], r["position"]) for r in found.collect()) == [(3 * i - 50, i) for i in range(700)]
+
+
 def test_slice_rows(spark):
     df = spark.range(0, 200, 2).withColumnRenamed("id", "record_id").repartition(6)
     assert ids(po.slice_rows(df, 10, 13, rows_per_bucket=9)) == [20, 22, 24]
