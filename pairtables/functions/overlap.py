@@ -8,22 +8,46 @@ but took several times as long, and common subsequences would copy quadratically
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
 from pairtables import fixed_values as fixed
 
 _words = re.compile(fixed.TOKEN_PATTERN).findall
+#: Rows whose n-grams are counted together: their arrays stay in the processor's cache.
+_ROWS = 50
 
 
-def shared_ngrams(a: list[str], b: list[str], n: int) -> int:
-    """How many n-grams the two have in common, each counted as often as both hold it."""
-    left = Counter(zip(*(a[i:] for i in range(n))))
-    right = Counter(zip(*(b[i:] for i in range(n))))
-    return sum(min(count, right[gram]) for gram, count in left.items() if gram in right)
+def ngram_overlaps(lefts: list[list[str]], rights: list[list[str]], max_n: int) -> np.ndarray:
+    """Row by row how many n-grams two texts share, each as often as both hold it, for n from 1.
+
+    All texts are one array of word numbers. An n-gram is the number of its first n - 1 words
+    and that of its last; the pairs are numbered anew for each n, so they stay small and
+    exact. Counts of (n-gram, row) on both sides are then met by one sorted intersection.
+    """
+    rows, known = len(lefts), {}
+    sizes = np.array([len(x) for side in (lefts, rights) for x in side], dtype=np.int64)
+    numbers = (known.setdefault(w, len(known)) for side in (lefts, rights) for x in side for w in x)
+    flat = np.fromiter(numbers, dtype=np.int64, count=int(sizes.sum()))
+    row = np.repeat(np.tile(np.arange(rows), 2), sizes)
+    right = np.repeat(np.repeat([False, True], rows), sizes)
+    to_end = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(flat))
+    out, code = np.zeros((rows, max_n), dtype=np.int64), flat
+    for n in range(1, max_n + 1):
+        fits = to_end >= n
+        if n > 1:
+            last = np.zeros_like(flat)
+            last[: max(0, len(flat) - n + 1)] = flat[n - 1 :]
+            code = np.unique(np.where(fits, code * max(1, len(known)) + last, -1), return_inverse=True)[1]
+        keys = code * rows + row
+        a, n_a = np.unique(keys[fits & ~right], return_counts=True)
+        b, n_b = np.unique(keys[fits & right], return_counts=True)
+        _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+        out[:, n - 1] = np.bincount(a[i] % rows, weights=np.minimum(n_a[i], n_b[j]), minlength=rows) if rows else 0
+    return out
 
 
 def lcs_length(a: list[str], b: list[str]) -> int:
@@ -61,15 +85,16 @@ def overlap_counts(targets: Column, outputs: Column, max_n: int = 0, lcs: bool =
     @F.pandas_udf(schema)
     def compare(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for left, right in batches:
-            rows = []
-            for x, y in zip(left, right):
-                a, b = _words(x), _words(y)
-                row = [len(a), len(b)]
-                row += [shared_ngrams(a, b, n) for n in range(1, max_n + 1)]
-                if lcs:
-                    row.append(lcs_length(a, b))
-                rows.append(row)
-            yield pd.DataFrame(rows, columns=fields)
+            lefts, rights = [_words(x) for x in left], [_words(x) for x in right]
+            columns = [[len(x) for x in lefts], [len(x) for x in rights]]
+            if max_n:
+                parts = [
+                    ngram_overlaps(lefts[i : i + _ROWS], rights[i : i + _ROWS], max_n) for i in range(0, len(lefts), _ROWS)
+                ]
+                columns += list(np.concatenate([*parts, np.zeros((0, max_n), dtype=np.int64)]).T)
+            if lcs:
+                columns.append([lcs_length(a, b) for a, b in zip(lefts, rights)])
+            yield pd.DataFrame(dict(zip(fields, columns)))
 
     known = targets.isNotNull() & outputs.isNotNull()
     counted = compare(

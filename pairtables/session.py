@@ -46,6 +46,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{uuid.uuid4().hex}/{name}"
 
 
+def drop_shared_folder(spark: SparkSession) -> None:
+    """Remove the tables that this application wrote; none of its results can be read after that."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: computed once, and kept when an
     executor is lost."""
