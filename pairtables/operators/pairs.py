@@ -34,6 +34,21 @@ def build_eval_frame(df: DataFrame, source: str, key: str = "record_id", **split
     )
 
 
+def build_eval_frames(df: DataFrame, sources: tuple[str, ...] = PROVIDERS, key: str = "record_id", **split) -> DataFrame:
+    """The test side of several sources, with their name as ``source``, in one pass over the table."""
+    for source in sources:
+        _require(df, source)
+    sides = F.array(
+        *[
+            F.struct(F.lit(s).alias("source"), flatten_text(F.col(s), df.schema[s].dataType).alias("targets"))
+            for s in sources
+        ]
+    )
+    return df.where(is_test_row(df, key, **split)).select(
+        key, F.col("instruction").alias("inputs"), F.inline(sides)
+    )
+
+
 def ordered_turns(
     df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", content: str = "text",
     turns_per_block: int = 10_000,

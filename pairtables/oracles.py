@@ -271,6 +271,9 @@ from ({_shards(DUAL)}) group by shard""",
     "o07_select_source": f"select record_id, instruction, gemini_output as output from ({DUAL})",
     "o08_build_eval_frame": f"""select record_id, instruction as inputs, gemini_output as targets
 from ({DUAL}) where {_TEST.format('record_id')}""",
+    "o08_eval_frames": f"""select record_id, instruction as inputs, source, case when source = 'gpt_output'
+  then gpt_output else gemini_output end as targets
+from ({DUAL}), (values ('gpt_output'), ('gemini_output')) x(source) where {_TEST.format('record_id')}""",
     "o09_flatten_text": f"""select record_id, case json_type(output)
   when 'ARRAY' then array_to_string(list_transform(json_extract(output, '$[*]'),
     lambda x: {_json_item('x', 'text', "''")}), ' ')

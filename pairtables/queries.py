@@ -129,6 +129,11 @@ def o08_build_eval_frame(spark, sf_dir):
     return pa.build_eval_frame(views.qa_dual(spark, sf_dir), "gemini_output")
 
 
+@query
+def o08_eval_frames(spark, sf_dir):
+    return pa.build_eval_frames(views.qa_dual(spark, sf_dir))
+
+
 @query
 def o09_flatten_text(spark, sf_dir):
     return views.poly_output(spark, sf_dir).select(
