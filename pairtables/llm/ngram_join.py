@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pairtables.llm.common import stored, text_key
 from pairtables.llm.components import components
@@ -18,8 +18,11 @@ from pairtables.llm.trie import links
 COMMON_COUNT, COMMON_SHARE, MAX_COMMON = 8, 0.0008, 500_000
 #: Documents before a batch's shingles are counted.
 COUNT_BATCH = 10_000
-#: Members of the sets of one task. A larger block is cut, and its cuts meet in pairs.
-TASK_MEMBERS = 500_000
+#: Small blocks are packed into tasks of about so many members of sets. A block of more than
+#: ``TASK_MEMBERS`` is cut, and its cuts meet in pairs.
+PACK_MEMBERS, TASK_MEMBERS = 100_000, 500_000
+#: Up to so many sets are looked for by a broadcast list (some 20 MB); for more, texts are shuffled once.
+MAX_LISTED = 500_000
 _TOP = np.uint64(1 << 63)
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -94,42 +97,48 @@ def _rows(texts: DataFrame, n: int) -> DataFrame:
     return texts.mapInPandas(run, ", ".join(f"{k} long" for k in names))
 
 
+def _keys(ordered: np.ndarray, part: int, whole: int) -> np.ndarray:
+    """Hashes of neighbours in the first part of a set; the one member of a set of one.
+
+    Two linked sets of x and y members lack a and b of each other's, a + b <= (x + y)
+    (1 - s) / (1 + s) for a similarity s of at least a half. Among the first 2 (1 - s) + 3
+    members of both are more shared ones than a + b + 1, so that two of them are neighbours
+    in both sets: linked sets share a key. Sets that share a passage and no more rarely do.
+    """
+    if len(ordered) == 1:
+        return ordered
+    first = ordered[: 2 * ((whole - part) * len(ordered) // whole) + 3]
+    keys = (first[:-1] * _MIX[0]) ^ (first[1:] * _MIX[1])
+    keys ^= keys >> np.uint64(31)
+    return keys * _MIX[2]
+
+
+def _combined(keys: np.ndarray, texts: np.ndarray) -> pd.DataFrame:
+    """The least text of each key of a batch; and links (with ``_low``) of the others to it, so
+    that a key goes on once per batch however many texts have it."""
+    order = np.lexsort((texts, keys))
+    keys, texts = keys[order], texts[order]
+    first = np.ones(len(keys), dtype=bool)
+    first[1:] = keys[1:] != keys[:-1]
+    low = texts[first][np.cumsum(first) - 1]
+    other = np.unique(np.stack([texts, low], axis=1)[texts != low], axis=0)
+    least = pd.DataFrame({"_key": _signed(keys[first]), "_t1": texts[first], "_low": None})
+    linked = pd.DataFrame({"_key": other[:, 0], "_t1": other[:, 0], "_low": other[:, 1]})
+    return pd.concat([least.astype({"_low": "Int64"}), linked.astype({"_low": "Int64"})])
+
+
 def _prefixes(texts: DataFrame, n: int, part: int, whole: int, sent) -> DataFrame:
-    """The first shingles of each set. ``_std`` marks the prefix of which two linked sets share
-    one; the prefix is half as long again, so that they share a twentieth of a set at least."""
+    """The keys of each set, combined by batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles, (common, rank) = Shingler(n), sent.value
         for b in batches:
-            for start in range(0, len(b), 500):
-                rows = b[start : start + 500]
-                keys, sizes, places = [], [], []
-                for t in rows["_text"]:
-                    own = _ordered(shingles(t), common, rank)
-                    own = own[: _long_prefix(len(own), part, whole)]
-                    keys.append(own)
-                    sizes.append(len(own))
-                    places.append(np.arange(len(own)))
-                if sum(sizes):
-                    yield pd.DataFrame(
-                        {
-                            "_key": _signed(np.concatenate(keys)),
-                            "_t1": np.repeat(rows["_t1"].to_numpy(), sizes),
-                            "_t2": np.repeat(rows["_t2"].to_numpy(), sizes),
-                            "_place": np.concatenate(places),
-                        }
-                    )
-
-    return texts.mapInPandas(run, "_key long, _t1 long, _t2 long, _place int")
+            keys = [_keys(_ordered(shingles(t), common, rank), part, whole) for t in b["_text"]]
+            sizes = [len(k) for k in keys]
+            if sum(sizes):
+                yield _combined(np.concatenate(keys), np.repeat(b["_t1"].to_numpy(), sizes))
 
-
-def _slack(n, part: int, whole: int):
-    """Members of a set of n that a linked set may lack."""
-    return (whole - part) * n // whole
-
-
-def _long_prefix(n: int, part: int, whole: int) -> int:
-    return min(n, _slack(n, part, whole) + (whole - part) * n // (2 * whole) + 1)
+    return texts.select("_text", "_t1").mapInPandas(run, "_key long, _t1 long, _low long")
 
 
 def _read_common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -142,28 +151,15 @@ def _read_common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return found[order], rank[order]
 
 
-def _blocks(entries: DataFrame, nodes: DataFrame, part: int, whole: int) -> DataFrame:
-    """``node``, ``_block``: linked sets are in one block. Sets that can have no link are left out.
-
-    A key of one set only is dropped; so is a set with fewer keys left than it must share
-    with any linked set, which leaves out sets that share a passage and no more. Keys of the
-    standard prefix then join sets into blocks: each key links its sets to the least of them.
-    """
-    keyed = entries.repartition("_key")
-    sets = F.struct("_t1", "_t2")
-    shared = keyed.groupBy("_key").agg(F.min(sets).alias("_low"), F.max(sets).alias("_high"))
-    live = keyed.join(shared.where("_low <> _high").select("_key"), "_key")
-    live = live.join(nodes.select("_t1", "_t2", "node", "_n"), ["_t1", "_t2"])
-    live = stored(live.select("_key", "node", "_n", "_place").distinct(), "live")
-    must = F.greatest(F.lit(1), F.floor(F.col("_n") * (whole - part) / (2 * whole)) - 1)
-    for _ in range(2):
-        enough = live.groupBy("node").agg(F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n")).where(F.col("_c") >= must)
-        left = live.join(enough.select("node"), "node", "left_semi")
-        again = left.groupBy("_key").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low <> _high")
-        live = stored(left.join(again.select("_key"), "_key", "left_semi"), "live")
-    standard = live.where(F.col("_place") <= F.floor(F.col("_n") * (whole - part) / whole))
-    least = standard.groupBy("_key").agg(F.min("node").alias("a"))
-    return components(standard.join(least, "_key").select("a", F.col("node").alias("b"))).withColumnRenamed("component", "_block")
+def _blocks(entries: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node``, ``_block``: sets that share a key are in one block, so linked ones are. Each
+    key joins its sets to the least of them. Sets that share none have no link and are left
+    out. Half of a text's hash stands for it here: texts that have that in common come into
+    one block. The keys are dealt once; a key has one row per batch at most."""
+    of_key = Window.partitionBy("_key")
+    low = F.coalesce("_low", F.min(F.when(F.col("_low").isNull(), F.col("_t1"))).over(of_key))
+    found = components(entries.select(F.col("_t1").alias("a"), low.alias("b")))
+    return nodes.join(found.withColumnRenamed("node", "_t1"), "_t1").select("node", F.col("component").alias("_block"))
 
 
 def _tasks(blocks: DataFrame, nodes: DataFrame, task_members: int) -> DataFrame:
@@ -171,7 +167,8 @@ def _tasks(blocks: DataFrame, nodes: DataFrame, task_members: int) -> DataFrame:
     by hash, and every two cuts meet in one task."""
     sized = blocks.join(nodes.select("node", "_n"), "node")
     total = sized.groupBy("_block").agg(F.sum("_n").alias("_members"))
-    packs = max(1, (total.where(F.col("_members") <= task_members).agg(F.sum("_members")).first()[0] or 0) // task_members + 1)
+    small = total.where(F.col("_members") <= task_members).agg(F.sum("_members")).first()[0] or 0
+    packs = small // min(PACK_MEMBERS, task_members) + 1
     sized = sized.join(total, "_block")
     cuts = F.ceil(F.col("_members") / task_members).cast("int")
     own = F.pmod(F.xxhash64("node"), cuts).cast("int")
@@ -179,8 +176,8 @@ def _tasks(blocks: DataFrame, nodes: DataFrame, task_members: int) -> DataFrame:
         F.filter(F.sequence(F.lit(0), cuts - 1), lambda i: i != own),
         lambda i: F.struct(F.least(i, own).alias("i"), F.greatest(i, own).alias("j")),
     )
-    small = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
-    spread = sized.withColumn("_ij", F.explode(F.when(cuts > 1, meets).otherwise(small)))
+    alone = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
+    spread = sized.withColumn("_ij", F.explode(F.when(cuts > 1, meets).otherwise(alone)))
     part = F.xxhash64("_block", "_ij.i", "_ij.j")
     return spread.select(
         "node", part.alias("_part"),
@@ -200,11 +197,13 @@ def ngram_groups(
     ``part`` * union are linked; empty sets and null texts are alone (equal null ids with no
     words stay null). Ids are integers. An empty table gives no rows.
 
-    Equal texts are one node. Each node sends the first part of its ordered set to the join;
-    common shingles (a list of bounded size, gathered from all documents) are last in the
+    Equal texts are one node. Each node sends keys of the first part of its ordered set; common
+    shingles (a list of bounded size, gathered from all documents) are last in the
     order, so their groups are met only by sets that hold little else. Whole sets are sent
     once, to the task of their block, unless one block holds more than ``task_members``.
     """
+    if not 2 * part >= whole >= part:
+        raise ValueError("the similarity must be between a half and one")
     texts = docs.select(
         F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")
     ).withColumns(dict(zip(("_t1", "_t2"), text_key(F.col("_text")))))
@@ -213,11 +212,12 @@ def ngram_groups(
     nodes = each.where("_n > 0").groupBy("_t1", "_t2").agg(F.min("_id").alias("_rep"), F.first("_n").alias("_n"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     sent = docs.sparkSession.sparkContext.broadcast(_read_common(rows))
-    blocks = stored(_blocks(_prefixes(texts, n, part, whole, sent), nodes, part, whole), "blocks")
+    blocks = stored(_blocks(_prefixes(texts, n, part, whole, sent), nodes), "blocks")
     tasks = stored(_tasks(blocks, nodes, task_members), "tasks")
     wanted = nodes.join(blocks.select("node"), "node").select(
         F.col("node"), F.col("_rep"), F.col("_t1").alias("_u1"), F.col("_t2").alias("_u2")
     )
+    wanted = F.broadcast(wanted) if blocks.count() <= MAX_LISTED else wanted
     one = (F.col("_t1") == F.col("_u1")) & (F.col("_t2") == F.col("_u2")) & F.col("_id").eqNullSafe(F.col("_rep"))
 
     def whole_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -278,3 +278,18 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def op10_ngram_join(spark, sf_dir: str) -> DataFrame:
     groups = ngram_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return groups.select(F.col("_id").alias("doc_id"), "n_shingles", "component_id")
+
+
+ORACLE_SQL = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) end) as g
+  from w),
+n as (select doc_id, count(*) as c from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as i from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * i >= 90 * (x.c + y.c - i)),
+r as (select doc_id, doc_id as other from documents union select r.doc_id, l.b from r join l on l.a = r.other)
+select r.doc_id, coalesce(any_value(n.c), 0) as n_shingles, min(r.other) as component_id
+from r left join n on n.doc_id = r.doc_id group by r.doc_id
+"""

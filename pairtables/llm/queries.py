@@ -22,5 +22,7 @@ QUERIES = {
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
     "op3_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op5_chat_format": chat_format.ORACLE_SQL,
     "op8_url_rules": url_rules.ORACLE_SQL,
+    "op10_ngram_join": ngram_join.ORACLE_SQL,
 }
