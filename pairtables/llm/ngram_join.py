@@ -114,17 +114,23 @@ def _keys(ordered: np.ndarray, part: int, whole: int) -> np.ndarray:
 
 
 def _combined(keys: np.ndarray, texts: np.ndarray) -> pd.DataFrame:
-    """The least text of each key of a batch; and links (with ``_low``) of the others to it, so
-    that a key goes on once per batch however many texts have it."""
+    """The least text of each key of a batch, so that a key goes on once per batch however many
+    texts have it. The others share a key of this batch alone with that text."""
     order = np.lexsort((texts, keys))
     keys, texts = keys[order], texts[order]
     first = np.ones(len(keys), dtype=bool)
     first[1:] = keys[1:] != keys[:-1]
     low = texts[first][np.cumsum(first) - 1]
-    other = np.unique(np.stack([texts, low], axis=1)[texts != low], axis=0)
-    least = pd.DataFrame({"_key": _signed(keys[first]), "_t1": texts[first], "_low": None})
-    linked = pd.DataFrame({"_key": other[:, 0], "_t1": other[:, 0], "_low": other[:, 1]})
-    return pd.concat([least.astype({"_low": "Int64"}), linked.astype({"_low": "Int64"})])
+    other = np.unique(np.stack([low, texts], axis=1)[texts != low], axis=0)
+    heads = np.unique(other[:, 0])
+    batch = np.bitwise_xor.reduce(texts.view(np.uint64)) * _MIX[0]
+    own = (np.concatenate([other[:, 0], heads]).view(np.uint64) ^ batch) * _MIX[2]
+    return pd.DataFrame(
+        {
+            "_key": _signed(np.concatenate([keys[first], own])),
+            "_t1": np.concatenate([texts[first], other[:, 1], heads]),
+        }
+    )
 
 
 def _prefixes(texts: DataFrame, n: int, part: int, whole: int, sent) -> DataFrame:
@@ -138,7 +144,7 @@ def _prefixes(texts: DataFrame, n: int, part: int, whole: int, sent) -> DataFram
             if sum(sizes):
                 yield _combined(np.concatenate(keys), np.repeat(b["_t1"].to_numpy(), sizes))
 
-    return texts.select("_text", "_t1").mapInPandas(run, "_key long, _t1 long, _low long")
+    return texts.select("_text", "_t1").mapInPandas(run, "_key long, _t1 long")
 
 
 def _read_common(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -156,8 +162,7 @@ def _blocks(entries: DataFrame, nodes: DataFrame) -> DataFrame:
     key joins its sets to the least of them. Sets that share none have no link and are left
     out. Half of a text's hash stands for it here: texts that have that in common come into
     one block. The keys are dealt once; a key has one row per batch at most."""
-    of_key = Window.partitionBy("_key")
-    low = F.coalesce("_low", F.min(F.when(F.col("_low").isNull(), F.col("_t1"))).over(of_key))
+    low = F.min("_t1").over(Window.partitionBy("_key"))
     found = components(entries.select(F.col("_t1").alias("a"), low.alias("b")))
     return nodes.join(found.withColumnRenamed("node", "_t1"), "_t1").select("node", F.col("component").alias("_block"))
 
