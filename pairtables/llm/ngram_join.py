@@ -123,7 +123,7 @@ def _combined(keys: np.ndarray, texts: np.ndarray) -> pd.DataFrame:
     low = texts[first][np.cumsum(first) - 1]
     other = np.unique(np.stack([low, texts], axis=1)[texts != low], axis=0)
     heads = np.unique(other[:, 0])
-    batch = np.bitwise_xor.reduce(texts.view(np.uint64)) * _MIX[0]
+    batch = np.bitwise_xor.reduce(texts.view(np.uint64))
     own = (np.concatenate([other[:, 0], heads]).view(np.uint64) ^ batch) * _MIX[2]
     return pd.DataFrame(
         {
