@@ -195,7 +195,8 @@ def ngram_groups(
     task_members: int = TASK_MEMBERS,
 ) -> DataFrame:
     """One row per row of ``docs``: ``_id``, ``_t1``, ``_t2`` (its text), ``n_shingles``,
-    ``component_id`` (least id, null only if no document of the component has one).
+    ``component_id`` (least id, null only if no document of the component has one), ``_group``
+    (a number of the component, whatever its ids are; null for an empty set).
 
     Words are runs of non-blanks with A-Z lower-cased; a set holds the distinct runs of ``n``
     words, or all words as one run if there are fewer. Sets with ``whole`` * intersection >=
@@ -247,35 +248,37 @@ def ngram_groups(
     found = components(edges)
     member = nodes.join(found, "node").select("_t1", "_t2", "component", "_rep")
     least = member.groupBy("component").agg(F.min("_rep").alias("_least"))
-    member = stored(member.join(least, "component").select("_t1", "_t2", "_least"), "members")
-    own = nodes.select("_t1", "_t2", "_rep").join(member, ["_t1", "_t2"], "left").select(
-        F.col("_t1").alias("_u1"), F.col("_t2").alias("_u2"), F.coalesce("_least", "_rep").alias("_least")
-    )
+    member = stored(member.join(least, "component").select("_t1", "_t2", "_least", "component"), "members")
+    own = nodes.select("_t1", "_t2", "_rep", "node").join(member, ["_t1", "_t2"], "left").select(
+        F.col("_t1").alias("_u1"), F.col("_t2").alias("_u2"), F.coalesce("_least", "_rep").alias("_least"),
+        F.coalesce("component", "node").alias("_group"),
+    )
     same = (F.col("_t1") == F.col("_u1")) & (F.col("_t2") == F.col("_u2"))
     return each.join(own, same, "left").select(
         "_id", "_t1", "_t2", F.col("_n").alias("n_shingles"),
-        F.when(F.col("_n") > 0, F.col("_least")).otherwise(F.col("_id")).alias("component_id"),
+        F.when(F.col("_n") > 0, F.col("_least")).otherwise(F.col("_id")).alias("component_id"), "_group",
     )
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The rows of ``docs``, with all their columns, of which each component keeps the document
-    with the least id (of equal ids and texts one row); documents without words all stay."""
+    with the least id (of equal ids the least text, of equal texts one row), whether ids are null
+    or repeated in other components or not; documents without words all stay."""
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(id_col).cast("long").alias("_i"),
         *[k.alias(n) for k, n in zip(text_key(F.col(text_col)), ("_e1", "_e2"))],
         F.monotonically_increasing_id().alias("_row"),
     )
     groups = ngram_groups(docs, id_col=id_col, text_col=text_col, **settings)
-    stay = groups.where("n_shingles > 0 and component_id <=> _id").select("_id", "_t1", "_t2").distinct()
-    # Of several texts with the least id, and of repeated rows, the first stays.
-    first = stay.groupBy("_id").agg(F.min(F.struct("_t1", "_t2")).alias("_t"))
+    stay = groups.where("n_shingles > 0 and component_id <=> _id")
+    # Of several texts of a component with the least id, and of repeated rows, the first stays.
+    first = stay.groupBy("_group").agg(F.first("_id").alias("_id"), F.min(F.struct("_t1", "_t2")).alias("_t"))
     words = F.col(text_col).rlike(r"[^\x20\x09-\x0D]")
     kept = packed.join(
         first, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_e1") == F.col("_t._t1")) & (F.col("_e2") == F.col("_t._t2"))
     )
     doc = F.col("_doc")
-    single = kept.groupBy("_i").agg(F.min_by(doc, "_row").alias("_doc")).select("_doc.*")
+    single = kept.groupBy("_group").agg(F.min_by(doc, "_row").alias("_doc")).select("_doc.*")
     empty = docs.where(~F.coalesce(words, F.lit(False)))
     return single.unionByName(empty)
 

@@ -95,6 +95,15 @@ def test_ngram_groups_of_repeated_rows_and_null_ids(spark):
     assert one_per_group(docs.limit(0)).count() == 0
 
 
+def test_one_per_group_keeps_a_document_of_each_component(spark):
+    """Unlike documents with null or equal ids stay; copies of each go, with whatever id."""
+    null, twice = ["first text without an id", "second one of these unlike texts"], ["alpha beta gamma delta", "some other words here now"]
+    rows = [(None, null[0], "s"), (None, null[1], "s"), (None, null[1], "t"), (7, twice[0], "s"), (7, twice[1], "s")]
+    rows += [(8, twice[0], "s"), (9, twice[1].upper(), "s"), (None, twice[1], "t"), (None, "", "s"), (7, "", "s")]
+    kept = one_per_group(helpers.frame(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(0, ""), (7, ""), *((0, t) for t in null), *((7, t) for t in twice)])
+
+
 def test_prefix_tree_links_are_all_links():
     rnd = random.Random(5)
     for _ in range(20):
