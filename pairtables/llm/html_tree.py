@@ -231,9 +231,9 @@ def _outside_key(key: str) -> bool:
 
 
 def main_paths(wrapper: str) -> list[str]:
-    """Where the wrapper has its main text: paths (keys joined by ``/``) of the elements of the
-    best kind (article, main, an element named for content) with a text slot in them."""
-    best, found = 0, []
+    """Where the wrapper has its main text: paths (keys joined by ``/``) of the elements of each
+    kind (article, main, an element named for content) with a text slot in them, best kind first."""
+    found: set[tuple[int, str]] = set()
 
     def slots(part: list) -> bool:
         return part[0] == "#" or not _outside_key(part[0]) and any(slots(p) for p in part[2])
@@ -245,41 +245,47 @@ def main_paths(wrapper: str) -> list[str]:
             continue
         path = above if part[0].startswith("(") else f"{above}/{part[0]}"
         kind = 0 if part[0].startswith("(") else _is_main(part[0])
-        if kind and kind >= best and slots(part):
-            found = [path] if kind > best else [*found, path]
-            best = kind
+        if kind and slots(part):
+            found.add((-kind, path))
         stack += [(p, path) for p in reversed(part[2])]
-    # Of nested ones the outer.
-    return sorted({p for p in found if not any(p.startswith(q + "/") for q in found)})
+    # Of nested ones of a kind the outer.
+    outer = [(k, p) for k, p in found if not any(k == j and p.startswith(q + "/") for j, q in found)]
+    return [p for _, p in sorted(outer)]
 
 
 def main_text(html: str | None, paths: list[str]) -> str:
-    """The blocks of the elements at ``paths``, or, where the page has none of them, of the page."""
-    for wanted in (set(paths), None) if paths else (None,):
-        blocks, block, seen = [], [], False
-        for kind, stack, text in stream(html):
-            if kind == "text":
-                inside = wanted is None or _reached(stack, wanted)
-                if inside and not any(e.outside for e in stack):
-                    seen = True
-                    block.append(text)
-            elif stack[-1].name == "br":
-                block.append(" ")
-            elif stack[-1].name not in INLINE:
-                blocks.append("".join(block))
-                block = []
-        blocks.append("".join(block))
-        if seen or wanted is None:
-            break
-    texts = (_SPACE.sub(" ", b).strip(" ") for b in blocks)
+    """The blocks of the elements at ``paths`` of the best kind that the page reaches, or, where
+    the page has none of them, of the page. Elements below ``MAX_DEPTH``, which no path tells,
+    are known by their own name."""
+    wanted, best = set(paths), 0
+    blocks: dict[int, list[str]] = {}
+    block: dict[int, list[str]] = {}
+    for kind, stack, text in stream(html):
+        if kind == "text":
+            if not any(e.outside for e in stack):
+                kinds = _reached(stack, wanted)
+                best = max(best, *kinds) if text.strip() else best
+                for k in kinds:
+                    block.setdefault(k, []).append(text)
+        elif stack[-1].name == "br":
+            for own in block.values():
+                own.append(" ")
+        elif stack[-1].name not in INLINE:
+            for k, own in block.items():
+                blocks.setdefault(k, []).append("".join(own))
+            block = {}
+    for k, own in block.items():
+        blocks.setdefault(k, []).append("".join(own))
+    texts = (_SPACE.sub(" ", b).strip(" ") for b in blocks.get(best, ()))
     return "\n\n".join(t for t in texts if t)
 
 
-def _reached(stack: list[Element], wanted: set[str]) -> bool:
-    path = ""
+def _reached(stack: list[Element], wanted: set[str]) -> set[int]:
+    """Kinds of the main elements around a text, and 0 for the page."""
+    path, depth, kinds = "", 0, {0}
     for e in stack:
         if e.name not in INLINE:
-            path += "/" + e.key
-            if path in wanted:
-                return True
-    return False
+            path, depth = f"{path}/{e.key}" if depth < MAX_DEPTH else path, depth + 1
+            if depth > MAX_DEPTH or path in wanted:
+                kinds.add(_is_main(e.key))
+    return kinds

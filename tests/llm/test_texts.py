@@ -86,6 +86,16 @@ def test_main_text():
     assert main_text(None, []) == "" and main_text("", paths) == ""
 
 
+def test_each_page_has_its_best_kind_at_any_depth(spark):
+    menu, deep = "<div>Menu</div>", "<div>" * 70
+    pages = [f"<body>{menu}<article><p>a</p></article></body>", f"<body>{menu}<main><p>b</p></main></body>"]
+    pages += [f"<body>{menu}<div class=content><p>c<br>d</p></div></body>", f"<body>{menu}<main>x<article>e</article></main></body>"]
+    pages += [f"<body>{menu}{deep}<article><p>f</p></article></body>", f"<body>{menu}<p>g</p></body>"]
+    df = spark.createDataFrame([(i, "http://h.org/", p) for i, p in enumerate(pages)], "page_id int, url string, html string")
+    got = {r.page_id: r.text for r in extract_main_text(df).collect()}
+    assert got == {0: "a", 1: "b", 2: "c d", 3: "e", 4: "f", 5: "Menu\n\ng"}
+
+
 def test_expressions_align_into_optionals_and_repeats():
     one = expression("<body><div><p>a</p></div><hr></body>")
     many = expression("<body><div><h2>t</h2><p>a</p><p>b</p></div></body>")
