@@ -10,7 +10,7 @@ from pairtables.llm.common import stored, text_key
 #: and any 15 of which 3 differ hold one of these masks intact. All start with a pair, which
 #: lets most positions be passed over at the price of one hash.
 MASKS = ("11011", "11101", "1101101")
-#: Shorter benchmark items are not evidence.
+#: Shorter benchmark items have no seeds; they are looked up whole.
 MIN_WORDS = 8
 #: Words on either side of a seed that are compared.
 AROUND = 16
@@ -22,8 +22,13 @@ MIN_SCORE, MIN_SHARE = 12, 0.7
 MAX_PAIRS, MAX_SEEDS = 200_000, 1_000_000
 
 
+#: Scripts that put no spaces between words: each character is a token.
+_SPACELESS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
+_TOKEN = rf"[{_SPACELESS}&&[\p{{L}}\p{{N}}]]|[\p{{L}}\p{{N}}&&[^{_SPACELESS}]]+"
+
+
 def _tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(_TOKEN), F.lit(0))
 
 
 def _pair(words: Column, at: Column) -> Column:
@@ -53,7 +58,33 @@ def _overlap(doc_words: Column, item_words: Column, offset: Column) -> Column:
     )
 
 
-def _hits(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _short_hits(words: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+    """Items of fewer than ``MIN_WORDS`` words whose words a document holds one after another,
+    none changed; None if there is no such item. Positions with the first word of an item go on
+    with one hash per length of items."""
+    items = benchmark.select("item_id", _tokens(F.col("text")).alias("_item"))
+    items = items.where((F.size("_item") > 0) & (F.size("_item") < MIN_WORDS))
+    items = stored(items.withColumn("_run", F.xxhash64(F.size("_item"), "_item")), "short_items")
+    lengths = sorted(r[0] for r in items.select(F.size("_item")).distinct().collect())
+    if not lengths:
+        return None
+    heads = items.select(F.xxhash64(F.get("_item", F.lit(0)))).distinct().limit(MAX_PAIRS + 1).collect()
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("_words") - 1))
+    if len(heads) <= MAX_PAIRS:
+        some = [r[0] for r in heads]
+        starts = F.filter(starts, lambda i: F.xxhash64(F.get("_words", i)).isin(some))
+    found = words.select("_id", "_d1", "_d2", "_words", F.explode_outer(starts).alias("_pos")).where("_pos is not null")
+    runs = [
+        F.when(F.col("_pos") + n <= F.size("_words"), F.slice("_words", F.col("_pos") + 1, F.lit(n))) for n in lengths
+    ]
+    found = found.select("_id", "_d1", "_d2", F.explode(F.array(*runs)).alias("_own")).where("_own is not null")
+    found = found.withColumn("_run", F.xxhash64(F.size("_own"), "_own"))
+    joined = found.join(F.broadcast(items) if items.count() <= MAX_SEEDS else items, "_run").where("_own = _item")
+    size = F.size("_item").cast("long")
+    return joined.select("_id", "_d1", "_d2", "item_id", size.alias("score"), size.alias("item_words")).distinct()
+
+
+def _hits(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, short_items: bool) -> DataFrame:
     """``_id``, ``_d1``, ``_d2`` (the document's text), ``item_id``, ``score``, ``item_words``."""
     items = stored(
         benchmark.select(F.col("item_id"), _tokens(F.col("text")).alias("_item")).where(F.size("_item") >= MIN_WORDS),
@@ -88,27 +119,34 @@ def _hits(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str) ->
     best = checked.groupBy("_id", "_d1", "_d2", "item_id").agg(
         F.max("score").cast("long").alias("score"), F.first("item_words").cast("long").alias("item_words")
     )
-    return best.where(F.col("score") >= enough)
+    long = best.where(F.col("score") >= enough)
+    short = _short_hits(words, benchmark) if short_items else None
+    return long if short is None else long.unionByName(short)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_items: bool = False
+) -> DataFrame:
     """One row per document and benchmark item that it holds: doc_id, item_id, score, item_words.
 
-    Words are runs of letters and digits in lower case. A seed is a mask laid over consecutive
-    words; where a seed of a document is one of an item, the words around it are compared. The
+    Words are runs of letters and digits in lower case; in scripts without spaces each character
+    is one. A seed is a mask laid over consecutive words; where a seed of a document is one of an item, the words around it are compared. The
     pair is reported if some run of aligned words there has a score (matches less mismatches)
-    of 12, or of 0.7 of the item's words where that is less. Items below eight words, null and
-    empty texts match nothing; null ids are reported as null; rows that repeat count once. Empty
+    of 12, or of 0.7 of the item's words where that is less. Items below eight words match with
+    ``short_items`` only, where a document holds all their words in a row; null and empty texts
+    match nothing; null ids are reported as null; rows that repeat count once. Empty
     tables give no rows. Other columns are ignored.
     """
-    return _hits(docs, benchmark, id_col, text_col).select(
+    return _hits(docs, benchmark, id_col, text_col, short_items).select(
         F.col("_id").alias(id_col), "item_id", "score", "item_words"
     ).distinct()
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_items: bool = False
+) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    hits = _hits(docs, benchmark, id_col, text_col).select("_id", "_d1", "_d2").distinct()
+    hits = _hits(docs, benchmark, id_col, text_col, short_items).select("_id", "_d1", "_d2").distinct()
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(id_col).alias("_i"),
         *[k.alias(n) for k, n in zip(text_key(F.col(text_col)), ("_e1", "_e2"))],
@@ -119,5 +157,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def op4_decontaminate(spark, sf_dir: str) -> DataFrame:
     return contaminated(
-        spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+        spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
+        short_items=True,
     )

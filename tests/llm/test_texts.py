@@ -170,6 +170,19 @@ def test_decontamination(spark):
     assert dc.decontaminate(df, bench.limit(0)).count() == len(docs)
 
 
+def test_decontamination_of_short_and_spaceless_items(spark):
+    short = "水の沸点は何度ですか"
+    items = [(1, "Who wrote Hamlet?"), (2, "这个问题的答案是什么以及为什么如此"), (3, "?!"), (4, "who"), (5, short[:4]), (6, None)]
+    docs = [(1, "so: who wrote... HAMLET, then"), (2, "who has wrote hamlet"), (3, "前文。这个问题的答案是什么以及为什么如此,后文"), (4, f"一{short}二")]
+    docs += [(5, "wrote hamlet"), (6, "的这"), (None, "who wrote hamlet"), (7, None), (8, "Hamlet, who wrote")]
+    df = helpers.frame(spark, [(i, t, "s") for i, t in docs])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((tuple(r) for r in dc.contaminated(df, bench, short_items=True).collect()), key=repr)
+    want = [(1, 1, 3, 3), (1, 4, 1, 1), (2, 4, 1, 1), (3, 2, 17, 17), (4, 5, 4, 4), (None, 1, 3, 3), (None, 4, 1, 1), (8, 4, 1, 1)]
+    assert got == sorted(want, key=repr)
+    assert sorted(r.doc_id for r in dc.decontaminate(df, bench, short_items=True).collect()) == [5, 6, 7]
+
+
 def test_decontamination_of_a_large_benchmark(spark, monkeypatch):
     monkeypatch.setattr(dc, "MAX_PAIRS", 3)
     monkeypatch.setattr(dc, "MAX_SEEDS", 3)
