@@ -13,6 +13,8 @@ from pairtables.llm.quality import keep_good, train_quality
 
 #: Near copies in the pipeline: five-word shingles, similarity 0.8 or more.
 SHINGLE_WORDS, SIMILAR, OF = 5, 80, 100
+#: A line of one or two words goes if this many sources hold it.
+SHORT_SITES = 12
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +24,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of many sources go everywhere but in one document; every document stays."""
-    cleaned = remove_shared_lines(docs).drop("_lines")
+    cleaned = remove_shared_lines(docs, short_sites=SHORT_SITES).drop("_lines")
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast("long"))
     return cleaned.select(*docs.columns)

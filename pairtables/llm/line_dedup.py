@@ -8,6 +8,9 @@ from pairtables.llm.common import n_words, stored, text_key
 
 MIN_SITES = 4
 MIN_WORDS = 3
+#: So many characters of scripts without spaces are as good as ``MIN_WORDS`` words.
+MIN_SPACELESS = 8
+_SPACELESS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
 #: 2^12 registers: the estimate of a count near ``MIN_SITES`` is off by far less than half.
 LOG_REGISTERS = 12
 _BLANK = " \t\r"
@@ -17,15 +20,23 @@ def _line(raw: Column) -> Column:
     return F.btrim(raw, F.lit(_BLANK))
 
 
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """One row per line that may be boilerplate; ``_d1``, ``_d2`` stand for the document's text."""
+def _lines(docs: DataFrame, min_words: int, short: bool) -> DataFrame:
+    """One row per line that may be boilerplate; ``_d1``, ``_d2`` stand for the document's text.
+    With ``short`` these are all lines with a word, and ``_short`` tells those of few words."""
     raw = docs.select("_id", "_site", "_d1", "_d2", F.posexplode(F.split("_text", "\n", -1)).alias("_pos", "_raw"))
-    line = raw.withColumn("_line", _line(F.col("_raw"))).where(n_words(F.col("_line")) >= min_words)
-    return line.select("_id", "_site", "_d1", "_d2", "_pos", *[k.alias(n) for k, n in zip(text_key(F.col("_line")), ("_h1", "_h2"))])
+    line = raw.withColumn("_line", _line(F.col("_raw"))).where(n_words(F.col("_line")) >= (1 if short else min_words))
+    few = (n_words(F.col("_line")) < min_words) & (F.regexp_count("_line", F.lit(_SPACELESS)) < MIN_SPACELESS)
+    return line.select(
+        "_id", "_site", "_d1", "_d2", "_pos", *[k.alias(n) for k, n in zip(text_key(F.col("_line")), ("_h1", "_h2"))],
+        *([few.alias("_short")] if short else []),
+    )
 
 
-def shared_lines(lines: DataFrame, min_sites: int, log_registers: int = LOG_REGISTERS) -> DataFrame:
-    """Hashes of the lines of ``min_sites`` sites or more, with the place that keeps the line.
+def shared_lines(
+    lines: DataFrame, min_sites: int, log_registers: int = LOG_REGISTERS, short_sites: int | None = None
+) -> DataFrame:
+    """Hashes of the lines of ``min_sites`` sites or more (lines marked ``_short``: of
+    ``short_sites``), with the place that keeps the line.
 
     One sketch of sites per line hash, merged by the aggregation on both sides of its
     shuffle, so a line that a third of all rows hold reaches its task as one row per map
@@ -35,20 +46,21 @@ def shared_lines(lines: DataFrame, min_sites: int, log_registers: int = LOG_REGI
     first = F.min(F.struct(F.col("_id").isNull(), "_id", "_d1", "_d2", "_pos")).alias("_keeper")
     site = F.coalesce("_site", F.lit("\x00"))
     sketch = F.hll_sketch_agg(site, log_registers)
-    spread = lines.groupBy("_h1", "_h2").agg(F.hll_sketch_estimate(sketch).alias("_sites"), first)
+    need = F.lit(min_sites) if short_sites is None else F.when(F.max("_short"), short_sites).otherwise(min_sites)
+    spread = lines.groupBy("_h1", "_h2").agg(F.hll_sketch_estimate(sketch).alias("_sites"), first, need.alias("_need"))
     # Single lines, nearly all of them, end here.
-    spread = stored(spread.where(F.col("_sites") * 2 >= min_sites), "spread")
-    near = spread.where(F.col("_sites") < 2 * min_sites)
+    spread = stored(spread.where(F.col("_sites") * 2 >= F.col("_need")), "spread")
+    near = spread.where(F.col("_sites") < 2 * F.col("_need"))
     pairs = lines.select("_h1", "_h2", site.alias("_site")).join(near.select("_h1", "_h2"), ["_h1", "_h2"], "left_semi")
     exact = pairs.distinct().groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_exact"))
-    counted = near.join(exact, ["_h1", "_h2"]).where(F.col("_exact") >= min_sites)
-    sure = spread.where(F.col("_sites") >= 2 * min_sites)
+    counted = near.join(exact, ["_h1", "_h2"]).where(F.col("_exact") >= F.col("_need"))
+    sure = spread.where(F.col("_sites") >= 2 * F.col("_need"))
     return stored(sure.select("_h1", "_h2", "_keeper").unionByName(counted.select("_h1", "_h2", "_keeper")), "shared")
 
 
 def remove_shared_lines(
     docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, id_col: str = "doc_id",
-    text_col: str = "text", site_col: str = "source",
+    text_col: str = "text", site_col: str = "source", short_sites: int | None = None,
 ) -> DataFrame:
     """The rows of ``docs`` with ``text`` less its boilerplate lines; all columns stay, and
     ``n_lines``, ``n_removed`` are added under the struct ``_lines``.
@@ -56,8 +68,9 @@ def remove_shared_lines(
     Lines end at ``\\n`` and are compared without blanks, tabs and carriage returns at their
     ends. A line of ``min_words`` words or more that is in documents of ``min_sites`` sites or
     more goes everywhere but at one place: its first in the document with the smallest id
-    (null last). Null sites are one site. A document keeps its row even if no line is left; a
-    null text stays null. Rows with the same id and text keep the same lines. An empty table
+    (null last). With ``short_sites``, so does a shorter line of that many sites, and one of
+    ``MIN_SPACELESS`` characters of scripts without spaces counts as long.
+    Null sites are one site. A document keeps its row even if no line is left; a null text stays null. Rows with the same id and text keep the same lines. An empty table
     gives no rows.
     """
     packed = docs.select(
@@ -65,11 +78,11 @@ def remove_shared_lines(
         F.col(site_col).cast("string").alias("_site"), F.col(text_col).alias("_text"),
         *[k.alias(n) for k, n in zip(text_key(F.col(text_col)), ("_d1", "_d2"))],
     )
-    lines = _lines(packed, min_words)
-    shared = shared_lines(lines, min_sites)
+    lines = _lines(packed, min_words, short_sites is not None)
+    shared = shared_lines(lines, min_sites, short_sites=short_sites)
     here = F.struct(F.col("_id").isNull(), "_id", "_d1", "_d2", "_pos")
     gone = (
-        lines.drop("_site").join(shared, ["_h1", "_h2"])
+        lines.drop("_site", "_short").join(shared, ["_h1", "_h2"])
         .where(~here.eqNullSafe(F.col("_keeper")))
         .groupBy(F.col("_id").alias("_i"), F.col("_d1").alias("_e1"), F.col("_d2").alias("_e2"))
         .agg(F.collect_set("_pos").alias("_gone"))

@@ -55,6 +55,16 @@ def test_line_dedup(spark):
     assert remove_shared_lines(helpers.frame(spark, [])).count() == 0
 
 
+def test_line_dedup_of_short_and_spaceless_lines(spark):
+    notice = "本网站使用饼干以改善您的体验"
+    docs = [(i, f"own words of {i}\nRead more\n{notice if i < 4 else '短'}\n\nRare{i % 11}", f"s{i}") for i in range(13)]
+    got = {r.doc_id: r.text for r in remove_shared_lines(helpers.frame(spark, docs), short_sites=12).collect()}
+    assert got[0] == docs[0][1] and got[2] == "own words of 2\n\nRare2"
+    assert got[12] == "own words of 12\n短\n\nRare1"
+    plain = {r.doc_id: r.text for r in remove_shared_lines(helpers.frame(spark, docs)).collect()}
+    assert plain == {i: t for i, t, _ in docs}
+
+
 def test_line_dedup_many_sites_need_no_exact_count(spark):
     docs = [(i, f"a line of forty sites\nown words of {i}", f"s{i}") for i in range(40)]
     got = remove_shared_lines(helpers.frame(spark, docs)).collect()
