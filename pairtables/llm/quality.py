@@ -137,8 +137,8 @@ def train_quality(
     docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, folds: int = FOLDS, fold: int = FOLD
 ) -> PuModel:
     """Fit on two samples of at most ``max_sample`` rows: documents that are labelled 1, and
-    documents without a label. Rows of the held-out fold are in neither. The class prior is
-    the share of label 1 among all labels of the other folds (one of a thousand is added to
+    documents whatever their label is, as in case-control PU learning. Rows of the held-out fold
+    are in neither. The class prior is the share of label 1 among all labels of the other folds (one of a thousand is added to
     either side). Null labels and ids are left out."""
     seen = labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_y")).where("_id is not null")
     seen = seen.where(~in_fold(F.col("_id"), folds, fold) & F.col("_y").isin(0, 1))
@@ -146,9 +146,8 @@ def train_quality(
     prior = ((got["y"] or 0) + 0.001 * got["n"] + 1e-6) / (1.002 * got["n"] + 2e-6)
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
     good = sample_by_hash(seen.where("_y = 1").select("_id").distinct(), max_sample)
-    any_label = labels.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct()
     free = texts.select("_id").where(F.col("_id").isNotNull() & ~in_fold(F.col("_id"), folds, fold))
-    other = sample_by_hash(free.join(any_label, "_id", "left_anti"), max_sample)
+    other = sample_by_hash(free, max_sample)
     # At most max_sample ids: the documents are scanned, not shuffled.
     samples = [_matrix(texts.join(F.broadcast(s.distinct()), "_id", "left_semi")) for s in (good, other)]
     return fit_pu(*samples, prior)

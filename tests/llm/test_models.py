@@ -36,6 +36,15 @@ def test_labels_of_the_held_out_fold_are_not_used(spark, sf_small):
     assert np.array_equal(a.w, b.w) and np.array_equal(a.v, b.v)
 
 
+def test_quality_where_every_document_is_labelled(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_small}/labels.parquet")
+    full = docs.join(labels.select("doc_id", "quality"), "doc_id", "left")
+    full = full.select("doc_id", F.coalesce("quality", (F.crc32(F.col("text").cast("binary")) % 2).cast("int")).alias("quality"))
+    model = quality.train_quality(docs, full)
+    assert model.weights.any() and quality.score_quality(docs, model).select("score").distinct().count() > 1
+
+
 def test_crc_folds(spark):
     import zlib
 
