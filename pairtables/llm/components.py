@@ -44,5 +44,7 @@ def components(edges: DataFrame) -> DataFrame:
         ends = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
         if ends.where("up > 1 or up > 0 and down > 0").isEmpty():
             break
+    else:
+        raise RuntimeError(f"components are not complete after {MAX_ROUNDS} rounds")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

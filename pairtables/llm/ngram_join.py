@@ -104,7 +104,11 @@ def _keys(ordered: np.ndarray, part: int, whole: int) -> np.ndarray:
     (1 - s) / (1 + s) for a similarity s of at least a half. Among the first 2 (1 - s) + 3
     members of both are more shared ones than a + b + 1, so that two of them are neighbours
     in both sets: linked sets share a key. Sets that share a passage and no more rarely do.
+    Below two thirds small sets may lack such neighbours. There the keys are the single members
+    of the first n - ceil(s n) + 1: linked sets share one of them.
     """
+    if 3 * part < 2 * whole:
+        return ordered[: (whole - part) * len(ordered) // whole + 1]
     if len(ordered) == 1:
         return ordered
     first = ordered[: 2 * ((whole - part) * len(ordered) // whole) + 3]

@@ -10,7 +10,7 @@ import helpers
 from pairtables.llm.components import components
 from pairtables.llm.exact_dedup import exact_dedup
 from pairtables.llm.line_dedup import remove_shared_lines
-from pairtables.llm.ngram_join import ngram_groups, one_per_group
+from pairtables.llm.ngram_join import _keys, ngram_groups, one_per_group
 from pairtables.llm.trie import links
 
 
@@ -140,6 +140,25 @@ def test_prefix_tree_links_are_all_links():
             assert classes(links(sets, part, 100)) == classes(every)
 
 
+@pytest.mark.parametrize("part", [50, 60, 66, 67, 80])
+def test_linked_sets_share_a_key(part):
+    from itertools import combinations
+
+    sets = [np.array(c, dtype=np.uint64) for k in range(1, 8) for c in combinations(range(1, 8), k)]
+    keys = [set(_keys(s, part, 100).tolist()) for s in sets]
+    for (a, ka), (b, kb) in combinations(zip(sets, keys), 2):
+        same = len(np.intersect1d(a, b))
+        assert 100 * same < part * (len(a) + len(b) - same) or ka & kb, (a, b)
+
+
+def test_components_that_do_not_end_are_an_error(spark, monkeypatch):
+    from pairtables.llm import components as module
+
+    monkeypatch.setattr(module, "MAX_ROUNDS", 1)
+    with pytest.raises(RuntimeError):
+        components(spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long"))
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 200), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in components(edges).collect()}
