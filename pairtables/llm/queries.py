@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pairtables.llm import (
     chat_format, decontaminate, exact_dedup, html_wrappers, line_dedup, mixing, ngram_join, quality,
-    toxicity, url_rules,
+    token_alignment, toxicity, url_rules,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_url_rules": url_rules.op8_url_rules,
     "op9_html_text": html_wrappers.op9_html_text,
     "op10_ngram_join": ngram_join.op10_ngram_join,
+    "op13_token_alignment": token_alignment.op13_token_alignment,
 }
 ORACLES = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,

@@ -12,4 +12,4 @@ def test_same_rows(spark, sf_check, name):
 
 
 def test_names():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
