@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pairtables.llm import (
-    chat_format, decontaminate, exact_dedup, html_wrappers, line_dedup, mixing, ngram_join, quality,
-    token_alignment, toxicity, url_rules,
+    chat_format, decontaminate, exact_dedup, html_wrappers, line_dedup, mixing, ngram_join,
+    periodic_runs, quality, token_alignment, topk_search, toxicity, url_rules,
 )
 
 QUERIES = {
@@ -18,6 +18,8 @@ QUERIES = {
     "op8_url_rules": url_rules.op8_url_rules,
     "op9_html_text": html_wrappers.op9_html_text,
     "op10_ngram_join": ngram_join.op10_ngram_join,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_topk_search": topk_search.op12_topk_search,
     "op13_token_alignment": token_alignment.op13_token_alignment,
 }
 ORACLES = {
@@ -26,4 +28,5 @@ ORACLES = {
     "op5_chat_format": chat_format.ORACLE_SQL,
     "op8_url_rules": url_rules.ORACLE_SQL,
     "op10_ngram_join": ngram_join.ORACLE_SQL,
+    "op12_topk_search": topk_search.ORACLE_SQL,
 }
