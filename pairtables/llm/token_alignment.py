@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +33,21 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+#: How byte-level vocabularies of this kind cut texts before they merge (a fixed value).
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: White space this long in one run goes to the slower encoder, as the other's pattern recurs on it.
+_BLANKS = 5_000
+_LONG_BLANK = re.compile(rf"\s{{{_BLANKS}}}")
+
+
 @lru_cache(maxsize=2)
 def _byte_level(path: str):
-    """The byte-level tokenizer and the bytes of each id."""
+    """A function from texts to ids, and the bytes of each id.
+
+    Where the file's merges are numbered in their order, and it cuts texts by ``SPLIT`` alone,
+    ids are ranks, and the rank encoder gives the same ids in a quarter of the time.
+    """
+    import tiktoken
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -43,7 +58,24 @@ def _byte_level(path: str):
     for token, at in tokenizer.get_vocab().items():
         known = all(c in of_char for c in token)
         table[at] = bytes(of_char[c] for c in token) if known else token.encode()
-    return tokenizer, table
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    model, cut = parts["model"], parts["pre_tokenizer"] or {}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ranked = all(model["vocab"][a + b] == 256 + k for k, (a, b) in enumerate(pairs))
+    plain = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
+    rank_encoder = None
+    if ranked and plain and parts["normalizer"] is None and len(model["vocab"]) == 256 + len(pairs):
+        ranks = {table[at]: at for at in model["vocab"].values()}
+        rank_encoder = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        slow = [rank_encoder is None or len(t) >= _BLANKS and bool(_LONG_BLANK.search(t)) for t in texts]
+        by_model = [t for t, is_slow in zip(texts, slow) if is_slow]
+        encoded = iter(tokenizer.encode_batch_fast(by_model, add_special_tokens=False) if by_model else [])
+        return [next(encoded).ids if is_slow else rank_encoder.encode_ordinary(t) for t, is_slow in zip(texts, slow)]
+
+    return encode, table
 
 
 @lru_cache(maxsize=2)
@@ -82,7 +114,7 @@ class _Aligner:
         """Ids of both tokenizers per text; none where joined bytes are not those of the text."""
         some = [k for k, text in enumerate(texts) if text]
         full = [" " + texts[k] for k in some]
-        ids_a = [e.ids for e in self.a.encode_batch_fast(full, add_special_tokens=False)]
+        ids_a = self.a(full)
         ids_b = self.b.encode([texts[k] for k in some], num_threads=1)
         a, b = [[]] * len(texts), [[]] * len(texts)
         for k, text, row_a, row_b in zip(some, full, ids_a, ids_b):
@@ -97,8 +129,8 @@ class _Aligner:
         rows_a, rows_b = self._encoded(texts)
         n_a = np.array([len(r) for r in rows_a], dtype=np.int64)
         n_b = np.array([len(r) for r in rows_b], dtype=np.int64)
-        ids_a = np.array([i for row in rows_a for i in row], dtype=np.int64)
-        ids_b = np.array([i for row in rows_b for i in row], dtype=np.int64)
+        ids_a = np.fromiter(chain.from_iterable(rows_a), dtype=np.int64, count=n_a.sum())
+        ids_b = np.fromiter(chain.from_iterable(rows_b), dtype=np.int64, count=n_b.sum())
         # Texts follow one another, and both tokenizers cover the same bytes of each, so one
         # merge of all ends is that of every text, and no group reaches into the next text.
         at_a, at_b = common_values(np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b]), self.piece)

@@ -10,7 +10,7 @@ from hypothesis import given, settings, strategies as st
 
 from helpers import frame
 from pairtables.llm.merge_path import common_values, split_points
-from pairtables.llm.token_alignment import TOKENIZERS, align_tokens, link_counts, link_sums, linked_tokens
+from pairtables.llm.token_alignment import BYTE_VOCABULARY, TOKENIZERS, _byte_level, align_tokens, link_counts, link_sums, linked_tokens
 
 values = st.lists(st.integers(0, 60), unique=True).map(sorted)
 
@@ -93,6 +93,7 @@ ROWS = [
     (8, "The quick brown fox jumps over the lazy dog."),
     (9, "a\n\n\tb   c \r\n d"),
     (10, "x" * 3000),
+    (12, " " * 6000 + "b" + "\n" * 7000 + "\u2003" * 100),
     (11, "the dog and the fox, the end " * 700),
 ]
 
@@ -120,5 +121,15 @@ def test_plan_has_no_shuffle_of_frequent_pairs(spark):
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
 
 
-def test_folder_is_there():
-    assert os.path.isdir(TOKENIZERS)
+def test_rank_encoder_gives_the_ids_of_the_model(sf_check):
+    import pandas as pd
+    from tokenizers import Tokenizer
+
+    path = os.path.join(TOKENIZERS, BYTE_VOCABULARY)
+    model = Tokenizer.from_file(path)
+    model.encode_special_tokens = True
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}b {c}1{c} {c}{c}  {c}.\n{c}" for c in points[:0x3400] + points[0x3400::7]]
+    texts += pd.read_parquet(f"{sf_check}/documents.parquet")["text"].tolist()
+    wanted = [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+    assert _byte_level(path)[0](texts) == wanted
