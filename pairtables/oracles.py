@@ -202,6 +202,39 @@ def _shards(rows: str) -> str:
 from (select *, row_number() over (order by record_id) - 1 as pos, count(*) over () as n from ({rows}))"""
 
 
+def _subwords(rows: str, key: str, col: str, then: str) -> str:
+    """Merges of least rank, one kind of pair per word and round, until no pair has a rank.
+
+    White space is cut as the vocabulary's own pattern cuts it: all but the last character of a run
+    that a word follows is a piece of its own. ``t`` holds key, place and symbols of each piece.
+    """
+    blank = r"\t-\r\x{85}\p{Z}"
+    pattern = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{blank}\p{{L}}\p{{N}}]+|[{blank}]+".replace("'", "''")
+    return f"""with recursive
+f as (select model from read_json('/opt/tokenizers/byte_bpe_50k.json', maximum_object_size=100000000,
+  columns={{model: 'STRUCT(merges VARCHAR[][], vocab MAP(VARCHAR, INTEGER))'}})),
+m as (select x[1] as l, x[2] as r, k as rank from (select unnest(model.merges) as x, generate_subscripts(model.merges, 1) as k from f)),
+v as (select unnest(map_keys(model.vocab)) as s, unnest(map_values(model.vocab)) as id from f),
+b as (select lower(printf('%02x', b)) as h, chr(cast(case
+    when b between 33 and 126 or b between 161 and 172 or b between 174 and 255 then b
+    when b < 33 then 256 + b when b < 161 then 256 + b - 94 else 323 end as int)) as c from range(256) r(b)),
+bytes as (select map(list(h), list(c)) as of from b),
+parts as (select {key}, unnest(x) as x, generate_subscripts(x, 1) as i from (select {key},
+    string_split(regexp_replace({col}, '([{blank}])([{blank}][^{blank}])', '\\1' || chr(57344) || '\\2', 'g'), chr(57344)) as x from ({rows}))),
+pieces as (select {key}, i, unnest(regexp_extract_all(x, '{pattern}')) as w, generate_subscripts(regexp_extract_all(x, '{pattern}'), 1) as j from parts),
+words as (select w, array_to_string([chr(31) || of[lower(h)][1] || chr(30) for h in
+    regexp_extract_all(hex(encode(w)), '..')], '') as s from (select distinct w from pieces), bytes),
+e(w, s) as (select w, s from words union all
+  select w, replace(any_value(s), chr(31) || arg_min(l, rank) || chr(30) || chr(31) || arg_min(r, rank) || chr(30),
+    chr(31) || arg_min(l, rank) || arg_min(r, rank) || chr(30))
+  from (select w, s, m.l, m.r, m.rank from (select w, s, y[k] as l, y[k + 1] as r
+      from (select w, s, y, unnest(range(1, len(y))) as k from (select w, s,
+        regexp_extract_all(s, '[^' || chr(30) || chr(31) || ']+') as y from e))) p join m on m.l = p.l and m.r = p.r) group by w),
+done as (select w, arg_min(regexp_extract_all(s, '[^' || chr(30) || chr(31) || ']+'), length(s)) as y from e group by w),
+t as (select {key}, i, j, y from pieces join done using (w))
+{then}"""
+
+
 def _json_item(item: str, field: str, missing: str) -> str:
     return f"""case json_type({item}) when 'OBJECT' then coalesce({item} ->> '$.{field}', {missing})
   else coalesce({item} ->> '$', '') end"""
@@ -311,6 +344,15 @@ select doc_id, truncated,
   array_to_string(list_resize(list_transform(ids, lambda x: 1), 256, 0), ' ') as attention_mask,
   array_to_string(list_resize(ids, 256, 0), ' ') as labels
 from f""",
+    "o13_encode_subwords": _subwords(
+        "select doc_id, text from documents", "doc_id", "text",
+        """, p as (select doc_id, i, j, k, id from (select doc_id, i, j, unnest(y) as s, generate_subscripts(y, 1) as k from t) join v using (s)),
+n as (select doc_id, list(id order by i, j, k) as ids from p group by doc_id),
+a as (select doc_id, coalesce(ids, []) as ids from documents left join n using (doc_id))
+select doc_id, len(ids) > 256 as truncated, array_to_string(list_resize(ids, 256, 50256), ' ') as input_ids,
+  array_to_string(list_resize([1 for x in ids], 256, 0), ' ') as attention_mask,
+  array_to_string(list_resize(ids, 256, 50256), ' ') as labels from a""",
+    ),
     "o14_generation_plan": f"""select topic, round, model, 10::bigint as batch_size
 from (select topic, unnest(range(1, cast(ceil(shortfall / 20.0) as bigint) + 1)) as round
       from ({COVERAGE}) where shortfall > 0), (values ('gpt'), ('gemini')) p(model)""",
@@ -400,6 +442,11 @@ select record_id, source, round(rougeL_precision, 6) as "rougeL_precision",
   round(rougeL_recall, 6) as "rougeL_recall", round(rougeL, 6) as "rougeL" from r""",
     "o36_corpus_bleu": f"""with {_grams(EVAL, 'record_id, topic', 4)}, b as ({_bleu('topic')})
 select topic, round(bleu, 6) as bleu, n from b""",
+    "o37_subword_count": _subwords(
+        EVAL, "record_id", "outputs",
+        f"""select record_id, coalesce(n, 0)::bigint as token_count from ({EVAL}) left join
+(select record_id, sum(len(y)) as n from t group by record_id) using (record_id)""",
+    ),
     "o37_token_count": f"select record_id, len({_tok('outputs')}) as token_count from ({EVAL})",
     "o38_parse_score": f"""select record_id, metric, coalesce(s, 3.0)::double as score, s is null as defaulted
 from (select record_id, metric, try_cast(regexp_extract(response, '[1-5]') as double) as s from ({JUDGE_RAW}))""",

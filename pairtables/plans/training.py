@@ -9,6 +9,7 @@ from pairtables.functions.text import ChatTemplate, chat_format, flatten_text
 from pairtables.operators.encode import build_vocab, encode
 from pairtables.operators.pairs import select_source
 from pairtables.operators.split import train_test_split
+from pairtables.operators.subwords import encode_subwords
 
 
 def training_text(
@@ -43,3 +44,17 @@ def training_rows(
     texts = training_text(df, source, key=key)
     encoded = encode(texts, build_vocab(texts, vocabulary_size), max_len=max_len).drop("text")
     return train_test_split(encoded, key, **split)
+
+
+def subword_training_rows(
+    df: DataFrame,
+    source: str,
+    vocabulary: str,
+    pad_id: int,
+    max_len: int = fixed.MAX_SEQ_LENGTH,
+    key: str = "record_id",
+    **split,
+) -> tuple[DataFrame, DataFrame]:
+    """The same with the tokens of a subword vocabulary file; nothing is learned from the rows."""
+    encoded = encode_subwords(training_text(df, source, key=key), vocabulary, pad_id, max_len=max_len)
+    return train_test_split(encoded.drop("text"), key, **split)

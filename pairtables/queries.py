@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pairtables import fixed_values as fixed, schemas, views
 from pairtables.functions import text as tx
 from pairtables.operators import encode as en, generation as ge, judge as ju, lexical as lx
-from pairtables.operators import pairs as pa, position as po, progress as pr, report as re_, versions as ve
+from pairtables.operators import pairs as pa, position as po, progress as pr, report as re_
+from pairtables.operators import subwords as sw, versions as ve
 from pairtables.operators.infer import batch_infer, map_batches
 from pairtables.operators.split import is_test_row
 from pairtables.plans import answers as an, evaluation as ev, instructions as ins, training as tr
@@ -209,6 +210,18 @@ def o13_encode(spark, sf_dir):
     return encoded.select("doc_id", *ids, "truncated")
 
 
+#: A public byte-pair vocabulary; its one special token stands for padding too.
+SUBWORDS, SUBWORD_PAD = "/opt/tokenizers/byte_bpe_50k.json", 50_256
+
+
+@query
+def o13_encode_subwords(spark, sf_dir):
+    docs = views.spread(views.table(spark, sf_dir, "documents"))
+    encoded = sw.encode_subwords(docs, SUBWORDS, SUBWORD_PAD)
+    ids = [F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("input_ids", "attention_mask", "labels")]
+    return encoded.select("doc_id", *ids, "truncated")
+
+
 def _coverage(spark, sf_dir) -> DataFrame:
     docs = views.table(spark, sf_dir, "documents").withColumnRenamed("source", "topic")
     labels = views.table(spark, sf_dir, "labels")
@@ -436,6 +449,12 @@ def o37_token_count(spark, sf_dir):
     return lx.token_count(views.eval_rows(spark, sf_dir)).select("record_id", "token_count")
 
 
+@query
+def o37_subword_count(spark, sf_dir):
+    rows = views.eval_rows(spark, sf_dir)
+    return rows.select("record_id", sw.subword_count(SUBWORDS)(F.col("outputs")).alias("token_count"))
+
+
 @query
 def o38_parse_score(spark, sf_dir):
     response = F.col("response")
