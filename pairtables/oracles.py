@@ -491,6 +491,9 @@ from (select doc_id as record_id, nullif(lang, 'es') as topic,
         row_number() over (partition by nullif(lang, 'es') order by md5(cast(doc_id as varchar))) as r from documents)
 where r <= 150""",
     "o50_ingest_stream": f"select *, conv_id * {TURNS} + turn as record_id from conversations",
+    "o50_ingest_shards": f"""select * exclude (pos, n), printf('batch-%07d-%07d', pos // 100 * 100,
+  least(pos // 100 * 100 + 100, n)) as shard
+from (select *, row_number() over (order by record_id) - 1 as pos, count(*) over () as n from ({DUAL}))""",
     "o51_progress_stream": f"""select shard, count(*) filter (coalesce(gpt_output, '') <> '') as gpt_output_done,
   count(*) filter (coalesce(gemini_output, '') <> '') as gemini_output_done, count(*) as n_rows
 from ({_shards(DUAL)}) group by shard""",

@@ -584,6 +584,9 @@ def o49_cap_per_topic(spark, sf_dir):
 
 # Streaming
 
+#: Files per micro-batch: a few micro-batches at any size of the samples.
+MAX_FILES = 50
+
 
 @query
 def o50_ingest_stream(spark, sf_dir):
@@ -600,8 +603,17 @@ def o50_ingest_stream(spark, sf_dir):
     return tables.read_dataset(spark, sink, schema).drop("run", "batch_id")
 
 
-#: Files per micro-batch of the query below: a few micro-batches at any size of the samples.
-MAX_FILES = 50
+@query
+def o50_ingest_shards(spark, sf_dir):
+    """Shards arrive, some in two parts; after a restart the rest, and all of them a second time."""
+    rows = stored(tables.with_shards(views.qa_dual(spark, sf_dir), 100), "rows")
+    source, sink, checkpoint = (shared_path(spark, n) for n in ("arrived", "ingested", "checkpoint"))
+    half = F.xxhash64("record_id") % 2 == 0
+    schema = T.StructType([*rows.drop("shard").schema.fields, rows.schema["shard"]])
+    for part in (rows.where(half), rows):
+        part.repartition("shard").write.mode("append").partitionBy("shard").parquet(source)
+        shards.ingest_shards(shards.shard_stream(spark, source, schema, max_files=MAX_FILES), sink, checkpoint)
+    return tables.read_dataset(spark, sink, schema).drop("run", "batch_id")
 
 
 @query
