@@ -2,7 +2,8 @@
 
 A position is exact whatever the bucket bounds are: rows are numbered inside key ranges,
 and every range starts where the ranges before it end. The bounds only decide how evenly
-the work is spread.
+the work is spread: they are drawn by weight, so that a range holds neither more rows nor more
+bytes than it should, however much the rows differ in width.
 """
 
 from __future__ import annotations
@@ -14,18 +15,42 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pairtables import fixed_values as fixed
 
 ROWS_PER_BUCKET = 1_000_000
+#: Bytes of rows that one task sorts, as far as single rows allow.
+BYTES_PER_BUCKET = 256 * 1024 * 1024
 MAX_BUCKETS = 16_384
 _FAN_OUT = 128
 _SAMPLES_PER_BUCKET = 16
 
 
-def _bounds(keys: DataFrame, key: str, n: int, buckets: int) -> list:
-    """``buckets - 1`` ascending values that cut the keys into ranges of similar size."""
-    step = max(1, n // (buckets * _SAMPLES_PER_BUCKET))
-    picked = keys.where(F.pmod(F.xxhash64(key), F.lit(step)) == 0).distinct().orderBy(key).collect()
-    values = [row[0] for row in picked]
-    cuts = {values[len(values) * i // buckets] for i in range(1, buckets)} if values else set()
-    return sorted(cuts)
+def _row_bytes(df: DataFrame) -> Column:
+    """What a row takes: eight bytes per plain value, the length of texts, nested values as JSON."""
+    size = F.lit(0).cast("long")
+    for field in df.schema.fields:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            value = F.to_json(value)
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size += 8
+            continue
+        size += F.coalesce(F.octet_length(value), F.lit(0))
+    return size
+
+
+def _bounds(weighted: DataFrame, key: str, total: int, buckets: int) -> list:
+    """At most ``buckets - 1`` ascending values that cut the keys into ranges of similar weight.
+
+    A row stands for as many points of a sample as it has units of weight; the rest of a unit is
+    drawn by its hash. The sample has some 16 rows per range, is cut in one task, and only the
+    bounds themselves reach the driver.
+    """
+    unit = max(1, total // (buckets * _SAMPLES_PER_BUCKET))
+    drawn = (F.pmod(F.xxhash64(key), F.lit(unit)) < F.pmod("_weight", F.lit(unit))).cast("long")
+    points = weighted.select(key, (F.floor(F.col("_weight") / unit) + drawn).alias("_points"))
+    points = points.where("_points > 0").groupBy(key).agg(F.sum("_points").alias("_points"))
+    before = F.sum("_points").over(Window.orderBy(key)) - F.col("_points")
+    share = F.floor(before * buckets / F.sum("_points").over(Window.partitionBy()))
+    cuts = points.select(key, share.alias("_share")).where("_share > 0").groupBy("_share").agg(F.min(key))
+    return sorted(row[1] for row in cuts.collect())
 
 
 def _bucket(key: Column, bounds: list, dtype: T.DataType) -> Column:
@@ -45,18 +70,26 @@ def _bucket(key: Column, bounds: list, dtype: T.DataType) -> Column:
 
 
 def with_positions(
-    df: DataFrame, order_by: str = "record_id", rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame,
+    order_by: str = "record_id",
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    bytes_per_bucket: int = BYTES_PER_BUCKET,
 ) -> tuple[DataFrame, int]:
     """Add ``position``, counted from 0 in the order of a unique key; also return the row count."""
-    keys = df.select(order_by)
-    n = keys.count()
-    buckets = min(MAX_BUCKETS, max(1, math.ceil(n / rows_per_bucket)))
-    bounds = _bounds(keys, order_by, n, buckets) if buckets > 1 else []
+    # A row weighs its bytes and one part in rows_per_bucket of a range.
+    weight = _row_bytes(df) + F.lit(max(1, bytes_per_bucket // rows_per_bucket))
+    weighted = df.select(order_by, weight.alias("_weight"))
+    n, total = weighted.agg(F.count(F.lit(1)), F.sum("_weight")).first()
+    wanted = math.ceil((total or 0) / bytes_per_bucket)
+    buckets = min(MAX_BUCKETS, max(1, wanted))
+    bounds = _bounds(weighted, order_by, total, buckets) if buckets > 1 else []
     bucket = _bucket(F.col(order_by), bounds, df.schema[order_by].dataType)
     if not bounds:  # one range, so there is nothing to add
         return df.withColumn("position", F.row_number().over(Window.orderBy(order_by)).cast("long") - 1), n
-    placed, ranges = df.withColumn("_bucket", bucket), ["_bucket"]
-    parts = math.ceil(n / (buckets * rows_per_bucket))
+    # The partition id, times zero, keeps the optimizer from moving the lambda of the bucket to the
+    # other side of the join below when a caller filters by position, where its key is not known.
+    placed, ranges = df.withColumn("_bucket", bucket + F.spark_partition_id() * 0), ["_bucket"]
+    parts = math.ceil(wanted / buckets)
     if parts > 1:  # more rows than the ranges are meant for: cut each at some of its own keys
         placed, ranges = _with_parts(placed, order_by, n, buckets, min(parts, _FAN_OUT)), ["_bucket", "_part"]
     sizes = placed.groupBy(*ranges).agg(F.count(F.lit(1)).alias("_n"))
@@ -115,6 +148,19 @@ def slice_rows(
     order_by: str = "record_id",
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """The rows at positions ``start`` to ``end`` (exclusive)."""
-    numbered, _ = with_positions(df, order_by, rows_per_bucket)
-    return numbered.where(F.col("position").between(start, end - 1))
+    """The rows at positions ``start`` to ``end`` (exclusive).
+
+    Only keys are numbered to find the first and the last one; then the rows between these two
+    are read, a condition that reaches the scan, and no other row is shuffled.
+    """
+    keys, _ = with_positions(df.select(order_by), order_by, rows_per_bucket)
+    first, low, high, nulls = keys.where(F.col("position").between(start, end - 1)).agg(
+        F.min("position"), F.min(order_by), F.max(order_by), F.count_if(F.col(order_by).isNull())
+    ).first()
+    if first is None:
+        return df.where("false").withColumn("position", F.lit(0).cast("long"))
+    inside = F.col(order_by).isNull() if nulls else F.lit(False)
+    if low is not None:
+        inside |= F.col(order_by).between(F.lit(low), F.lit(high))
+    part, _ = with_positions(df.where(inside), order_by, rows_per_bucket)
+    return part.withColumn("position", F.col("position") + first)

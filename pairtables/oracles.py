@@ -197,8 +197,8 @@ gate as (select s.source, threshold_name, value, threshold,
   from (select distinct source from m) s cross join th left join m on m.source = s.source and m.metric = th.metric)"""
 
 
-def _shards(rows: str) -> str:
-    return f"""select *, printf('batch-%07d-%07d', pos // 10 * 10, least(pos // 10 * 10 + 10, n)) as shard
+def _shards(rows: str, size: int = 10) -> str:
+    return f"""select *, printf('batch-%07d-%07d', pos // {size} * {size}, least(pos // {size} * {size} + {size}, n)) as shard
 from (select *, row_number() over (order by record_id) - 1 as pos, count(*) over () as n from ({rows}))"""
 
 
@@ -283,6 +283,9 @@ _TEST = "md5(cast({0} as varchar) || ':42') < '33333333'"
 ORACLES: dict[str, str] = {
     "o01_read_dataset": "select * from conversations",
     "o02_read_shards": f"select record_id, shard, gpt_output from ({_shards(DUAL)})",
+    "o02_shard_index": f"""select *, sum(n_rows) over (order by first_key)::bigint - n_rows as start from (
+  select shard, min(record_id) as first_key, max(record_id) as last_key, count(*) as n_rows
+  from ({_shards(DUAL, 100)}) group by shard)""",
     "o03_validate_records": f"""{_RECORDS}
 select record_id, pos, item ->> '$.model' as model, item ->> '$.topic' as topic, md5(item ->> '$.instruction') as digest,
   cast(item ->> '$.temperature' as double) as temperature, status
@@ -411,6 +414,8 @@ from (select record_id, p as provider, 'instruction:' || instruction as prompt
     "o26_slice_rows": """select doc_id, position
 from (select doc_id, row_number() over (order by doc_id) - 1 as position, count(*) over () as n from documents)
 where position >= n // 4 and position < n // 2""",
+    "o26_slice_shards": f"""select record_id, gpt_output, shard, pos as position
+from ({_shards(DUAL, 100)}) where pos >= n // 4 and pos < n // 2""",
     "o27_train_test_split": f"select doc_id, {_TEST.format('doc_id')} as is_test from documents",
     "o27_exact_split": """select doc_id,
   row_number() over (order by md5(cast(doc_id as varchar) || ':42')) <= ceil(0.2 * count(*) over ()) as is_test
@@ -491,9 +496,7 @@ from (select doc_id as record_id, nullif(lang, 'es') as topic,
         row_number() over (partition by nullif(lang, 'es') order by md5(cast(doc_id as varchar))) as r from documents)
 where r <= 150""",
     "o50_ingest_stream": f"select *, conv_id * {TURNS} + turn as record_id from conversations",
-    "o50_ingest_shards": f"""select * exclude (pos, n), printf('batch-%07d-%07d', pos // 100 * 100,
-  least(pos // 100 * 100 + 100, n)) as shard
-from (select *, row_number() over (order by record_id) - 1 as pos, count(*) over () as n from ({DUAL}))""",
+    "o50_ingest_shards": f"select * exclude (pos, n) from ({_shards(DUAL, 100)})",
     "o51_progress_stream": f"""select shard, count(*) filter (coalesce(gpt_output, '') <> '') as gpt_output_done,
   count(*) filter (coalesce(gemini_output, '') <> '') as gemini_output_done, count(*) as n_rows
 from ({_shards(DUAL)}) group by shard""",

@@ -16,7 +16,7 @@ from pairtables.operators.infer import batch_infer, map_batches
 from pairtables.operators.split import is_test_row
 from pairtables.plans import answers as an, evaluation as ev, instructions as ins, training as tr
 from pairtables.session import shared_path, stored
-from pairtables.sources import records, tables
+from pairtables.sources import records, shard_index, tables
 from pairtables.streaming import shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,16 @@ def o02_read_shards(spark, sf_dir):
     return read.select("record_id", "shard", "gpt_output")
 
 
+@query
+def o02_shard_index(spark, sf_dir):
+    """The index after a first run has written some shards and a second one the rest."""
+    rows, root = views.qa_dual(spark, sf_dir), shared_path(spark, "shards")
+    for only in (F.xxhash64("shard") % 2 == 0, None):
+        tables.write_shards(rows, root, 100, rows_per_bucket=ROWS_PER_RANGE // 16, only=only)
+        index = shard_index.index_shards(spark, root, rows.schema["record_id"])
+    return index
+
+
 @query
 def o03_validate_records(spark, sf_dir):
     rows = records.validate_records(views.record_sets(spark, sf_dir), "response", whole_response=False)
@@ -357,6 +367,16 @@ def o26_slice_rows(spark, sf_dir):
     return part.select("doc_id", "position")
 
 
+@query
+def o26_slice_shards(spark, sf_dir):
+    """The second quarter of a sharded table, from the shards that its index names."""
+    rows, root = views.qa_dual(spark, sf_dir), shared_path(spark, "shards")
+    tables.write_shards(rows, root, 100, rows_per_bucket=ROWS_PER_RANGE // 16)
+    n = shard_index.index_shards(spark, root, rows.schema["record_id"]).agg(F.sum("n_rows")).first()[0]
+    part = shard_index.read_slice(spark, root, T.StructType(DUAL_FIELDS), n // 4, n // 2)
+    return part.select("record_id", "gpt_output", "shard", "position")
+
+
 @query
 def o27_train_test_split(spark, sf_dir):
     docs = views.table(spark, sf_dir, "documents")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from pairtables import fixed_values as fixed
 from pairtables.operators.position import ROWS_PER_BUCKET, with_batches
+from pairtables.session import stored
 
 
 def read_dataset(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -59,21 +62,58 @@ def write_shards(
     ``df`` is the whole table: a shard's name comes from the positions of its rows in it, so
     a run that goes on after an interruption writes the shards that are missing and no
     others. ``only``, a condition on the columns of ``df`` and ``shard``, leaves shards for a
-    later run. A shard replaces its own directory at most. Rows leave the numbering sorted by
-    key within a range of keys, so each task writes the shards of its own range, one after
-    the other. ``batch_size`` should grow with the table: every batch is a directory.
+    later run. A shard replaces its own directory at most. In a first run rows leave the
+    numbering sorted by key within a range of keys, so each task writes the shards of its own
+    range, one after the other; a resumed run reads and shuffles the rows of missing shards only.
+    ``batch_size`` should grow with the table: every batch is a directory.
     """
-    sharded = with_shards(df, batch_size, order_by, rows_per_bucket)
-    if only is not None:
-        sharded = sharded.where(only)
     names = T.StructType([T.StructField("shard", T.StringType())])
     there = read_if_there(df.sparkSession, root, names)
-    if there is not None:
-        sharded = sharded.join(there.select("shard").distinct(), "shard", "left_anti").select(*df.columns, "shard")
-    writer = sharded.sortWithinPartitions("shard").write.partitionBy("shard")
+    if there is None:
+        sharded = with_shards(df, batch_size, order_by, rows_per_bucket).sortWithinPartitions("shard")
+    else:
+        sharded = _missing_rows(df, there.select("shard").distinct(), batch_size, order_by, rows_per_bucket)
+    if only is not None:
+        sharded = sharded.where(only)
+    writer = sharded.write.partitionBy("shard")
     writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(root)
 
 
+#: Ranges of keys that a resumed run reads, as a condition of its scan.
+MAX_RANGES = 64
+
+
+def _missing_rows(
+    df: DataFrame, there: DataFrame, batch_size: int, order_by: str, rows_per_bucket: int
+) -> DataFrame:
+    """The rows of the shards that are not there, with ``shard``, one task per shard.
+
+    Keys alone are numbered. Missing shards that follow one another make one range of keys, and
+    neighbouring ranges are joined until ``MAX_RANGES`` are left; only rows in these ranges are
+    read and meet the keys that are missing.
+    """
+    keys = with_batches(df.select(order_by), order_by, batch_size, rows_per_bucket)
+    keys = keys.select(F.col(order_by).alias("_key"), "batch", shard_name().alias("shard"))
+    missing = stored(keys.join(there, "shard", "left_anti"), "missing")
+    # One row per missing shard: as many as the run is going to write directories.
+    per_shard = missing.groupBy("batch").agg(
+        F.min("_key").alias("low"), F.max("_key").alias("high"), F.count_if(F.col("_key").isNull()).alias("nulls")
+    )
+    island = F.col("batch") - F.row_number().over(Window.orderBy("batch"))
+    islands = per_shard.withColumn("island", island).groupBy("island").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("nulls").alias("nulls")
+    )
+    ranges = islands.withColumn("range", F.ntile(MAX_RANGES).over(Window.orderBy("island"))).groupBy("range").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("nulls").alias("nulls")
+    ).collect()
+    key = F.col(order_by)
+    inside = [key.between(F.lit(r["low"]), F.lit(r["high"])) for r in ranges if r["low"] is not None]
+    inside += [key.isNull()] if any(r["nulls"] for r in ranges) else []
+    rows = df.where(reduce(Column.__or__, inside, F.lit(False)))
+    found = rows.join(missing.select("_key", "shard"), F.col(order_by).eqNullSafe(F.col("_key")))
+    return found.select(*df.columns, "shard").repartition("shard")
+
+
 def read_shards(
     spark: SparkSession, root: str, schema: T.StructType, prefix: str = fixed.SHARD_PREFIX
 ) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from pairtables import queries, schemas, views
-from pairtables.operators import encode as en, lexical as lx, lookup, pairs as pa, report as rp, split as sp, versions as ve
+from pairtables.operators import encode as en, lexical as lx, lookup, pairs as pa, position as po, report as rp, split as sp, versions as ve
 from pairtables.plans import evaluation as ev
 from pairtables.sources import records, tables
 from pairtables.streaming import shards
@@ -49,6 +49,17 @@ def test_unused_columns_are_not_read(pairs):
     assert "ReadSchema: struct<source:string,outputs:string>" in text
 
 
+def test_a_slice_numbers_keys_and_reads_its_own_rows(pairs):
+    text = plan(po.slice_rows(pairs, 20, 30))
+    assert "GreaterThanOrEqual(record_id,20)" in text and "LessThanOrEqual(record_id,29)" in text
+
+
+def test_a_resumed_run_reads_missing_shards_only(spark, pairs):
+    there = spark.createDataFrame([(f"batch-{i:07d}-{i + 10:07d}",) for i in range(0, 200, 10) if i != 50], "shard string")
+    text = plan(tables._missing_rows(pairs, there, 10, "record_id", 1000))
+    assert "GreaterThanOrEqual(record_id,50)" in text and "LessThanOrEqual(record_id,59)" in text
+
+
 def test_other_shards_are_pruned(spark, tmp_path):
     root = str(tmp_path / "t")
     df = spark.createDataFrame([(i, "q", "a", None, 0.2, 400) for i in range(9)], schemas.DUAL_SOURCE)

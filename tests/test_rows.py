@@ -14,7 +14,7 @@ from pairtables.operators.lookup import lookup_join
 from pairtables.plans.answers import fill_answers
 from pairtables.plans.instructions import accepted_records, key_of, planned_requests
 from pairtables.plans.training import training_rows
-from pairtables.sources import records, tables
+from pairtables.sources import records, shard_index, tables
 
 # The executors cannot import this file.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -111,6 +111,29 @@ def test_slice_rows(spark):
     assert ids(po.slice_rows(df, 98, 500)) == [196, 198]
 
 
+def test_slices_with_a_null_key_and_empty_ones(spark):
+    df = spark.createDataFrame([(i if i else None, "t" * i) for i in range(40)], "record_id long, text string").repartition(3)
+    for start, end in ((0, 3), (0, 1), (5, 5), (38, 90), (40, 50)):
+        got = sorted((r["position"], len(r["text"])) for r in po.slice_rows(df, start, end, rows_per_bucket=7).collect())
+        assert got == [(i, i) for i in range(start, min(end, 40))]
+
+
+def test_ranges_are_even_in_bytes(spark):
+    """Long texts lie together at one end of the keys; no range gets more than twice its share."""
+    wide = "w " * 20_000
+    df = spark.range(4000).select(
+        F.col("id").alias("record_id"), F.when(F.col("id") < 200, F.lit(wide)).otherwise("w").alias("text")
+    )
+    weighted = df.select("record_id", po._row_bytes(df).alias("_weight"))
+    total = weighted.agg(F.sum("_weight")).first()[0]
+    bounds = po._bounds(weighted, "record_id", total, 20)
+    bucket = po._bucket(F.col("record_id"), bounds, T.LongType())
+    sizes = [r[1] for r in weighted.groupBy(bucket.alias("b")).agg(F.sum("_weight")).collect()]
+    assert len(sizes) >= 15 and max(sizes) < 2 * total / 20
+    found, n = po.with_positions(df, bytes_per_bucket=total // 20, rows_per_bucket=3000)
+    assert n == 4000 and found.where("position <> record_id").count() == 0
+
+
 # Lookup joins, hot keys
 
 
@@ -445,6 +468,58 @@ def test_shards_of_several_runs_are_those_of_one(spark, tmp_path):
     assert first <= {f for f in (tmp_path / "several").rglob("part-*")}
 
 
+def test_resumed_run_writes_scattered_shards(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "MAX_RANGES", 2)
+    df = numbered(spark, 200).withColumn("text", F.concat(F.lit("t"), F.col("record_id").cast("string")))
+    df = df.unionByName(df.limit(1).withColumn("record_id", F.lit(None).cast("long")))
+    root = str(tmp_path / "t")
+    tables.write_shards(df, root, 7, rows_per_bucket=20, only=F.xxhash64("shard") % 3 == 0)
+    part = tables.read_shards(spark, root, T.StructType(df.schema.fields)).count()
+    assert 0 < part < 201
+    tables.write_shards(df, root, 7, rows_per_bucket=20)
+    got = tables.read_shards(spark, root, T.StructType(df.schema.fields))
+    assert sorted(map(repr, got.select(df.columns).collect())) == sorted(map(repr, df.collect()))
+    wanted = tables.with_shards(df, 7, rows_per_bucket=20)
+    assert got.select("record_id", "shard").exceptAll(wanted.select("record_id", "shard")).isEmpty()
+
+
+def test_shard_index(spark, tmp_path):
+    df = numbered(spark, 60).withColumn("text", F.lit("t"))
+    root, schema = str(tmp_path / "t"), T.StructType(df.schema.fields)
+    key = schema["record_id"]
+    tables.write_shards(df, root, 10, only=F.col("shard") < "batch-0000030")
+    assert shard_index.index_shards(spark, root, key).count() == 3
+    tables.write_shards(df, root, 10)
+    for _ in range(2):
+        index = shard_index.index_shards(spark, root, key).orderBy("start").collect()
+        assert [tuple(r) for r in index] == [
+            (f"batch-{i:07d}-{i + 10:07d}", i, i + 9, 10, i) for i in range(0, 60, 10)
+        ]
+    for start, end in ((0, 60), (12, 18), (9, 11), (55, 99), (60, 70)):
+        rows = shard_index.read_slice(spark, root, schema, start, end)
+        assert sorted((r["record_id"], r["position"]) for r in rows.collect()) == [(i, i) for i in range(start, min(end, 60))]
+    assert ids(shard_index.read_keys(spark, root, schema, 18, 21)) == [18, 19, 20, 21]
+    assert "PartitionFilters" in str(one := shard_index.read_slice(spark, root, schema, 12, 18)._jdf.queryExecution().executedPlan())
+    assert "batch-0000010-0000020" in str(one).split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    df.where("record_id = 15").write.parquet(f"{root}/shard=batch-9-0")
+    shard_index.index_shards(spark, root, key)
+    with pytest.raises(ValueError, match="share a range"):
+        shard_index.read_slice(spark, root, schema, 0, 60)
+
+
+def test_a_slice_opens_only_its_shards(spark, tmp_path):
+    df = numbered(spark, 60).withColumn("text", F.lit("t"))
+    root, schema = tmp_path / "t", T.StructType(df.schema.fields)
+    tables.write_shards(df, str(root), 10)
+    shard_index.index_shards(spark, str(root), schema["record_id"])
+    for file in root.glob("shard=*/part-*.parquet"):  # other shards cannot be read any more
+        if "batch-0000010" not in str(file):
+            file.write_bytes(b"no parquet")
+            (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    assert ids(shard_index.read_slice(spark, str(root), schema, 12, 18)) == list(range(12, 18))
+    assert ids(shard_index.read_keys(spark, str(root), schema, 12, 18)) == list(range(12, 19))
+
+
 def test_consolidate_prefers_new_rows_and_never_overwrites(spark, tmp_path):
     old = dual(spark)
     new = old.where("record_id = 1").withColumn("gpt_output", F.lit("new"))
