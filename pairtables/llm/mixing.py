@@ -106,6 +106,9 @@ def tilts(counts: DataFrame, targets: DataFrame, most: float = MOST) -> DataFram
         done = sums.withColumn("_moved", moved).withColumn("gap", stuck).withColumn("tilt", F.col("_moved"))
         rest = state.where(F.col("fixed").isNotNull() | (F.abs("gap") <= TOLERANCE))
         state = stored(rest.unionByName(done.select(*state.columns)), "tilts")
+    else:
+        if not state.where(F.col("fixed").isNull() & (F.abs("gap") > TOLERANCE)).isEmpty():
+            raise RuntimeError(f"tilts have not converged after {MAX_STEPS} steps")
     return state.select("source", "mean", "tilt", "fixed")
 
 
@@ -224,15 +227,23 @@ def _crossing(cells: DataFrame, need: DataFrame) -> DataFrame:
     )
 
 
+TAKEN = ("size", "source_size", "target", "taken", "copies")
+
+
 def take_mix(docs: DataFrame, **settings) -> DataFrame:
-    """The documents of the mix: all columns of ``docs`` under their names, and the struct
-    ``mix`` (size, source_size, target, taken, copies). Documents with 0 copies are not in it."""
+    """The documents of the mix: the columns of ``docs``, then size, source_size, target, taken,
+    copies. Documents with 0 copies are not in it.
+
+    A column of ``docs`` that has one of these names gives way; others may be called anything.
+    Null and empty texts have size 0 and one copy; null ids and sources, repeated rows and empty
+    tables are treated as :func:`mix_sources` says.
+    """
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
     numbered = stored(docs.select(doc, F.monotonically_increasing_id().alias("_at")), "numbered")
     flat = numbered.select("_doc.doc_id", "_doc.text", "_doc.source", "_at")
-    mix = mix_sources(flat, row=F.col("_at"), **settings).where("copies > 0")
-    values = F.struct("size", "source_size", "target", "taken", "copies").alias("mix")
-    return numbered.join(mix.select("_row", values), F.col("_at") == F.col("_row")).select("_doc.*", "mix")
+    mix = mix_sources(flat, row=F.col("_at"), **settings).where("copies > 0").select("_row", F.struct(*TAKEN).alias("_mix"))
+    own = [F.col("_doc").getField(c).alias(c) for c in docs.columns if c not in TAKEN]
+    return numbered.join(mix, F.col("_at") == F.col("_row")).select(*own, "_mix.*")
 
 
 def op6_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -123,14 +123,18 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> PuMode
 
 
 def _matrix(texts: DataFrame) -> np.ndarray:
-    """Features of a bounded sample, computed where its rows are read."""
+    """Features of a bounded sample, computed where its rows are read. Of rows that repeat an id
+    the one with the least hash of its text counts, so there are no more rows than ids."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"id": b["_id"], "x": [features(t) for t in b["_text"]]})
+            yield pd.DataFrame({"id": b["_id"], "h": b["_h"], "x": [features(t) for t in b["_text"]]})
 
-    rows = texts.mapInPandas(run, "id long, x array<double>").toArrow().sort_by("id")
-    return np.array(rows["x"].to_pylist(), dtype=np.float64).reshape(-1, FEATURES)
+    hashed = texts.withColumn("_h", F.xxhash64(F.coalesce("_text", F.lit(""))))
+    rows = hashed.mapInPandas(run, "id long, h long, x array<double>")
+    rows = rows.groupBy("id").agg(F.min(F.struct("h", "x")).alias("r")).select("id", F.col("r.x").alias("x"))
+    found = rows.toArrow().sort_by("id")
+    return np.array(found["x"].to_pylist(), dtype=np.float64).reshape(-1, FEATURES)
 
 
 def train_quality(
@@ -138,8 +142,9 @@ def train_quality(
 ) -> PuModel:
     """Fit on two samples of at most ``max_sample`` rows: documents that are labelled 1, and
     documents whatever their label is, as in case-control PU learning. Rows of the held-out fold
-    are in neither. The class prior is the share of label 1 among all labels of the other folds (one of a thousand is added to
-    either side). Null labels and ids are left out."""
+    are in neither. The class prior is the share of label 1 among all labels of the other folds
+    (one of a thousand is added to either side). Null labels and ids are left out, of rows that
+    repeat an id one counts, null texts count as empty, other columns are not looked at."""
     seen = labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_y")).where("_id is not null")
     seen = seen.where(~in_fold(F.col("_id"), folds, fold) & F.col("_y").isin(0, 1))
     got = seen.agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("y")).first()
@@ -147,9 +152,9 @@ def train_quality(
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
     good = sample_by_hash(seen.where("_y = 1").select("_id").distinct(), max_sample)
     free = texts.select("_id").where(F.col("_id").isNotNull() & ~in_fold(F.col("_id"), folds, fold))
-    other = sample_by_hash(free, max_sample)
+    other = sample_by_hash(free.distinct(), max_sample)
     # At most max_sample ids: the documents are scanned, not shuffled.
-    samples = [_matrix(texts.join(F.broadcast(s.distinct()), "_id", "left_semi")) for s in (good, other)]
+    samples = [_matrix(texts.join(F.broadcast(s), "_id", "left_semi")) for s in (good, other)]
     return fit_pu(*samples, prior)
 
 
@@ -168,7 +173,11 @@ def score_quality(docs: DataFrame, model: PuModel, id_col: str = "doc_id", text_
 
 
 def keep_good(docs: DataFrame, model: PuModel, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score ``threshold`` or more, with all their columns."""
+    """The rows of ``docs`` that score ``threshold`` or more, with all their columns under their names.
+
+    Each row is judged by its own text, so ids may be null or repeat; a null text counts as empty.
+    An empty table gives no rows.
+    """
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:

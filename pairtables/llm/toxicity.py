@@ -8,14 +8,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from pairtables.llm.common import in_fold, sample_by_hash
+from pairtables.llm.common import in_fold, sample_by_hash, stored
 
 FOLDS, FOLD = 5, 0
 THRESHOLD = 0.5
 #: Labelled rows that the machine is fitted to, at most.
 MAX_SAMPLE = 12_000
+#: Terms of these rows together, at most: 64 MB on the driver.
+MAX_TERMS = 16_000_000
 BITS, FACTORS = 18, 4
 MIN_DOCUMENTS = 4
 EPOCHS, BATCH = 4, 128
@@ -149,22 +151,32 @@ def fit_machine(ids: np.ndarray, sizes: np.ndarray, y: np.ndarray, seed: int = 1
 
 
 def train_toxicity(
-    docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, folds: int = FOLDS, fold: int = FOLD
-) -> Machine:
-    """Fit to at most ``max_sample`` labelled documents, none of them of the held-out fold.
-    Null labels and ids are left out."""
+    docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, folds: int = FOLDS, fold: int = FOLD,
+    max_terms: int = MAX_TERMS,
+) -> Machine:
+    """Fit to at most ``max_sample`` labelled documents with ``max_terms`` terms in all, none of
+    them of the held-out fold; documents are taken in the order of a hash of their ids, whole.
+    Of rows that repeat an id the one with the least hash of its text counts. Null labels and
+    ids are left out; null texts count as empty; other columns are not looked at."""
     seen = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_y")).where("_id is not null")
     seen = seen.where(~in_fold(F.col("_id"), folds, fold) & F.col("_y").isin(0, 1))
     sample = sample_by_hash(seen.groupBy("_id").agg(F.max("_y").alias("_y")), max_sample)
-    texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+    texts = docs.select(
+        F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_h")
+    )
     chosen = texts.join(F.broadcast(sample), "_id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         terms = Terms()
         for b in batches:
-            yield pd.DataFrame({"id": b["_id"], "y": b["_y"], "x": [terms(t) for t in b["_text"]]})
-
-    got = chosen.mapInPandas(run, "id long, y int, x array<int>").toArrow().sort_by("id").combine_chunks()
+            yield pd.DataFrame({"id": b["_id"], "y": b["_y"], "h": b["_h"], "x": [terms(t) for t in b["_text"]]})
+
+    rows = chosen.mapInPandas(run, "id long, y int, h long, x array<int>")
+    rows = stored(rows.groupBy("id").agg(F.min(F.struct("h", "y", "x")).alias("r")).select("id", "r.y", "r.x"), "sample")
+    # One narrow row per document of the sample.
+    before = F.sum(F.size("x")).over(Window.orderBy(F.xxhash64("id"), "id"))
+    fits = rows.select("id", before.alias("_terms")).where(F.col("_terms") <= max_terms).select("id")
+    got = rows.join(F.broadcast(fits), "id").toArrow().sort_by("id").combine_chunks()
     x = got["x"].combine_chunks() if got.num_rows else None
     ids = x.flatten().to_numpy(zero_copy_only=False) if x is not None else np.zeros(0, np.int32)
     sizes = x.value_lengths().to_numpy(zero_copy_only=False) if x is not None else np.zeros(0, np.int64)

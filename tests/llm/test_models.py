@@ -160,3 +160,72 @@ def test_pipeline_stages(spark, sf_small):
     assert {r.doc_id for r in after} < {r.doc_id for r in before}
     before, after = seen["mix"]
     assert {r.doc_id for r in after} <= {r.doc_id for r in before} and all(r.copies >= 1 for r in after)
+
+
+def test_samples_have_one_row_per_id(spark, monkeypatch):
+    """One id on thousands of rows is one row of each sample, and terms are bounded too."""
+    rows = [(1, f"row number {i} of an id that repeats", "s") for i in range(3000)]
+    rows += [(i, f"words {i} of a document", "s") for i in range(2, 60)]
+    docs = helpers.frame(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(1, 60)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_machine", lambda ids, sizes, y: seen.append((len(ids), len(sizes))))
+    toxicity.train_toxicity(docs, labels, max_sample=30, folds=1, fold=1)
+    terms, n = seen[0]
+    assert n == 30 and terms > 30
+    toxicity.train_toxicity(docs, labels, max_sample=30, folds=1, fold=1, max_terms=terms // 2)
+    assert 0 < seen[1][0] <= terms // 2 and 0 < seen[1][1] < 30
+    monkeypatch.setattr(quality, "fit_pu", lambda good, other, prior: seen.append((len(good), len(other))))
+    quality.train_quality(docs, labels, max_sample=20, folds=1, fold=1)
+    assert seen[2] == (20, 20)
+
+
+def test_plain_version_of_the_machine():
+    """Scores are bias, weights and all pairs of factors, added up pair by pair."""
+    rng = np.random.default_rng(3)
+    machine = toxicity.Machine(0.3, rng.normal(size=50), rng.normal(size=(50, 4)))
+    rows = [np.array(sorted(rng.choice(50, size=k, replace=False)), dtype=np.int64) for k in (0, 1, 2, 9, 20)]
+    for row, score in zip(rows, machine.scores(rows)):
+        margin = machine.bias + sum(machine.w[i] for i in row)
+        margin += sum(machine.v[i] @ machine.v[j] for k, i in enumerate(row) for j in row[:k])
+        assert score == pytest.approx(1 / (1 + np.exp(-margin)))
+
+
+@pytest.mark.parametrize("prior", [0.2, 0.6])
+def test_plain_version_of_the_risk(prior):
+    """The fit ends at a lower non-negative risk than where it starts, and near a stationary point."""
+    rng = np.random.default_rng(5)
+    good = rng.normal(1.0, 1.0, size=(400, quality.FEATURES))
+    bad = rng.normal(-1.0, 1.0, size=(400, quality.FEATURES))
+    free = np.concatenate([good[: int(400 * prior)], bad[: 400 - int(400 * prior)]])
+
+    def risk(model):
+        loss = lambda z: 1 / (1 + np.exp(z))
+        z = lambda x: np.log(model.scores(x) / (1 - model.scores(x)))
+        p, u = z(good), z(free)
+        return prior * loss(p).mean() + max(0.0, loss(-u).mean() - prior * loss(-p).mean())
+
+    model = quality.fit_pu(good, free, prior)
+    start = quality.PuModel(model.edges, np.zeros_like(model.weights), float(np.log(prior / (1 - prior))))
+    assert risk(model) < 0.5 * risk(start)
+    assert (model.scores(good) > 0.5).mean() > 0.9 and (model.scores(bad) < 0.5).mean() > 0.9
+
+
+@pytest.mark.parametrize("names", [("size", "target", "taken", "copies", "source_size"), ("mix", "_lines", "_doc", "_at", "_i", "_row")])
+def test_stages_take_any_columns_nulls_and_empty_tables(spark, sf_small, names):
+    import corpus_pipeline as cp
+
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").limit(40)
+    odd = spark.createDataFrame(
+        [(None, None, None, None, None), (7_000, "", "en", None, 0), (None, "one text", None, "s", 8), (7_001, "w " * 30_000, "en", "s", 60_000)],
+        docs.schema,
+    )
+    docs = docs.unionByName(odd).unionByName(odd)
+    for name in names:
+        docs = docs.withColumn(name, F.lit(3))
+    for name, stage in cp.STAGES:
+        out = stage(spark, docs, sf_small)
+        kept = docs.columns if name != "mix" else [c for c in docs.columns if c not in mixing.TAKEN] + list(mixing.TAKEN)
+        assert out.columns == kept and out.count() > 0, name
+        empty = stage(spark, docs.limit(0), sf_small)
+        assert empty.columns == kept and empty.count() == 0, name
