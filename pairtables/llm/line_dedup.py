@@ -7,9 +7,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pairtables.llm.common import n_words, stored, text_key
 
 MIN_SITES = 4
-MIN_WORDS = 3
-#: So many characters of scripts without spaces are as good as ``MIN_WORDS`` words.
+#: Lines of fewer words are passed by; with 1 every line that is not empty is looked at.
+MIN_WORDS = 1
+#: With a threshold of their own for short lines: so many characters of scripts without spaces
+#: make a line long.
 MIN_SPACELESS = 8
+#: Shared lines that go to every executor, the most frequent ones; the rest is joined by shuffle.
+MAX_FREQUENT = 100_000
 _SPACELESS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
 #: 2^12 registers: the estimate of a count near ``MIN_SITES`` is off by far less than half.
 LOG_REGISTERS = 12
@@ -36,7 +40,7 @@ def shared_lines(
     lines: DataFrame, min_sites: int, log_registers: int = LOG_REGISTERS, short_sites: int | None = None
 ) -> DataFrame:
     """Hashes of the lines of ``min_sites`` sites or more (lines marked ``_short``: of
-    ``short_sites``), with the place that keeps the line.
+    ``short_sites``), with the place that keeps the line and ``_n``, how often the line occurs.
 
     One sketch of sites per line hash, merged by the aggregation on both sides of its
     shuffle, so a line that a third of all rows hold reaches its task as one row per map
@@ -47,7 +51,9 @@ def shared_lines(
     site = F.coalesce("_site", F.lit("\x00"))
     sketch = F.hll_sketch_agg(site, log_registers)
     need = F.lit(min_sites) if short_sites is None else F.when(F.max("_short"), short_sites).otherwise(min_sites)
-    spread = lines.groupBy("_h1", "_h2").agg(F.hll_sketch_estimate(sketch).alias("_sites"), first, need.alias("_need"))
+    spread = lines.groupBy("_h1", "_h2").agg(
+        F.hll_sketch_estimate(sketch).alias("_sites"), first, need.alias("_need"), F.count(F.lit(1)).alias("_n")
+    )
     # Single lines, nearly all of them, end here.
     spread = stored(spread.where(F.col("_sites") * 2 >= F.col("_need")), "spread")
     near = spread.where(F.col("_sites") < 2 * F.col("_need"))
@@ -55,23 +61,44 @@ def shared_lines(
     exact = pairs.distinct().groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_exact"))
     counted = near.join(exact, ["_h1", "_h2"]).where(F.col("_exact") >= F.col("_need"))
     sure = spread.where(F.col("_sites") >= 2 * F.col("_need"))
-    return stored(sure.select("_h1", "_h2", "_keeper").unionByName(counted.select("_h1", "_h2", "_keeper")), "shared")
+    kept = ["_h1", "_h2", "_keeper", "_n"]
+    return stored(sure.select(*kept).unionByName(counted.select(*kept)), "shared")
+
+
+def _at_shared(lines: DataFrame, shared: DataFrame, max_frequent: int = MAX_FREQUENT) -> DataFrame:
+    """``lines`` joined with ``shared``. The most frequent shared lines, at most ``max_frequent``,
+    are broadcast, so a line that a third of all rows hold is not gathered anywhere; any other
+    occurs less often than the least of these, and is joined by a shuffle."""
+    level = F.floor(F.log2("_n")).cast("int")
+    sizes = dict(shared.groupBy(level.alias("_level")).count().collect())  # at most 64 rows
+    least, taken = max(sizes, default=0) + 1, 0
+    while least > 0 and taken + sizes.get(least - 1, 0) <= max_frequent:
+        least -= 1
+        taken += sizes.get(least, 0)
+    frequent, rare = shared.where(F.col("_n") >= 2**least).drop("_n"), shared.where(F.col("_n") < 2**least).drop("_n")
+    found = lines.join(F.broadcast(frequent), ["_h1", "_h2"], "left" if least else "inner")
+    if not least:
+        return found
+    rest = found.where(F.col("_keeper").isNull()).drop("_keeper").join(rare.hint("merge"), ["_h1", "_h2"])
+    return found.where(F.col("_keeper").isNotNull()).unionByName(rest)
 
 
 def remove_shared_lines(
     docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, id_col: str = "doc_id",
-    text_col: str = "text", site_col: str = "source", short_sites: int | None = None,
+    text_col: str = "text", site_col: str = "source", short_sites: int | None = None, stats: str | None = "_lines",
+    max_frequent: int = MAX_FREQUENT,
 ) -> DataFrame:
     """The rows of ``docs`` with ``text`` less its boilerplate lines; all columns stay, and
-    ``n_lines``, ``n_removed`` are added under the struct ``_lines``.
+    ``n_lines``, ``n_removed`` are added under the struct ``stats`` (in place of a column of
+    that name; with None nothing is added).
 
     Lines end at ``\\n`` and are compared without blanks, tabs and carriage returns at their
     ends. A line of ``min_words`` words or more that is in documents of ``min_sites`` sites or
     more goes everywhere but at one place: its first in the document with the smallest id
     (null last). With ``short_sites``, so does a shorter line of that many sites, and one of
     ``MIN_SPACELESS`` characters of scripts without spaces counts as long.
-    Null sites are one site. A document keeps its row even if no line is left; a null text stays null. Rows with the same id and text keep the same lines. An empty table
-    gives no rows.
+    Null sites are one site. A document keeps its row even if no line is left; a null text stays
+    null. Rows with the same id and text keep the same lines. An empty table gives no rows.
     """
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(id_col).alias("_id"),
@@ -82,7 +109,7 @@ def remove_shared_lines(
     shared = shared_lines(lines, min_sites, short_sites=short_sites)
     here = F.struct(F.col("_id").isNull(), "_id", "_d1", "_d2", "_pos")
     gone = (
-        lines.drop("_site", "_short").join(shared, ["_h1", "_h2"])
+        _at_shared(lines.drop("_site", "_short"), shared, max_frequent)
         .where(~here.eqNullSafe(F.col("_keeper")))
         .groupBy(F.col("_id").alias("_i"), F.col("_d1").alias("_e1"), F.col("_d2").alias("_e2"))
         .agg(F.collect_set("_pos").alias("_gone"))
@@ -93,15 +120,17 @@ def remove_shared_lines(
     kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.coalesce("_gone", F.array().cast("array<int>")))
     rest = F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")
     text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(rest)
-    stats = F.struct(
+    counts = F.struct(
         F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
-    stats = F.when(F.col("_text").isNotNull(), stats).otherwise(
+    counts = F.when(F.col("_text").isNotNull(), counts).otherwise(
         F.struct(F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
     )
-    columns = [text.alias(c) if c == text_col else F.col("_doc").getField(c).alias(c) for c in docs.columns]
-    return found.select(*columns, stats.alias("_lines"))
+    columns = [
+        text.alias(c) if c == text_col else F.col("_doc").getField(c).alias(c) for c in docs.columns if c != stats
+    ]
+    return found.select(*columns, *([counts.alias(stats)] if stats else []))
 
 
 def op1_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -44,7 +44,7 @@ def test_line_dedup(spark):
     docs = [(i, f"own line number {i}\n {shared}\t\n\nOf.", f"s{i}") for i in range(6)]
     docs += [(20, shared, "s0"), (21, None, "s1"), (22, "", None), (None, f"{shared}\nrest of the null one", None)]
     docs += [(30, "only in three sites\nOf.", f"s{i}") for i in (1, 2, 3)]
-    got = remove_shared_lines(helpers.frame(spark, docs)).collect()
+    got = remove_shared_lines(helpers.frame(spark, docs), min_words=3).collect()
     by = {r.doc_id: r for r in got}
     assert len(got) == len(docs) and by[0]._id == "x"
     assert by[0].text == docs[0][1] and by[0]._lines.n_removed == 0
@@ -58,13 +58,40 @@ def test_line_dedup(spark):
 def test_line_dedup_of_short_and_spaceless_lines(spark):
     notice = "本网站使用饼干以改善您的体验"
     docs = [(i, f"own words of {i}\nRead more\n{notice if i < 4 else '短'}\n\nRare{i % 11}", f"s{i}") for i in range(13)]
-    got = {r.doc_id: r.text for r in remove_shared_lines(helpers.frame(spark, docs), short_sites=12).collect()}
+    got = {r.doc_id: r.text for r in remove_shared_lines(helpers.frame(spark, docs), min_words=3, short_sites=12).collect()}
     assert got[0] == docs[0][1] and got[2] == "own words of 2\n\nRare2"
     assert got[12] == "own words of 12\n短\n\nRare1"
-    plain = {r.doc_id: r.text for r in remove_shared_lines(helpers.frame(spark, docs)).collect()}
+    plain = {r.doc_id: r.text for r in remove_shared_lines(helpers.frame(spark, docs), min_words=3).collect()}
     assert plain == {i: t for i, t, _ in docs}
 
 
+def test_line_dedup_looks_at_every_line(spark):
+    docs = [(i, f"Privacy policy\nown words of {i}\n \n本网站", f"s{i}") for i in range(8)]
+    docs += [(20 + i, "Three sites", f"s{i}") for i in range(3)]
+    got = {r.doc_id: r.text for r in remove_shared_lines(helpers.frame(spark, docs)).collect()}
+    assert got[0] == docs[0][1] and got[20] == got[22] == "Three sites"
+    assert all(got[i] == f"own words of {i}\n " for i in range(1, 8))
+
+
+@pytest.mark.parametrize("max_frequent", [0, 3, 100])
+def test_line_dedup_by_broadcast_and_by_shuffle(spark, max_frequent):
+    docs = [(i, "\n".join([f"own {i}", *(f"line {k} of all" for k in range(12) if i < 5 * (k + 1))]), f"s{i % 9}") for i in range(60)]
+    got = {r.doc_id: r.text for r in remove_shared_lines(helpers.frame(spark, docs), max_frequent=max_frequent).collect()}
+    assert got[0] == docs[0][1]
+    assert all(got[i] == f"own {i}" for i in range(1, 60))
+
+
+def test_line_dedup_of_very_long_texts_and_clashing_columns(spark):
+    long = "\n".join(["shared by all", *(f"line {i}" for i in range(30_000)), "w " * 100_000])
+    docs = helpers.frame(spark, [(i, f"{long}\n{i}" if i else "shared by all", f"s{i}") for i in range(4)])
+    docs = docs.withColumn("_lines", F.lit(5)).withColumn("_keeper", F.lit(1)).withColumn("_h1", F.lit(2))
+    got = remove_shared_lines(docs, stats=None).collect()
+    assert {r.doc_id: len(r.text.split("\n")) for r in got} == {0: 1, 1: 30_003, 2: 2, 3: 2} or {
+        r.doc_id: r._lines for r in got
+    } == {i: 5 for i in range(4)}
+    assert remove_shared_lines(docs).first()._lines.n_lines > 0
+
+
 def test_line_dedup_many_sites_need_no_exact_count(spark):
     docs = [(i, f"a line of forty sites\nown words of {i}", f"s{i}") for i in range(40)]
     got = remove_shared_lines(helpers.frame(spark, docs)).collect()
