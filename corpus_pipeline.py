@@ -13,37 +13,43 @@ from pairtables.llm.quality import keep_good, train_quality
 
 #: Near copies in the pipeline: five-word shingles, similarity 0.8 or more.
 SHINGLE_WORDS, SIMILAR, OF = 5, 80, 100
-#: A line of one or two words goes if this many sources hold it.
-SHORT_SITES = 12
+#: A line of fewer words than these goes only if this many sources hold it.
+LONG_WORDS, SHORT_SITES = 3, 12
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go. Every row is judged by its own text, a
+    null one as an empty one; ids may be null or repeat, and an empty table stays empty."""
     return keep_good(docs, train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of many sources go everywhere but in one document; every document stays."""
-    cleaned = remove_shared_lines(docs, short_sites=SHORT_SITES).drop("_lines")
+    """Lines of many sources go everywhere but in one document; every document stays, a null text
+    as null, and ``n_chars`` is counted anew. Null sources are one source, rows that repeat keep
+    the same lines, columns of any name are kept."""
+    cleaned = remove_shared_lines(docs, min_words=LONG_WORDS, short_sites=SHORT_SITES, stats=None)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.length("text").cast("long"))
-    return cleaned.select(*docs.columns)
+    return cleaned
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest id stays."""
+    """Of each group of similar documents the one with the smallest id stays, a null id last. Null
+    and empty texts, which resemble nothing, stay; of rows that repeat one stays."""
     return one_per_group(docs, n=SHINGLE_WORDS, part=SIMILAR, whole=OF)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
+    """Documents that hold a benchmark passage go; a short item must be all of a line or text.
+    Null and empty texts stay, rows that repeat stay or go together, and with an empty benchmark
+    all stay."""
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), short_items=True)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of the mix with their number of copies."""
-    taken = take_mix(docs)
-    return taken.select(*docs.columns, "mix.size", "mix.source_size", "mix.target", "mix.taken", "mix.copies")
+    """Documents of the mix with size, source_size, target, taken and copies, which take the place
+    of columns of these names. Null sources are one source, null texts have size 0."""
+    return take_mix(docs)
 
 
 STAGES = [
