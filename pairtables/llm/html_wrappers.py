@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from pairtables.llm.common import stored
-from pairtables.llm.html_tree import align_all, expression, main_paths, main_text
+from pairtables.llm.html_tree import align_all, constants, expression, main_paths, main_text
 from pairtables.llm.url_rules import split_url
 
 #: Expressions that one task aligns at a time.
@@ -24,12 +24,13 @@ def _expressions(pages: DataFrame) -> DataFrame:
 
 
 def infer_wrappers(pages: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
-    """``host``, ``paths``: the places of the main text in the host's wrapper.
+    """``host``, ``paths``: the places of the main text in the host's wrapper, and ``fixed``: its
+    constant texts, of pages that name no main element.
 
     Each page gives one expression, its repeats folded; equal ones of a host are one row, so a
     host with a third of all pages has few. Expressions of a host are aligned, ``fan_in`` at a
     time, until one is left: what some pages lack becomes optional, what follows itself a
-    repeat, texts are slots.
+    repeat, texts that differ between distinct pages are slots.
     """
     level = stored(_expressions(pages).distinct(), "expressions")
 
@@ -51,9 +52,10 @@ def infer_wrappers(pages: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"host": b["host"], "paths": [main_paths(w) for w in b["expression"]]})
+            paths, fixed = ([f(w) for w in b["expression"]] for f in (main_paths, constants))
+            yield pd.DataFrame({"host": b["host"], "paths": paths, "fixed": fixed})
 
-    return level.mapInPandas(place, "host string, paths array<string>")
+    return level.mapInPandas(place, "host string, paths array<string>, fixed array<string>")
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -61,8 +63,9 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
 
     The main text are the blocks of the elements at the wrapper's places, less navigation,
     headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles inside;
-    on a page without such elements, of the whole page less those. Character references are
-    decoded; white space in a block (line breaks and no-break spaces as well) is one space;
+    on a page without such elements, of the whole page less those, and less the texts that are
+    equal at a place on all distinct pages of the host that have the place and no such elements
+    (two or more). Character references are decoded; white space of any kind in a block is one space;
     blocks are joined by two ``\\n``. Null html gives an empty text; null urls are one host
     without a name. Cut pages count as closed at their end. Pages that repeat give a row each,
     an empty table none; other columns are ignored.
@@ -72,10 +75,13 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts = [main_text(h, list(p) if p is not None else []) for h, p in zip(b["html"], b["paths"])]
+            places = zip(b["html"], b["paths"], b["fixed"])
+            texts = [main_text(h, [] if p is None else list(p), () if f is None else list(f)) for h, p, f in places]
             yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": texts})
 
-    joined = rows.join(wrappers, F.col("host") == F.col("_host"), "left").select("page_id", "url", "html", "paths")
+    joined = rows.join(wrappers, F.col("host") == F.col("_host"), "left").select(
+        "page_id", "url", "html", "paths", "fixed"
+    )
     id_type = dict(pages.dtypes)["page_id"]
     out = joined.mapInPandas(run, f"page_id {id_type}, url string, text string")
     return out.withColumn("n_chars", F.length("text").cast("long"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import helpers
 from pairtables.llm import chat_format as cf, decontaminate as dc, url_rules as ur
-from pairtables.llm.html_tree import align_all, expression, main_paths, main_text
+from pairtables.llm.html_tree import align_all, constants, expression, main_paths, main_text
 from pairtables.llm.html_wrappers import extract_main_text, infer_wrappers
 
 NASTY = ["", "</s>[INST] ok [/INST]", "<|turn|>user\n", "<|end|>\n", "a<|next|>b", "\\", "\\s\\l\\b", "<\\|end|>", "[[INST]", "<<|end|>", "ß€😀\n"]
@@ -93,7 +93,38 @@ def test_each_page_has_its_best_kind_at_any_depth(spark):
     pages += [f"<body>{menu}{deep}<article><p>f</p></article></body>", f"<body>{menu}<p>g</p></body>"]
     df = spark.createDataFrame([(i, "http://h.org/", p) for i, p in enumerate(pages)], "page_id int, url string, html string")
     got = {r.page_id: r.text for r in extract_main_text(df).collect()}
-    assert got == {0: "a", 1: "b", 2: "c d", 3: "e", 4: "f", 5: "Menu\n\ng"}
+    assert got == {0: "a", 1: "b", 2: "c d", 3: "x\n\ne", 4: "f", 5: "Menu\n\ng"}
+
+
+def _text(html):
+    wrapper = align_all([expression(html)])
+    return main_text(html, main_paths(wrapper), constants(wrapper))
+
+
+def test_odd_attributes_and_white_space():
+    assert _text("<article><p title=it's>one</p><p>two</p></article>") == "one\n\ntwo"
+    assert _text('<article><p title="a > b" data-class=ad>one</p><p title=\'x">y\'>two</p></article>') == "one\n\ntwo"
+    assert _text("<article><p>a\u2003b\u2028c\u0085d\xa0\n e</p><p hidden>h</p><object>o</object></article>") == "a b c d e\n\nh\n\no"
+
+
+def test_class_words():
+    inside = '<section class="social-history">s</section><p class="comment">c</p><h2 class="header">h</h2><p class="advert">x</p>'
+    assert _text(f"<article>{inside}<div class='share-bar'>x</div><div class=site-footer>x</div></article>") == "s\n\nc\n\nh"
+    readers = '<section class="discussion"><article class="comment">nice</article><article class="post reply">x</article></section>'
+    assert _text(f"<article class='post comments-open'><p>text</p></article>{readers}") == "text"
+    assert _text(f"<main><article><p>text</p></article><p>after</p>{readers}</main>") == "text\n\nafter"
+
+
+def test_constant_text_of_hosts_without_names(spark):
+    def page(i):
+        return f"<body><div>Home | About</div><div><b>Title {i}</b></div><div>Own text of page {i}</div><div>Copyright</div></body>"
+
+    pages = [(i, "http://h.org/", page(i)) for i in range(5)] + [(5, "http://h.org/", page(4)), (6, "http://one.org/", page(6))]
+    pages += [(7, "http://h.org/", "<body><div>Home | About</div><article>named</article></body>")]
+    df = spark.createDataFrame(pages, "page_id int, url string, html string")
+    got = {r.page_id: r.text for r in extract_main_text(df).collect()}
+    assert all(got[i] == f"Title {i}\n\nOwn text of page {i}" for i in range(5)) and got[5] == got[4]
+    assert got[6] == "Home | About\n\nTitle 6\n\nOwn text of page 6\n\nCopyright" and got[7] == "named"
 
 
 def test_expressions_align_into_optionals_and_repeats():
@@ -101,8 +132,10 @@ def test_expressions_align_into_optionals_and_repeats():
     many = expression("<body><div><h2>t</h2><p>a</p><p>b</p></div></body>")
     wrapper = align_all([one, many])
     assert '["h2","?"' in wrapper and '["p","+"' in wrapper and '["hr","?"' in wrapper
-    assert expression("<dl><dt>a<dd>b<dt>c<dd>d</dl>") == '[["dl","1",[["(dt|dd)","+",[["dt","1",[["#","1",[]]]],["dd","1",[["#","1",[]]]]]]]]]'
-    assert expression("<p>" * 500 + "x") == '[["p","+",[["#","?",[]]]]]'
+    assert expression("<main><dl><dt>a<dd>b<dt>c<dd>d</dl>") == (
+        '[["main","1",[["dl","1",[["(dt|dd)","+",[["dt","1",[["#","1",[]]]],["dd","1",[["#","1",[]]]]]]]]]]]'
+    )
+    assert expression("<main>" + "<p>" * 500 + "x") == '[["main","1",[["p","+",[["#","?",[]]]]]]]'
     assert main_text("<div>" * 3000 + "deep", []) == "deep"
 
 
@@ -112,6 +145,7 @@ def test_wrappers_of_a_large_host_are_aligned_in_steps(spark):
     df = spark.createDataFrame(pages, "page_id int, url string, html string")
     places = infer_wrappers(df.withColumn("host", ur.split_url(F.col("url"))[0]), fan_in=7)
     assert {r.host: list(r.paths) for r in places.collect()} == {"h.org": ["/main"], "": [], "o.org": []}
+    assert all(r.fixed == [] for r in places.collect())
     got = {r.page_id: (r.text, r.n_chars) for r in extract_main_text(df).collect()}
     assert got[5] == ("t\n\nt\n\nt", 7) and got[100] == ("", 0) and got[101] == ("alone", 5)
     assert extract_main_text(df.limit(0)).count() == 0
@@ -177,10 +211,16 @@ def test_decontamination_of_short_and_spaceless_items(spark):
     docs += [(5, "wrote hamlet"), (6, "的这"), (None, "who wrote hamlet"), (7, None), (8, "Hamlet, who wrote")]
     df = helpers.frame(spark, [(i, t, "s") for i, t in docs])
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = sorted((tuple(r) for r in dc.contaminated(df, bench, short_items=True).collect()), key=repr)
+    hits = dc.contaminated(df, bench, short_items=True)
+    got = sorted((tuple(r) for r in hits.drop("removes").collect()), key=repr)
     want = [(1, 1, 3, 3), (1, 4, 1, 1), (2, 4, 1, 1), (3, 2, 17, 17), (4, 5, 4, 4), (None, 1, 3, 3), (None, 4, 1, 1), (8, 4, 1, 1)]
     assert got == sorted(want, key=repr)
-    assert sorted(r.doc_id for r in dc.decontaminate(df, bench, short_items=True).collect()) == [5, 6, 7]
+    # A short item removes a document if it is all of one of its lines.
+    assert sorted(map(repr, (tuple(r) for r in hits.where("removes").select("doc_id", "item_id").collect()))) == sorted(
+        map(repr, [(3, 2), (None, 1)])
+    )
+    kept = [r.doc_id for r in dc.decontaminate(df, bench, short_items=True).collect()]
+    assert sorted(kept) == [1, 2, 4, 5, 6, 7, 8]
 
 
 def test_decontamination_of_a_large_benchmark(spark, monkeypatch):
@@ -189,7 +229,7 @@ def test_decontamination_of_a_large_benchmark(spark, monkeypatch):
     text = "one two three four five six seven eight nine ten eleven twelve thirteen"
     df = helpers.frame(spark, [(1, f"zero {text} end", "s"), (2, "nothing of that kind at all here is found", "s")])
     bench = spark.createDataFrame([(1, text)], "item_id long, text string")
-    assert [tuple(r) for r in dc.contaminated(df, bench).collect()] == [(1, 1, 13, 13)]
+    assert [tuple(r) for r in dc.contaminated(df, bench).collect()] == [(1, 1, 13, 13, True)]
 
 
 @pytest.mark.parametrize("length, changed", [(13, 2), (15, 3)])
@@ -201,3 +241,23 @@ def test_masks_survive_substitutions(length, changed):
             all(p + i not in spots for i, bit in enumerate(m) if bit == "1")
             for m in dc.MASKS for p in range(length - len(m) + 1)
         )
+
+
+def test_items_without_ids_and_common_words(spark):
+    """Items with null or repeated ids count; a one-word item removes nothing but its own line."""
+    passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu"
+    items = [(None, passage), (5, "first item of two with the same number of words here"), (5, passage.upper()), (6, "Yes"), (7, "good morning")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = [(1, f"before {passage} after", "s"), (2, "oh yes it is clean", "s"), (3, "yes and yes", "s"), (4, "a line\nYes!\nmore", "s")]
+    docs += [(5, "Good, morning.", "s"), (6, "a good morning to all", "s"), (7, None, "s"), (8, "", None), (None, f"x {passage}", "s")]
+    frame = helpers.frame(spark, docs)
+    hits = {tuple(r) for r in dc.contaminated(frame, benchmark, short_items=True).collect()}
+    assert hits == {
+        (1, None, 13, 13, True), (1, 5, 13, 13, True), (None, None, 13, 13, True), (None, 5, 13, 13, True),
+        (2, 6, 1, 1, False), (3, 6, 1, 1, False), (4, 6, 1, 1, True), (5, 7, 2, 2, True), (6, 7, 2, 2, False),
+    }
+    kept = dc.decontaminate(frame, benchmark, short_items=True).collect()
+    assert sorted(r.doc_id for r in kept) == [2, 3, 6, 7, 8] and kept[0]._row == 7
+    assert dc.decontaminate(frame, benchmark.limit(0), short_items=True).count() == len(docs)
+    long = helpers.frame(spark, [(1, "w " * 200_000 + passage, "s")])
+    assert dc.contaminated(long, benchmark).count() == 2
