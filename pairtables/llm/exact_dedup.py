@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairtables.llm.common import stored
+from pairtables.llm.common import MAX_FREQUENT, frequency_join, stored
 
 #: Bits of one block; the block's bitmap is one value of ``bitmap_construct_agg``.
 BLOCK_BITS = 32_768
@@ -55,6 +55,7 @@ def exact_dedup(
     text_col: str = "text",
     bits_per_row: int = 24,
     max_filter_bits: int = MAX_FILTER_BITS,
+    max_frequent: int = MAX_FREQUENT,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -63,9 +64,8 @@ def exact_dedup(
     id and text one stays. An empty table gives no rows; other columns are not looked at.
 
     Texts are hashed once and (id, digest) is stored. Only rows that the filter calls
-    possibly repeated are shuffled; groups are pre-aggregated, and the join that gives each
-    row its group's values may be split at a hot digest, as it has one row per digest on its
-    other side.
+    possibly repeated are shuffled; groups are pre-aggregated and stored, and the join that gives
+    each row its group's values sends the largest groups' values to every executor.
     """
     rows = stored(
         docs.select(
@@ -83,10 +83,10 @@ def exact_dedup(
         share = rows if rounds == 1 else rows.where(F.pmod(F.xxhash64(F.lit(2), "_sha"), F.lit(rounds)) == i)
         single, maybe = _share(share, blocks)
         last = F.max(F.struct(F.col("_id").isNotNull(), "_id", "_row")).alias("_last")
-        groups = maybe.groupBy("_sha").agg(F.count(F.lit(1)).alias("_n"), last)
-        grouped = maybe.join(groups, "_sha")
+        groups = stored(maybe.groupBy("_sha").agg(F.count(F.lit(1)).alias("_n"), last), "groups")
+        grouped = frequency_join(maybe, groups.withColumn("_size", F.col("_n")), ["_sha"], "_n", max_frequent)
         parts.append(_result(single, F.col("_id"), F.lit(1), F.lit(True), id_col))
-        parts.append(_result(grouped, F.col("_last._id"), F.col("_n"), F.col("_row") == F.col("_last._row"), id_col))
+        parts.append(_result(grouped, F.col("_last._id"), F.col("_size"), F.col("_row") == F.col("_last._row"), id_col))
     return reduce(DataFrame.unionByName, parts)
 
 

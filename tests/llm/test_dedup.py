@@ -18,7 +18,7 @@ def test_exact_dedup_ties_nulls_and_rounds(spark):
     rows = [(1, "a", "s"), (5, "a", None), (5, "a", "s"), (None, "a", "s"), (2, None, "s"), (3, "", "s"), (None, "b", "s")]
     rows += [(100 + i, f"text {i}", "s") for i in range(500)]
     docs = helpers.frame(spark, rows)
-    for settings in ({}, {"bits_per_row": 1}, {"max_filter_bits": 32_768, "bits_per_row": 400}):
+    for settings in ({}, {"max_frequent": 0}, {"bits_per_row": 1, "max_frequent": 1}, {"max_filter_bits": 32_768, "bits_per_row": 400}):
         got = exact_dedup(docs, **settings).collect()
         assert len(got) == len(rows)
         assert [(r.keep_id, r.group_size) for r in got if r.doc_id == 1] == [(5, 4)]
