@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairtables.llm.common import n_words, stored, text_key
+from pairtables.llm.common import MAX_FREQUENT, frequency_join, n_words, stored, text_key
 
 MIN_SITES = 4
 #: Lines of fewer words are passed by; with 1 every line that is not empty is looked at.
@@ -12,8 +12,6 @@ MIN_WORDS = 1
 #: With a threshold of their own for short lines: so many characters of scripts without spaces
 #: make a line long.
 MIN_SPACELESS = 8
-#: Shared lines that go to every executor, the most frequent ones; the rest is joined by shuffle.
-MAX_FREQUENT = 100_000
 _SPACELESS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
 #: 2^12 registers: the estimate of a count near ``MIN_SITES`` is off by far less than half.
 LOG_REGISTERS = 12
@@ -37,8 +35,9 @@ def _lines(docs: DataFrame, min_words: int, short: bool) -> DataFrame:
 
 
 def shared_lines(
-    lines: DataFrame, min_sites: int, log_registers: int = LOG_REGISTERS, short_sites: int | None = None
-) -> DataFrame:
+    lines: DataFrame, min_sites: int, log_registers: int = LOG_REGISTERS, short_sites: int | None = None,
+    max_frequent: int = MAX_FREQUENT,
+) -> DataFrame:
     """Hashes of the lines of ``min_sites`` sites or more (lines marked ``_short``: of
     ``short_sites``), with the place that keeps the line and ``_n``, how often the line occurs.
 
@@ -57,7 +56,8 @@ def shared_lines(
     # Single lines, nearly all of them, end here.
     spread = stored(spread.where(F.col("_sites") * 2 >= F.col("_need")), "spread")
     near = spread.where(F.col("_sites") < 2 * F.col("_need"))
-    pairs = lines.select("_h1", "_h2", site.alias("_site")).join(near.select("_h1", "_h2"), ["_h1", "_h2"], "left_semi")
+    pairs = lines.select("_h1", "_h2", site.alias("_site"))
+    pairs = frequency_join(pairs, near.select("_h1", "_h2", "_n"), ["_h1", "_h2"], "_n", max_frequent)
     exact = pairs.distinct().groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_exact"))
     counted = near.join(exact, ["_h1", "_h2"]).where(F.col("_exact") >= F.col("_need"))
     sure = spread.where(F.col("_sites") >= 2 * F.col("_need"))
@@ -65,24 +65,6 @@ def shared_lines(
     return stored(sure.select(*kept).unionByName(counted.select(*kept)), "shared")
 
 
-def _at_shared(lines: DataFrame, shared: DataFrame, max_frequent: int = MAX_FREQUENT) -> DataFrame:
-    """``lines`` joined with ``shared``. The most frequent shared lines, at most ``max_frequent``,
-    are broadcast, so a line that a third of all rows hold is not gathered anywhere; any other
-    occurs less often than the least of these, and is joined by a shuffle."""
-    level = F.floor(F.log2("_n")).cast("int")
-    sizes = dict(shared.groupBy(level.alias("_level")).count().collect())  # at most 64 rows
-    least, taken = max(sizes, default=0) + 1, 0
-    while least > 0 and taken + sizes.get(least - 1, 0) <= max_frequent:
-        least -= 1
-        taken += sizes.get(least, 0)
-    frequent, rare = shared.where(F.col("_n") >= 2**least).drop("_n"), shared.where(F.col("_n") < 2**least).drop("_n")
-    found = lines.join(F.broadcast(frequent), ["_h1", "_h2"], "left" if least else "inner")
-    if not least:
-        return found
-    rest = found.where(F.col("_keeper").isNull()).drop("_keeper").join(rare.hint("merge"), ["_h1", "_h2"])
-    return found.where(F.col("_keeper").isNotNull()).unionByName(rest)
-
-
 def remove_shared_lines(
     docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, id_col: str = "doc_id",
     text_col: str = "text", site_col: str = "source", short_sites: int | None = None, stats: str | None = "_lines",
@@ -106,17 +88,18 @@ def remove_shared_lines(
         *[k.alias(n) for k, n in zip(text_key(F.col(text_col)), ("_d1", "_d2"))],
     )
     lines = _lines(packed, min_words, short_sites is not None)
-    shared = shared_lines(lines, min_sites, short_sites=short_sites)
+    shared = shared_lines(lines, min_sites, short_sites=short_sites, max_frequent=max_frequent)
     here = F.struct(F.col("_id").isNull(), "_id", "_d1", "_d2", "_pos")
     gone = (
-        _at_shared(lines.drop("_site", "_short"), shared, max_frequent)
+        frequency_join(lines.drop("_site", "_short"), shared, ["_h1", "_h2"], "_n", max_frequent)
         .where(~here.eqNullSafe(F.col("_keeper")))
         .groupBy(F.col("_id").alias("_i"), F.col("_d1").alias("_e1"), F.col("_d2").alias("_e2"))
         .agg(F.collect_set("_pos").alias("_gone"))
     )
     same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_d1") == F.col("_e1")) & (F.col("_d2") == F.col("_e2"))
-    found = packed.join(gone, same, "left")
-    split = F.split("_text", "\n", -1)
+    # A column of its own: inside the transform below it would be split anew for every line.
+    found = packed.join(gone, same, "left").withColumn("_split", F.split("_text", "\n", -1))
+    split = F.col("_split")
     kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.coalesce("_gone", F.array().cast("array<int>")))
     rest = F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")
     text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(rest)
