@@ -537,3 +537,4 @@ select md5('1:' || planning || length(topic) || ':' || topic || length(cast(roun
     || length(model) || ':' || model) as record_id,
   planning::bigint as planning, round, topic, model, {_prompt('instructions')} as prompt from m""",
 }
+ORACLES["o28_pending_filtered"] = ORACLES["o28_pending_rows"]

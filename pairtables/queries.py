@@ -11,7 +11,7 @@ from pairtables import fixed_values as fixed, schemas, views
 from pairtables.functions import text as tx
 from pairtables.operators import encode as en, generation as ge, judge as ju, lexical as lx
 from pairtables.operators import pairs as pa, position as po, progress as pr, report as re_
-from pairtables.operators import subwords as sw, versions as ve
+from pairtables.operators import prefilter, subwords as sw, versions as ve
 from pairtables.operators.infer import batch_infer, map_batches
 from pairtables.operators.split import is_test_row
 from pairtables.plans import answers as an, evaluation as ev, instructions as ins, training as tr
@@ -396,6 +396,14 @@ def o28_pending_rows(spark, sf_dir):
     return pa.pending_rows(dual, done).select("record_id", "instruction")
 
 
+@query
+def o28_pending_filtered(spark, sf_dir):
+    """The same with a bitmap of the finished keys before the join."""
+    dual = views.qa_dual(spark, sf_dir)
+    done = dual.where(~tx.is_blank(F.col("gpt_output")) & ~tx.is_blank(F.col("gemini_output")))
+    return prefilter.filtered_anti_join(dual, done, "record_id").select("record_id", "instruction")
+
+
 @query
 def o29_with_batches(spark, sf_dir):
     numbered = po.with_batches(views.table(spark, sf_dir, "events"), "event_id", rows_per_bucket=ROWS_PER_RANGE)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from pairtables import fixed_values as fixed
 from pairtables.operators.position import ROWS_PER_BUCKET, with_batches
+from pairtables.operators.prefilter import split_by_keys
 from pairtables.session import stored
 
 
@@ -129,12 +130,20 @@ def one_per_key(df: DataFrame, key: str, *order) -> DataFrame:
 
 
 def merged(done: DataFrame, new: DataFrame, key: str = "record_id") -> DataFrame:
-    """Finished rows and new rows, one row per key; the new row wins."""
-    both = done.withColumn("_old", F.lit(1)).unionByName(
+    """Finished rows and new rows, one row per key; the new row wins.
+
+    Finished rows whose key is not new and is not there twice pass as they are: only keys are
+    grouped to find those that are, and a bitmap of them tells the rows that meet the new ones.
+    """
+    twice = done.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
+    touched = stored(new.select(key).unionByName(twice).distinct(), "touched")
+    maybe, unchanged = split_by_keys(done, touched, key)
+    both = maybe.withColumn("_old", F.lit(1)).unionByName(
         new.withColumn("_old", F.lit(0)), allowMissingColumns=True
     )
     rest = [F.xxhash64(*[c for c in both.columns if c != "_old"])]
-    return one_per_key(both, key, F.col("_old"), *rest).drop("_old")
+    changed = one_per_key(both, key, F.col("_old"), *rest).drop("_old")
+    return unchanged.unionByName(changed, allowMissingColumns=True)
 
 
 def consolidate(done: DataFrame, new: DataFrame, path: str, key: str = "record_id") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Window, functions as F, types as T
 
 from pairtables import schemas
 from pairtables.operators import encode as en, generation as ge, infer, pairs as pa, position as po
-from pairtables.operators import progress as pr, split as sp, versions as ve
+from pairtables.operators import prefilter, progress as pr, split as sp, versions as ve
 from pairtables.operators.lookup import lookup_join
 from pairtables.plans.answers import fill_answers
 from pairtables.plans.instructions import accepted_records, key_of, planned_requests
@@ -534,3 +534,25 @@ def test_append_keeps_what_is_there(spark, tmp_path):
     for _ in range(3):
         tables.append_dataset(numbered(spark, 4), str(tmp_path / "t"))
     assert tables.read_dataset(spark, str(tmp_path / "t"), T.StructType([T.StructField("record_id", T.LongType())])).count() == 12
+
+
+@pytest.mark.parametrize("settings", [{}, {"max_bits": 1}, {"max_bits": 40}, {"bits_per_key": 2}])
+def test_filtered_anti_join(spark, settings):
+    rows = spark.createDataFrame([(i if i % 50 else None, i) for i in range(600)], "record_id long, _block long").repartition(5)
+    for keys in (range(0, 900, 3), [], [7]):
+        done = spark.createDataFrame([(k,) for k in keys] + [(None,)], "record_id long")
+        got = prefilter.filtered_anti_join(rows, done, "record_id", **settings).collect()
+        want = rows.join(done, "record_id", "left_anti").collect()
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
+    maybe, clear = prefilter.split_by_keys(rows, spark.range(5).withColumnRenamed("id", "record_id"), "record_id")
+    assert maybe.count() < 50 and clear.count() > 550
+
+
+def test_rows_of_unchanged_keys_are_not_shuffled(spark):
+    old = numbered(spark, 500).withColumn("text", F.lit("old"))
+    new = old.where("record_id < 3").withColumn("text", F.lit("new")).withColumn("more", F.lit(1))
+    _, clear = prefilter.split_by_keys(old, new, "record_id")
+    assert "Exchange hashpartitioning" not in clear._jdf.queryExecution().executedPlan().toString()
+    table = tables.merged(old.unionByName(old.where("record_id = 9")), new)
+    assert table.columns == ["record_id", "text", "more"] and table.count() == 500
+    assert sorted(r[0] for r in table.where("text = 'new' and more = 1").collect()) == [0, 1, 2]
