@@ -8,6 +8,10 @@ from pairtables.functions.overlap import overlap_counts
 from pairtables.functions.text import tokens
 
 _BLEU_N = 4
+#: The counts that corpus BLEU is made of.
+BLEU_PARTS = ["target_tokens", "output_tokens"] + [
+    f"{kind}{n}" for kind in ("overlap", "grams") for n in range(1, _BLEU_N + 1)
+]
 
 
 def _grams(size: Column, n: int) -> Column:
@@ -86,9 +90,7 @@ def _bleu_stats() -> Column:
 
 def bleu_sums() -> list[Column]:
     """Aggregates over ``bleu_stats``: counts are summed before they are divided."""
-    names = ["target_tokens", "output_tokens"]
-    names += [f"{kind}{n}" for kind in ("overlap", "grams") for n in range(1, _BLEU_N + 1)]
-    sums = [F.sum(f"bleu_stats.{name}").alias(f"_{name}") for name in names]
+    sums = [F.sum(f"bleu_stats.{name}").alias(f"_{name}") for name in BLEU_PARTS]
     return [*sums, F.count("bleu_stats.output_tokens").alias("_bleu_n")]
 
 

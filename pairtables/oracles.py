@@ -538,3 +538,8 @@ select md5('1:' || planning || length(topic) || ':' || topic || length(cast(roun
   planning::bigint as planning, round, topic, model, {_prompt('instructions')} as prompt from m""",
 }
 ORACLES["o28_pending_filtered"] = ORACLES["o28_pending_rows"]
+# Here the second provider has its own prompt, with a space.
+ORACLES["o24_infer_by_chunk"] = ORACLES["o24_batch_infer"].replace(
+    "'instruction:' ||", "case p when 'gpt_output' then 'instruction:' else 'instruction: ' end ||"
+)
+ORACLES["o40_means_of_increments"] = ORACLES["o40_metric_means"]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pairtables import fixed_values as fixed
 from pairtables.functions.text import render_prompt, strip
-from pairtables.operators.infer import batch_infer
+from pairtables.operators.infer import batch_infer, infer_by_chunk
 from pairtables.operators.pairs import (
     PROVIDERS,
     fill_missing,
@@ -24,13 +24,23 @@ def request_answers(
     models: dict[str, Callable[[list[str]], list[str]]],
     batch_size: int = fixed.BATCH_SIZE,
     key: str = "record_id",
+    path: str | None = None,
+    **calls,
 ) -> DataFrame:
-    """``(key, provider, response, error)`` for every missing answer, from one function per provider."""
+    """``(key, provider, response, error)`` for every missing answer, from one function per provider.
+
+    With ``path`` the answers are stored there chunk by chunk, and a second run asks for the rest;
+    ``calls`` are options such as ``in_flight``, ``seconds`` and ``tries`` of the calls.
+    """
     pending = pending_outputs(df, tuple(models), key)
     answered = []
     for provider, model in models.items():
         asked = render_prompt(pending.where(F.col("provider") == provider), provider)
-        answered.append(batch_infer(asked, model, [key, "provider"], batch_size=batch_size))
+        keys, options = [key, "provider"], {"batch_size": batch_size, **calls}
+        if path is None:
+            answered.append(batch_infer(asked, model, keys, **options))
+        else:
+            answered.append(infer_by_chunk(asked, model, f"{path}/{provider}", keys, **options))
     both = reduce(DataFrame.unionByName, answered)
     return both.withColumn("response", strip(F.col("response")))
 

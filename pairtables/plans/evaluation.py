@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame
 from pairtables import fixed_values as fixed
 from pairtables.operators.judge import judge_scores
 from pairtables.operators.lexical import lexical_scores
+from pairtables.operators.metric_state import add_increment, means_of_state, metric_state, read_state
 from pairtables.operators.report import check_thresholds, compare_sources, metric_means
 
 LEXICAL = ("rouge1", "rouge2", "rougeL", "token_count")
+_COLUMNS = {name: name for name in LEXICAL} | {f"{m}/v1/mean": m for m in fixed.JUDGE_METRICS}
 METRIC_NAMES = [*LEXICAL, "bleu", *[f"{m}/v1/mean" for m in fixed.JUDGE_METRICS]]
 
 
@@ -20,9 +22,16 @@ def score_rows(rows: DataFrame, responses: DataFrame, key: str = "record_id") ->
 
 def metrics_of(scored: DataFrame, by: list[str]) -> DataFrame:
     """Means of all row scores, and corpus BLEU, as one long table from one aggregation."""
-    columns = {name: name for name in LEXICAL}
-    columns |= {f"{m}/v1/mean": m for m in fixed.JUDGE_METRICS}
-    return metric_means(scored, columns, by, bleu=True)
+    return metric_means(scored, _COLUMNS, by, bleu=True)
+
+
+def add_scores(scored: DataFrame, path: str, increment: str, by: str = "source") -> DataFrame:
+    """Add the scores of new rows to the sums below ``path``; metrics of all rows added so far.
+
+    Old rows are not read. An increment added again takes the place of itself.
+    """
+    add_increment(metric_state(scored, _COLUMNS, [by], bleu=True), path, increment)
+    return means_of_state(read_state(scored.sparkSession, path, [scored.schema[by]]), [by])
 
 
 def evaluate(

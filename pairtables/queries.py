@@ -346,6 +346,16 @@ def o24_batch_infer(spark, sf_dir):
     return batch_infer(asked, stand_in_model, ["record_id", "provider"])
 
 
+@query
+def o24_infer_by_chunk(spark, sf_dir):
+    """A run that ends after half of the rows, and one over all rows: five calls in flight per task."""
+    dual, path = views.qa_dual(spark, sf_dir), shared_path(spark, "answers")
+    models = {"gpt_output": stand_in_model, "gemini_output": stand_in_model}
+    calls = {"in_flight": 5, "seconds": 60.0, "rows_per_chunk": ROWS_PER_RANGE // 16}
+    an.request_answers(dual.where("record_id % 2 = 0"), models, path=path, **calls)
+    return an.request_answers(dual, models, path=path, **calls)
+
+
 @query
 def o25_attach_outputs(spark, sf_dir):
     rows = views.eval_rows(spark, sf_dir)
@@ -513,6 +523,15 @@ def o40_metric_means(spark, sf_dir):
     return means.select("source", "metric", *_round("value"), "n")
 
 
+@query
+def o40_means_of_increments(spark, sf_dir):
+    """The same from stored sums that three increments were added to, one of them twice."""
+    scored, path = _scored(spark, sf_dir), shared_path(spark, "sums")
+    for i in (0, 1, 2, 1):
+        means = ev.add_scores(scored.where(F.pmod("record_id", F.lit(3)) == i), path, str(i))
+    return means.select("source", "metric", *_round("value"), "n")
+
+
 @query
 def o41_check_thresholds(spark, sf_dir):
     gate = re_.check_thresholds(ev.metrics_of(_scored(spark, sf_dir), ["source"]))

@@ -1,7 +1,9 @@
 import hashlib
 import math
+import os
 import random
 import sys
+import time
 
 import pytest
 from pyspark import cloudpickle
@@ -260,6 +262,65 @@ def test_calls_hold_at_most_a_batch_and_must_answer_all(spark):
     assert all(r["error"].startswith("ValueError") for r in short.collect())
 
 
+def test_calls_in_flight_give_the_same_answers(spark):
+    df = numbered(spark, 60, 2).withColumn("prompt", F.concat(F.lit("p"), F.col("record_id").cast("string")))
+    df = df.unionByName(spark.createDataFrame([(60, "bad")], df.schema))
+    one, five = [infer.batch_infer(df, flaky, batch_size=4, in_flight=n, wait=0.01, tries=2).collect() for n in (1, 5)]
+    assert sorted(one) == sorted(five) and len(one) == 61
+
+
+def test_a_hanging_call_is_an_error_of_its_row(spark):
+    def hangs(prompts):
+        if "p7" in prompts:
+            time.sleep(600)
+        return prompts
+
+    df = numbered(spark, 20, 2).withColumn("prompt", F.concat(F.lit("p"), F.col("record_id").cast("string")))
+    began = time.monotonic()
+    found = {r[0]: (r[1], r[2]) for r in infer.batch_infer(df, hangs, in_flight=3, seconds=0.5, tries=1).collect()}
+    assert time.monotonic() - began < 60
+    assert found.pop(7) == (None, "TimeoutError: no answer in 0.5 s")
+    assert found == {i: (f"p{i}", None) for i in range(20) if i != 7}
+
+
+def test_calls_are_made_again_after_a_pause(tmp_path, spark):
+    log = str(tmp_path / "log")
+
+    def busy(prompts):
+        with open(log, "a") as f:
+            f.write("x")
+        if os.path.getsize(log) < 3:
+            raise ConnectionError("busy")
+        return prompts
+
+    df = spark.createDataFrame([(1, "a")], "record_id long, prompt string")
+    assert infer.batch_infer(df, busy, tries=3, wait=0.01).first()["response"] == "a"
+
+
+def test_stored_answers_are_not_asked_for_again(spark, tmp_path):
+    log, path = tmp_path / "log", str(tmp_path / "answers")
+
+    def logged(prompts):
+        with open(log, "a") as f:
+            f.write("".join(f"{p}\n" for p in prompts))
+        return flaky(prompts)
+
+    df = numbered(spark, 40, 2).withColumn("prompt", F.concat(F.lit("p"), F.col("record_id").cast("string")))
+    odd = [(50, "bad"), (None, "null key"), (60, "twice b"), (60, "twice a"), (70, None)]
+    df = df.unionByName(spark.createDataFrame(odd, "record_id long, prompt string")).withColumn("_0", F.lit("x"))
+    run = lambda rows: infer.infer_by_chunk(rows, logged, path, rows_per_chunk=9, rows_per_task=4, batch_size=1, in_flight=3)
+    run(df.where("record_id < 20"))
+    found = {r[0]: (r[1], r[2]) for r in run(df).collect()}
+    assert found == {i: (f"P{i}", None) for i in range(40)} | {
+        50: (None, "RuntimeError: no"), None: ("NULL KEY", None), 60: ("TWICE A", None)
+    }
+    assert sorted(log.read_text().split("\n")[:-1]) == sorted([f"p{i}" for i in range(40)] + ["bad", "null key", "twice a"])
+    log.write_text("")
+    assert run(df.where("record_id < 10")).count() == 10 and run(df).count() == 43
+    assert log.read_text() == "bad\n"  # errors are tried again, answers are not
+    assert run(df.limit(0)).count() == 0
+
+
 def test_map_batches(spark):
     found = infer.map_batches(numbered(spark, 5), lambda pdf: pdf.assign(twice=pdf["record_id"] * 2), "record_id long, twice long")
     assert sorted(map(tuple, found.collect())) == [(i, 2 * i) for i in range(5)]

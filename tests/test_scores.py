@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pairtables import fixed_values as fixed
 from pairtables.functions.overlap import lcs_length, ngram_overlaps
-from pairtables.operators import judge as ju, lexical as lx, report as rp
+from pairtables.operators import judge as ju, lexical as lx, metric_state as ms, report as rp
 from pairtables.plans import evaluation as ev
 
 SCHEMA = "record_id long, source string, targets string, outputs string"
@@ -195,6 +195,30 @@ def test_evaluate_writes_scores_once(spark, tmp_path):
     assert again.orderBy(key).collect() == metrics.orderBy(key).collect()
 
 
+def test_sums_of_increments_equal_one_go(spark, tmp_path):
+    texts = [("a", "a b c d e", "a b c d f"), ("a", "x y z u v w", "x y z u v"), ("b", "a b c d", "a b c d"), ("b", None, "q"), ("c", None, None)]
+    df = frame(spark, texts * 3).withColumn("inputs", F.lit("q"))
+    answers = spark.createDataFrame([(0, "faithfulness", "5"), (7, "relevance", "1")], "record_id long, metric string, response string")
+    scored = ev.score_rows(df, answers)
+    for part in ("record_id < 4", "record_id between 4 and 8", "record_id > 8", "record_id > 8"):
+        got = ev.add_scores(scored.where(part), str(tmp_path / "sums"), part.replace(" ", ""))
+    want = {(r["source"], r["metric"]): (r["value"], r["n"]) for r in ev.metrics_of(scored, ["source"]).collect()}
+    found = {(r["source"], r["metric"]): (r["value"], r["n"]) for r in got.collect()}
+    assert found.keys() == want.keys() and len(want) == 24
+    for k, (value, n) in want.items():
+        assert found[k] == (value if value is None else pytest.approx(value), n), k
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "bleu_stats" not in plan  # old rows are not read again
+
+
+def test_a_state_without_groups_and_without_rows(spark, tmp_path):
+    df = spark.createDataFrame([(1.0,), (None,), (4.0,)], "x double")
+    state = lambda rows: ms.metric_state(rows, {"x": "x"})
+    both = state(df).unionByName(state(df.limit(0))).unionByName(state(df.where("x = 4")))
+    assert [tuple(r) for r in ms.means_of_state(both).collect()] == [("x", 3.0, 3)]
+    assert [tuple(r) for r in ms.means_of_state(state(df.limit(0))).collect()] == [("x", None, 0)]
+
+
 def test_metric_log_of_maps_and_json(spark):
     maps = spark.createDataFrame([(1, {"step": "5", "loss": "0.5", "note": "x", "none": None})], "run int, entry map<string,string>")
     assert [tuple(r) for r in rp.metrics_long(maps, "entry").collect()] == [(1, 5, "loss", 0.5)]
