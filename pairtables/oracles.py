@@ -543,3 +543,25 @@ ORACLES["o24_infer_by_chunk"] = ORACLES["o24_batch_infer"].replace(
     "'instruction:' ||", "case p when 'gpt_output' then 'instruction:' else 'instruction: ' end ||"
 )
 ORACLES["o40_means_of_increments"] = ORACLES["o40_metric_means"]
+
+# Whole documents: edit steps (insert or delete a word) from one text to the other, the furthest word
+# reached on each diagonal after 0, 1, 2, … steps. The texts are much alike, so few steps do.
+_SAME = """coalesce(nullif(list_position(list_transform(list_zip(ot[{x} + 1:], tt[{y} + 1:], true),
+  lambda p: p[1] = p[2]), false), 0) - 1, least(greatest(no - {x}, 0), greatest(nt - {y}, 0)))"""
+_AT_END = "(d + no - nt) % 2 = 0 and abs(no - nt) <= d and v[(d + no - nt) // 2 + 1] >= no"
+ORACLES["o35_rouge_l_documents"] = f"""with recursive w as (
+  select record_id, {_tok('targets')} as tt, {_tok('outputs')} as ot from ({EVAL})),
+t as (select *, len(tt)::bigint as nt, len(ot)::bigint as no from w),
+s as (
+  select record_id, 0::bigint as d, v, {_AT_END.replace('d +', '0 +').replace('<= d', '<= 0')} as done
+  from (select *, [{_SAME.format(x=0, y=0)}::bigint] as v from t)
+  union all
+  select record_id, d, v, {_AT_END} from (
+    select record_id, d, no, nt, list_transform(xs, lambda x, i:
+      x + {_SAME.format(x='x', y='(x + d - 2 * (i - 1))')}) as v
+    from (select record_id, d + 1 as d, list_transform(range(0, d + 2), lambda i: greatest(v[i] + 1, v[i + 1])) as xs
+      from s where not done) join t using (record_id))),
+r as (select record_id, {_prf('rougeL', '((no + nt - d) / 2)::double', 'no', 'nt')}
+  from s join t using (record_id) where done)
+select record_id, round(rougeL_precision, 6) as "rougeL_precision", round(rougeL_recall, 6) as "rougeL_recall",
+  round(rougeL, 6) as "rougeL" from r"""
