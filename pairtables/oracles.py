@@ -542,6 +542,7 @@ ORACLES["o28_pending_filtered"] = ORACLES["o28_pending_rows"]
 ORACLES["o24_infer_by_chunk"] = ORACLES["o24_batch_infer"].replace(
     "'instruction:' ||", "case p when 'gpt_output' then 'instruction:' else 'instruction: ' end ||"
 )
+ORACLES["o06_consolidate_shards"] = ORACLES["o06_consolidate"]
 ORACLES["o40_means_of_increments"] = ORACLES["o40_metric_means"]
 
 # Whole documents: edit steps (insert or delete a word) from one text to the other, the furthest word

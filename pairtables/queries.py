@@ -17,6 +17,7 @@ from pairtables.operators.split import is_test_row
 from pairtables.plans import answers as an, evaluation as ev, instructions as ins, training as tr
 from pairtables.session import shared_path, stored
 from pairtables.sources import records, shard_index, tables
+from pairtables.sources.upsert import consolidate_shards
 from pairtables.streaming import shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,6 +128,15 @@ def o06_consolidate(spark, sf_dir):
     return tables.consolidate(done, new, shared_path(spark, "train"))
 
 
+@query
+def o06_consolidate_shards(spark, sf_dir):
+    """The same in place: shards without a changed key keep their files."""
+    dual, root = views.qa_dual(spark, sf_dir), shared_path(spark, "shards")
+    tables.write_shards(dual.where(F.col("gpt_output").isNotNull()), root, 100, rows_per_bucket=ROWS_PER_RANGE // 16)
+    new = dual.where(tx.is_blank(F.col("gpt_output"))).withColumn("gpt_output", F.col("instruction"))
+    return consolidate_shards(new, root, T.StructType(DUAL_FIELDS), "record_id", 100, ROWS_PER_RANGE // 16)
+
+
 # Projections and reshaping
 
 

@@ -16,7 +16,9 @@ from pairtables.operators.lookup import lookup_join
 from pairtables.plans.answers import fill_answers
 from pairtables.plans.instructions import accepted_records, key_of, planned_requests
 from pairtables.plans.training import training_rows
+from pairtables.session import stored
 from pairtables.sources import records, shard_index, tables
+from pairtables.sources.upsert import consolidate_shards
 
 # The executors cannot import this file.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -591,6 +593,59 @@ def test_consolidate_prefers_new_rows_and_never_overwrites(spark, tmp_path):
         tables.consolidate(old, new, str(tmp_path / "t"))
 
 
+def files_of(root):
+    return {str(f) for f in root.rglob("part-*.parquet") if "_index" not in str(f)}
+
+
+def test_consolidation_in_place_keeps_unchanged_files(spark, tmp_path):
+    df = numbered(spark, 100).withColumn("text", F.lit("old"))
+    root, schema = tmp_path / "t", T.StructType(df.schema.fields)
+    tables.write_shards(df, str(root), 10)
+    before = files_of(root)
+    new = spark.createDataFrame([(15, "new"), (18, "new"), (15, "new"), (71, "new"), (None, "null key")] + [
+        (i, "late") for i in range(200, 213)], "record_id long, text string")
+    want = sorted(map(repr, tables.merged(df, new).collect()))
+    for _ in range(2):  # a second run changes nothing
+        table = consolidate_shards(new, str(root), schema)
+        assert sorted(map(repr, table.collect())) == want
+    after = files_of(root)
+    kept = {f for f in before if "0000010-" not in f and "0000070-" not in f}
+    assert kept <= after and not (before - kept) & after
+    names = ids(tables.read_shards(spark, str(root), schema).where("record_id > 99 or record_id is null"), "shard")
+    assert names == ["batch-0000100-0000110"] * 10 + ["batch-0000110-0000114"] * 4
+
+
+def test_consolidation_in_place_of_repeated_keys_and_nothing(spark, tmp_path):
+    df = numbered(spark, 30).withColumn("text", F.lit("old"))
+    root, schema = tmp_path / "t", T.StructType(df.schema.fields)
+    empty = df.limit(0)
+    assert consolidate_shards(empty.unionByName(df.where("record_id < 20")), str(root), schema).count() == 20
+    df.where("record_id between 4 and 6").withColumn("text", F.lit("b")).write.parquet(f"{root}/shard=batch-0000020-0000023")
+    shard_index.index_shards(spark, str(root), schema["record_id"])
+    done = tables.read_shards(spark, str(root), schema).drop("shard")
+    want = sorted(map(repr, tables.merged(stored(done, "done"), empty).collect()))
+    table = consolidate_shards(empty, str(root), schema)
+    assert sorted(map(repr, table.collect())) == want and len(want) == 20
+    assert not (root / "shard=batch-0000020-0000023").exists()
+    index = shard_index.index_shards(spark, str(root), schema["record_id"])
+    assert sorted(r["n_rows"] for r in index.collect()) == [10, 10]
+    more = df.withColumn("shade", F.lit("x")).where("record_id in (3, 25)")
+    table = consolidate_shards(more, str(root), schema)
+    assert table.columns == ["record_id", "text", "shade"] and table.count() == 21
+    assert ids(table.where("shade = 'x'")) == [3, 25]
+
+
+def test_consolidation_goes_on_after_a_partial_write(spark, tmp_path):
+    """A run that ends between two directories: one of its new shards is there, the other is not."""
+    df = numbered(spark, 20).withColumn("text", F.lit("old"))
+    root, schema = tmp_path / "t", T.StructType(df.schema.fields)
+    tables.write_shards(df, str(root), 10)
+    new = spark.range(100, 125).select(F.col("id").alias("record_id"), F.lit("new").alias("text"))
+    new.where("record_id between 110 and 119").write.parquet(f"{root}/shard=batch-0000030-0000040")
+    table = consolidate_shards(new, str(root), schema)
+    assert sorted(map(repr, table.collect())) == sorted(map(repr, tables.merged(df, new).collect()))
+
+
 def test_append_keeps_what_is_there(spark, tmp_path):
     for _ in range(3):
         tables.append_dataset(numbered(spark, 4), str(tmp_path / "t"))
