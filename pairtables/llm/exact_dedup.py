@@ -8,12 +8,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairtables.llm.common import MAX_FREQUENT, frequency_join, stored
+from pairtables.session import shared_path
 
 #: Bits of one block; the block's bitmap is one value of ``bitmap_construct_agg``.
 BLOCK_BITS = 32_768
 HASHES = 3
 #: One filter has at most 64 MB; larger tables take several, each for its share of the hashes.
 MAX_FILTER_BITS = 2**29
+#: Values of the hash by which rows are dealt to rounds.
+DEALS = 2**20
 
 
 def _positions(key: Column) -> list[Column]:
@@ -63,31 +66,37 @@ def exact_dedup(
     with the largest id stays; a null id is below all others, and of rows that repeat both
     id and text one stays. An empty table gives no rows; other columns are not looked at.
 
-    Texts are hashed once and (id, digest) is stored. Only rows that the filter calls
+    Texts are hashed once and (id, digest) is stored, the rows of a file sorted by a hash of the
+    digest. Where one filter does not hold all rows, each round takes a range of that hash, reads
+    the pages of its range and stores its result before the next one starts. Only rows that the filter calls
     possibly repeated are shuffled; groups are pre-aggregated and stored, and the join that gives
     each row its group's values sends the largest groups' values to every executor.
     """
-    rows = stored(
-        docs.select(
-            F.col(id_col).alias("_id"),
-            F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)).alias("_sha"),
-            F.monotonically_increasing_id().alias("_row"),
-        ),
-        "digests",
+    digests = docs.select(
+        F.col(id_col).alias("_id"),
+        F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)).alias("_sha"),
+        F.monotonically_increasing_id().alias("_row"),
     )
+    deal = F.pmod(F.xxhash64(F.lit(2), "_sha"), F.lit(DEALS)).cast("int")
+    rows = stored(digests.withColumn("_deal", deal).sortWithinPartitions("_deal"), "digests")
     wanted = max(1, rows.count()) * bits_per_row
     rounds = math.ceil(wanted / max_filter_bits)
     blocks = max(1, math.ceil(min(wanted / rounds, max_filter_bits) / BLOCK_BITS))
-    parts = []
+    path = shared_path(docs.sparkSession, "result")
     for i in range(rounds):
-        share = rows if rounds == 1 else rows.where(F.pmod(F.xxhash64(F.lit(2), "_sha"), F.lit(rounds)) == i)
+        low, high = i * DEALS // rounds, (i + 1) * DEALS // rounds
+        share = rows if rounds == 1 else rows.where(F.col("_deal").between(low, high - 1))
         single, maybe = _share(share, blocks)
         last = F.max(F.struct(F.col("_id").isNotNull(), "_id", "_row")).alias("_last")
         groups = stored(maybe.groupBy("_sha").agg(F.count(F.lit(1)).alias("_n"), last), "groups")
         grouped = frequency_join(maybe, groups.withColumn("_size", F.col("_n")), ["_sha"], "_n", max_frequent)
-        parts.append(_result(single, F.col("_id"), F.lit(1), F.lit(True), id_col))
-        parts.append(_result(grouped, F.col("_last._id"), F.col("_size"), F.col("_row") == F.col("_last._row"), id_col))
-    return reduce(DataFrame.unionByName, parts)
+        part = _result(single, F.col("_id"), F.lit(1), F.lit(True), id_col).unionByName(
+            _result(grouped, F.col("_last._id"), F.col("_size"), F.col("_row") == F.col("_last._row"), id_col)
+        )
+        if rounds == 1:
+            return part
+        part.write.mode("append").parquet(path)
+    return docs.sparkSession.read.schema(part.schema).parquet(path)
 
 
 def _result(df: DataFrame, keep: Column, size: Column, kept: Column, id_col: str) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import helpers
+from pairtables.llm import exact_dedup as exact
 from pairtables.llm.components import components
 from pairtables.llm.exact_dedup import exact_dedup
 from pairtables.llm.line_dedup import remove_shared_lines
@@ -28,6 +29,25 @@ def test_exact_dedup_ties_nulls_and_rounds(spark):
     assert exact_dedup(docs.limit(0)).count() == 0
 
 
+def test_exact_dedup_of_many_rounds_reads_its_own_share(spark, monkeypatch):
+    rows = [(i, f"text {i % 900}", "s") for i in range(1000)] + [(5000, "long " * 300_000, "s"), (5001, "long " * 300_000, "s")]
+    shares, share = [], exact._share
+
+    def seen(rows, blocks):
+        shares.append(rows)
+        return share(rows, blocks)
+
+    monkeypatch.setattr(exact, "_share", seen)
+    got = exact_dedup(helpers.frame(spark, rows), max_filter_bits=32_768, bits_per_row=32 * 64)
+    assert len(shares) == 63
+    assert {r.doc_id: (r.keep_id, r.group_size) for r in got.collect()} == {
+        i: (i % 900 + 900 * (i % 900 < 100), 1 + (i % 900 < 100)) for i in range(1000)
+    } | {5000: (5001, 2), 5001: (5001, 2)}
+    plan = shares[7]._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(_deal), GreaterThanOrEqual(_deal," in plan and "Exchange" not in plan
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def test_exact_dedup_passes_single_rows_by(spark):
     from pairtables.llm.exact_dedup import _share
 
