@@ -5,12 +5,15 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pairtables.llm.common import lower_ascii
 
 #: A rule index below both bounds is broadcast; beyond them it is joined by a shuffle.
 MAX_INDEX_ROWS, MAX_INDEX_CHARS = 100_000, 16 * 1024 * 1024
+#: Rules without literals, which are run on every url.
+MAX_ALWAYS = 1_000
+RULES = "rule string, action string, pattern string, named boolean, literals array<string>"
 
 
 @dataclass(frozen=True)
@@ -54,11 +57,10 @@ NAMED_RULES = (
 GENERAL_RULES = tuple(
     _word_rule(w)
     for w in (
-        "adult", "bet", "bets", "betting", "casino", "cheap", "coupon", "escort", "farm", "gambling",
+        "adult", "bet", "bets", "betting", "casino", "coupon", "escort", "gambling",
         "hookup", "jackpot", "lottery", "payday", "pills", "poker", "porn", "replica", "sex",
         "slots", "spam", "torrent", "viagra", "warez", "xxx",
     )
-    if w not in ("farm", "cheap")
 )
 
 
@@ -74,34 +76,61 @@ def _tokens(target: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(lower_ascii(target), F.lit("[a-z0-9]+"), F.lit(0)))
 
 
-def judge_urls(urls: DataFrame, rules: tuple[Rule, ...], default: str = "allow") -> DataFrame:
+def rules_table(spark: SparkSession, rules: tuple[Rule, ...]) -> DataFrame:
+    """Rules as a table."""
+    return spark.createDataFrame([(r.name, r.action, r.pattern, r.named, list(r.literals)) for r in rules], RULES)
+
+
+def prefix_rules(lists: DataFrame) -> DataFrame:
+    """The same as ``prefix_rule`` for every row of a block or allow list with ``host``, ``path`` and
+    ``action``, which may have millions of rows; rows with a null among them are no rules, a host is
+    taken in lower case, an empty path is the whole host, and of equal rules blocks win."""
+    host, path = lower_ascii(F.col("host")), F.when(F.col("path") == "", "/").otherwise(F.col("path"))
+    known = lists.where("host is not null and path is not null and action is not null")
+    known = known.select(F.concat(host, path).alias("rule"), host.alias("_host"), path.alias("_path"), "action")
+    known = known.groupBy("rule", "_host", "_path").agg(F.max("action").alias("action"))
+    # A quotation ends at the first \E, so one in the text is written outside.
+    quoted = F.concat(F.lit(r"\Q"), F.replace("rule", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    ends = F.concat("_host", F.regexp_extract("_path", "(?s)^.*/", 0))
+    return known.select(
+        "rule", "action", F.concat(F.lit(r"^(?:[^/]*\.)?"), quoted).alias("pattern"), F.lit(True).alias("named"),
+        _tokens(ends).alias("literals"),
+    )
+
+
+def judge_urls(urls: DataFrame, rules: tuple[Rule, ...] | DataFrame, default: str = "allow") -> DataFrame:
     """``url``, ``host``, ``path``, ``rule``, ``verdict`` for each distinct url; null is a url.
 
     ``rule`` is the name of the winning rule where that is a named one; the verdict is the
-    winning rule's, or ``default``. An empty table gives no rows.
+    winning rule's, or ``default``. An empty table gives no rows. Rules are a tuple, or a table
+    (columns of ``RULES``) whose index is broadcast below a size and joined by a shuffle beyond it;
+    at most ``MAX_ALWAYS`` of them may be without literals.
     """
     spark = urls.sparkSession
+    table = rules if isinstance(rules, DataFrame) else rules_table(spark, rules)
+    literal = F.coalesce(F.size("literals"), F.lit(0)) > 0
+    always = table.where(~literal).drop("literals").limit(MAX_ALWAYS + 1).collect()
+    if len(always) > MAX_ALWAYS:
+        raise ValueError(f"more than {MAX_ALWAYS} rules have no literals")
+    small = _is_small(table)
     host, path = split_url(F.col("url"))
     sites = urls.select("url").distinct().select("url", host.alias("host"), path.alias("path"))
     sites = sites.withColumn("_target", F.concat("host", "path"))
-    schema = "rule string, action string, pattern string, named boolean, literals array<string>"
-    table = spark.createDataFrame([(r.name, r.action, r.pattern, r.named, list(r.literals)) for r in rules], schema)
     tokens = sites.select("url", "host", "path", "_target", F.explode(_tokens(F.col("_target"))).alias("token"))
     # How often a token that some rule names is in the urls; the rarest one indexes the rule.
     literals = table.select("rule", F.explode("literals").alias("token"))
     wanted = literals.select("token").distinct()
-    used = tokens.join(_bounded(wanted, rules), "token").groupBy("token").count()
+    used = tokens.join(F.broadcast(wanted) if small else wanted, "token").groupBy("token").count()
     rank = Window.partitionBy("rule").orderBy(F.coalesce("count", F.lit(0)), "token")
     rarest = (
         literals.join(used, "token", "left").withColumn("_rank", F.row_number().over(rank)).where("_rank = 1")
         .select("rule", "token")
     )
     index = table.drop("literals").join(rarest, "rule")
-    fetched = tokens.join(_bounded(index, rules), "token").drop("token")
-    for r in rules:
-        if not r.literals:
-            always = sites.select("*", *[F.lit(v).alias(k) for k, v in (("rule", r.name), ("action", r.action))])
-            fetched = fetched.unionByName(always.withColumns({"pattern": F.lit(r.pattern), "named": F.lit(r.named)}))
+    fetched = tokens.join(F.broadcast(index) if small else index, "token").drop("token")
+    for r in always:
+        every = sites.select("*", *[F.lit(r[k]).alias(k) for k in ("rule", "action", "pattern", "named")])
+        fetched = fetched.unionByName(every)
     best = F.max(
         F.struct(
             F.col("named"), F.length("rule").alias("length"), (F.col("action") == "block").alias("blocks"),
@@ -119,13 +148,14 @@ def judge_urls(urls: DataFrame, rules: tuple[Rule, ...], default: str = "allow")
     )
 
 
-def _bounded(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    chars = sum(len(r.name) + len(r.pattern) + sum(map(len, r.literals)) for r in rules)
-    small = len(rules) <= MAX_INDEX_ROWS and chars <= MAX_INDEX_CHARS
-    return F.broadcast(index) if small else index
+def _is_small(table: DataFrame) -> bool:
+    """Whether the index, one row per rule, may go to every executor."""
+    chars = F.length("rule") + F.length("pattern") + F.length(F.array_join("literals", " "))
+    size = table.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(chars), F.lit(0)).alias("chars")).first()
+    return size["n"] <= MAX_INDEX_ROWS and size["chars"] <= MAX_INDEX_CHARS
 
 
-def judge_pages(pages: DataFrame, rules: tuple[Rule, ...], default: str = "allow") -> DataFrame:
+def judge_pages(pages: DataFrame, rules: tuple[Rule, ...] | DataFrame, default: str = "allow") -> DataFrame:
     """One row per page: ``page_id``, ``host``, ``path``, ``rule``, ``verdict``.
 
     Each distinct url is judged once; pages are joined to it, and a url that a third of the

@@ -66,6 +66,30 @@ def test_url_rules(spark):
     assert ur.judge_pages(pages.limit(0), rules).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_url_rules_of_a_table(spark, monkeypatch, most):
+    monkeypatch.setattr(ur, "MAX_INDEX_ROWS", most)
+    lists = [("Org", "/", "allow"), ("example.org", "/a\\Eb.c/", "block"), ("x.com", "", "block"), ("x.com", "/ok", "allow"),
+             ("..", "/-", "block"), ("org", "/", "allow"), (None, "/", "block"), ("y.com", None, "block")]
+    lists += [(f"h{i}.net", "/", "block") for i in range(300)]
+    table = ur.prefix_rules(spark.createDataFrame(lists, "host string, path string, action string"))
+    assert table.count() == 305
+    plain = tuple(ur.prefix_rule(h.lower(), p or "/", a) for h, p, a in lists if h and p is not None)
+    urls = ["http://a.ORG/q", "http://example.org/a\\Eb.c/1", "http://example.org/a\\Ebxc/1", "http://sub.x.com/", "http://x.com/okay",
+            "http://xx.com/", "http://h7.net/z", "http://a.h299.net/", "http://h300.net/", "http://../-", None, "z" * 300_000, "http://h1.net/" + "a/" * 100_000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in ur.judge_pages(pages, table).collect()}
+    assert got == {i: _plain_verdict(u, plain, "allow") for i, u in enumerate(urls)}
+
+
+def test_url_rules_without_literals_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(ur, "MAX_ALWAYS", 2)
+    pages = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
+    with pytest.raises(ValueError, match="no literals"):
+        ur.judge_pages(pages, tuple(ur.Rule(str(i), "block", "x") for i in range(3)))
+    assert ur.judge_pages(pages, ur.rules_table(spark, ())).first()["verdict"] == "allow"
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><article>";</script></head>
 <body class="page ad-free"><nav><ul><li><a href="/">Home</a><li>Other</ul></nav><header>Top</header><!-- x > y --><div class="ad">Buy</div>
 <article><h1>A &amp; B&copy;</h1><p>One <b>bold</b>,
