@@ -52,14 +52,13 @@ def fill_answers(
     done: DataFrame | None = None,
     batch_size: int = fixed.BATCH_SIZE,
     key: str = "record_id",
+    **calls,
 ) -> DataFrame:
     """Rows not done yet, with their answers filled in and their settings stamped.
 
-    Answers are written to ``path`` before they are joined, so a lost executor does not
-    make the models answer again for what is already stored.
+    Answers are stored below ``path`` chunk by chunk before they are joined. A second run with
+    the same path, after an interruption or with more rows, asks for what has no answer there.
     """
     rest = df if done is None else pending_rows(df, done, key)
-    answers = request_answers(rest, models, batch_size, key)
-    answers.write.mode("errorifexists").parquet(path)
-    stored = df.sparkSession.read.schema(answers.schema).parquet(path)
-    return stamp_settings(fill_missing(rest, stored, PROVIDERS, key))
+    answers = request_answers(rest, models, batch_size, key, path, **calls)
+    return stamp_settings(fill_missing(rest, answers, PROVIDERS, key))

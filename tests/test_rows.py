@@ -340,6 +340,24 @@ def test_fill_answers_end_to_end(spark, tmp_path):
     }
 
 
+def test_filling_goes_on_where_it_stopped(spark, tmp_path):
+    log = str(tmp_path / "log")
+
+    def logged(prompts):
+        with open(log, "a") as f:
+            f.write("".join(f"{p}\n" for p in prompts))
+        return flaky(prompts)
+
+    models, path = {"gpt_output": logged, "gemini_output": logged}, str(tmp_path / "answers")
+    df = dual(spark).unionByName(spark.createDataFrame([(6, "bad", "x", None)], dual(spark).schema))
+    fill_answers(df.where("record_id < 2"), models, path, in_flight=5, seconds=30.0)
+    first = len(open(log).read().splitlines())
+    rows = sorted(map(repr, fill_answers(df, models, path, in_flight=5, seconds=30.0).collect()))
+    asked = open(log).read().splitlines()
+    assert first and len(asked) > first and len(set(asked)) == len(asked)
+    assert rows == sorted(map(repr, fill_answers(df, models, str(tmp_path / "again")).collect()))
+
+
 # Records
 
 
