@@ -211,3 +211,15 @@ def test_components_of_a_chain(spark):
     got = {r.node: r.component for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 200: 100}
     assert components(edges.limit(0)).count() == 0
+
+
+def test_ngram_groups_of_very_long_texts(spark):
+    rnd = random.Random(8)
+    long = [rnd.choice("abcdefghij") + str(rnd.randrange(5000)) for _ in range(150_000)]
+    near, far = long[:], [w if k % 20 else "other" for k, w in enumerate(long)]
+    for k in range(0, 150_000, 3000):
+        near[k] = "changed"
+    docs = helpers.frame(spark, [(3, " ".join(near), "s"), (1, " ".join(long), "s"), (2, " ".join(far), "s"), (4, "x" * 900_000, "s")])
+    got = {r._id: (r.n_shingles, r.component_id) for r in ngram_groups(docs).collect()}
+    sizes = {i: len(helpers.shingles(t, 3)) for i, t in ((1, " ".join(long)), (2, " ".join(far)), (3, " ".join(near)))}
+    assert got == {1: (sizes[1], 1), 3: (sizes[3], 1), 2: (sizes[2], 2), 4: (1, 4)}

@@ -122,6 +122,18 @@ def test_mix_meets_targets_and_repeats_itself(spark):
     assert mixing.mix_sources(docs.limit(0)).count() == 0
 
 
+def test_mix_of_very_long_texts(spark):
+    """One document holds most words of its source; another source has a single one."""
+    rows = [(1, "w " * 300_000, "a"), (2, "x" * 500_000, "a"), (3, "\u3000v\x0b" * 100_000, "b")]
+    rows += [(10 + i, "w " * (i % 40), "a") for i in range(400)]
+    got = {r.doc_id: r for r in mixing.mix_sources(helpers.frame(spark, rows)).collect()}
+    assert (got[1].size, got[2].size, got[3].size) == (300_000, 1, 100_000) and len(got) == len(rows)
+    for ids in ([i for i in got if i != 3], [3]):
+        taken, target = sum(got[i].taken for i in ids), got[ids[0]].target
+        assert all(got[i].target == target and got[i].taken in range(0, 3 * got[i].size + 1) for i in ids)
+        assert abs(taken - target) <= max(got[i].size for i in ids)
+
+
 def test_rates_are_tilted_exponentially(spark):
     counts = spark.createDataFrame([("a", 10, 5), ("a", 30, 3), ("a", 0, 2), ("b", 4, 1)], "source string, size long, n long")
     targets = spark.createDataFrame([("a", 140, 100.0), ("b", 4, 12.0)], "source string, source_size long, target double")

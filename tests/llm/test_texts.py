@@ -35,6 +35,13 @@ def test_chats_round_trip(spark):
     assert cf.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+def test_chats_of_very_long_texts(spark):
+    long = "".join(NASTY) * 20_000 + "x" * 1_000_000
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", long), (1, 2, "assistant", None), (1, 3, "user" * 9_000, long)]
+    got = cf.read_chats(cf.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).first()
+    assert [tuple(t) for t in got.turns] == [(r[2], r[3] or "") for r in rows] and got.loss_text == long
+
+
 def test_chat_plan_has_no_python(spark, sf_small):
     plan = cf.op5_chat_format(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
@@ -228,6 +235,15 @@ def test_decontamination(spark):
     assert dc.decontaminate(df, bench.limit(0)).count() == len(docs)
 
 
+def test_decontamination_of_a_very_long_text(spark):
+    words = [f"v{i * i % 7919}" for i in range(200_000)]
+    item = [f"item{i}" for i in range(20)]
+    docs = [(1, " ".join(words), "s"), (2, " ".join(words[:150_000] + item[:9] + ["x"] + item[10:] + words[150_000:]), "s"), (3, "y" * 800_000, "s")]
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, "z" * 300_000)], "item_id long, text string")
+    got = dc.contaminated(helpers.frame(spark, docs), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(2, 7)}
+
+
 def test_decontamination_of_short_and_spaceless_items(spark):
     short = "水の沸点は何度ですか"
     items = [(1, "Who wrote Hamlet?"), (2, "这个问题的答案是什么以及为什么如此"), (3, "?!"), (4, "who"), (5, short[:4]), (6, None)]
