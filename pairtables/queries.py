@@ -643,6 +643,8 @@ def o49_cap_per_topic(spark, sf_dir):
 
 #: Files per micro-batch: a few micro-batches at any size of the samples.
 MAX_FILES = 50
+#: Where that would make more micro-batches than this, they take more files each.
+MAX_BATCHES = 10
 
 
 @query
@@ -678,7 +680,7 @@ def o51_progress_stream(spark, sf_dir):
     root = _sharded(spark, sf_dir)
     schema = T.StructType([*DUAL_FIELDS, T.StructField("shard", T.StringType())])
     sink, checkpoint = shared_path(spark, "progress"), shared_path(spark, "checkpoint")
-    stream = shards.shard_stream(spark, root, schema, max_files=MAX_FILES)
+    stream = shards.shard_stream(spark, root, schema, max_files=MAX_FILES, max_batches=MAX_BATCHES)
     shards.progress_stream(stream, sink, checkpoint, ["shard"])
     return shards.latest_progress(spark, sink)
 

@@ -26,16 +26,30 @@ def shard_stream(
     schema: T.StructType,
     files: str | None = None,
     max_files: int | None = None,
+    max_batches: int | None = None,
 ) -> DataFrame:
-    """Shards under a path as a stream of files; ``files`` is a pattern of file names."""
+    """Shards under a path as a stream of files; ``files`` is a pattern of file names.
+
+    A micro-batch costs a round of tasks over all partitions of the state, however few its files
+    are. So with ``max_batches`` it takes more files than ``max_files`` where the path holds so many
+    that they would make more micro-batches than that: rounds do not grow with the files.
+    """
     reader = spark.readStream.schema(schema)
     if files:
         reader = reader.option("pathGlobFilter", files)
+    if max_files and max_batches:
+        max_files = max(max_files, -(-_n_files(spark, src) // max_batches))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(src)
 
 
+def _n_files(spark: SparkSession, path: str) -> int:
+    """How many files lie below a path, by their names alone."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getFileCount()
+
+
 def ingest_stream(stream: DataFrame, sink: str, checkpoint: str, key: str = "record_id") -> None:
     """Take in all shards that have not been seen, each row once; return when none is left.
 

@@ -129,3 +129,23 @@ def test_progress_writes_changed_groups_only(spark, tmp_path):
     assert all("merged/batch_id=2" in f or "changes/batch_id=3" in f for f in files) or "PartitionFilters" in str(
         shards.latest_progress(spark, sink)._jdf.queryExecution().executedPlan()
     )
+
+
+def test_more_files_make_no_more_micro_batches(spark, tmp_path):
+    import os
+
+    src = str(tmp_path / "src")
+    tables.write_shards(rows(spark, range(60)), src, batch_size=2)
+
+    def run(name, **limits):
+        checkpoint = str(tmp_path / f"checkpoint-{name}")
+        stream = shards.shard_stream(spark, src, WITH_SHARD, max_files=4, **limits)
+        shards.progress_stream(stream, str(tmp_path / name), checkpoint, ["shard"])
+        counts = shards.latest_progress(spark, str(tmp_path / name))
+        done = [n for n in os.listdir(f"{checkpoint}/commits") if n.isdigit()]
+        return len(done), sorted(map(tuple, counts.collect()))
+
+    many, expected = run("many")
+    few, found = run("few", max_batches=3)
+    assert (many, few) == (8, 3) and found == expected and len(found) == 30
+    assert run("least", max_batches=100)[0] == 8  # micro-batches of few files are not cut smaller
