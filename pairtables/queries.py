@@ -644,7 +644,7 @@ def o49_cap_per_topic(spark, sf_dir):
 #: Files per micro-batch: a few micro-batches at any size of the samples.
 MAX_FILES = 50
 #: Where that would make more micro-batches than this, they take more files each.
-MAX_BATCHES = 10
+MAX_BATCHES = 4
 
 
 @query
@@ -671,7 +671,8 @@ def o50_ingest_shards(spark, sf_dir):
     schema = T.StructType([*rows.drop("shard").schema.fields, rows.schema["shard"]])
     for part in (rows.where(half), rows):
         part.repartition("shard").write.mode("append").partitionBy("shard").parquet(source)
-        shards.ingest_shards(shards.shard_stream(spark, source, schema, max_files=MAX_FILES), sink, checkpoint)
+        arrived = shards.shard_stream(spark, source, schema, max_files=MAX_FILES, max_batches=MAX_BATCHES)
+        shards.ingest_shards(arrived, sink, checkpoint)
     return tables.read_dataset(spark, sink, schema).drop("run", "batch_id")
 
 

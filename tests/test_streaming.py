@@ -149,3 +149,14 @@ def test_more_files_make_no_more_micro_batches(spark, tmp_path):
     few, found = run("few", max_batches=3)
     assert (many, few) == (8, 3) and found == expected and len(found) == 30
     assert run("least", max_batches=100)[0] == 8  # micro-batches of few files are not cut smaller
+
+
+def test_many_shards_are_ingested_in_few_micro_batches(spark, tmp_path):
+    import os
+
+    src, sink, checkpoint = (str(tmp_path / n) for n in ("src", "sink", "checkpoint"))
+    shard_rows(spark, range(60), 2).coalesce(1).write.partitionBy("shard").parquet(src)
+    stream = shards.shard_stream(spark, src, WITH_SHARD, max_files=4, max_batches=2)
+    shards.ingest_shards(stream, sink, checkpoint)
+    assert len([n for n in os.listdir(f"{checkpoint}/commits") if n.isdigit()]) == 2
+    assert stored(spark, sink) == list(range(60))
