@@ -11,7 +11,8 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F, types as T
 
 from pairtables import fixed_values as fixed
@@ -19,6 +20,21 @@ from pairtables import fixed_values as fixed
 _words = re.compile(fixed.TOKEN_PATTERN).findall
 #: Rows whose n-grams are counted together: their arrays stay in the processor's cache.
 _ROWS = 50
+#: Bytes of text whose words are held at once; a longer pair of texts is compared by itself, whole.
+_BYTES = 1 << 20
+
+
+def pieces(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Start and end of stretches of a batch, bounded by rows and bytes: words take many times
+    the memory of their text, so those of a whole batch are never held."""
+    start = 0
+    while start < len(sizes):
+        stop, size = start, 0
+        while stop < len(sizes) and stop < start + _ROWS and (stop == start or size + sizes[stop] <= _BYTES):
+            size += sizes[stop]
+            stop += 1
+        yield start, stop
+        start = stop
 
 
 def ngram_overlaps(lefts: list[list[str]], rights: list[list[str]], max_n: int) -> np.ndarray:
@@ -71,6 +87,21 @@ def lcs_length(a: list[str], b: list[str]) -> int:
     return head + tail + len(a) - open_bits.bit_count()
 
 
+def batch_counts(left: pa.Array, right: pa.Array, max_n: int = 0, lcs: bool = False) -> np.ndarray:
+    """Row by row the counts of :func:`overlap_counts`, from the texts of a batch."""
+    counts = np.zeros((len(left), 2 + max_n + lcs), dtype=np.int64)
+    sizes = pc.add(pc.binary_length(left), pc.binary_length(right)).to_pylist()
+    for start, stop in pieces(sizes):
+        lefts, rights = ([_words(x) for x in side[start:stop].to_pylist()] for side in (left, right))
+        part = counts[start:stop]
+        part[:, 0], part[:, 1] = [len(x) for x in lefts], [len(x) for x in rights]
+        if max_n:
+            part[:, 2 : 2 + max_n] = ngram_overlaps(lefts, rights, max_n)
+        if lcs:
+            part[:, -1] = [lcs_length(a, b) for a, b in zip(lefts, rights)]
+    return counts
+
+
 def overlap_counts(targets: Column, outputs: Column, max_n: int = 0, lcs: bool = False) -> Column:
     """A struct of token counts, shared n-grams for 1..max_n and, on demand, the LCS length.
 
@@ -82,19 +113,11 @@ def overlap_counts(targets: Column, outputs: Column, max_n: int = 0, lcs: bool =
     fields += ["lcs"] if lcs else []
     schema = T.StructType([T.StructField(f, T.LongType()) for f in fields])
 
-    @F.pandas_udf(schema)
-    def compare(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(schema)
+    def compare(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for left, right in batches:
-            lefts, rights = [_words(x) for x in left], [_words(x) for x in right]
-            columns = [[len(x) for x in lefts], [len(x) for x in rights]]
-            if max_n:
-                parts = [
-                    ngram_overlaps(lefts[i : i + _ROWS], rights[i : i + _ROWS], max_n) for i in range(0, len(lefts), _ROWS)
-                ]
-                columns += list(np.concatenate([*parts, np.zeros((0, max_n), dtype=np.int64)]).T)
-            if lcs:
-                columns.append([lcs_length(a, b) for a, b in zip(lefts, rights)])
-            yield pd.DataFrame(dict(zip(fields, columns)))
+            counts = batch_counts(left, right, max_n, lcs)
+            yield pa.StructArray.from_arrays([pa.array(column) for column in counts.T], fields)
 
     known = targets.isNotNull() & outputs.isNotNull()
     counted = compare(

@@ -246,3 +246,30 @@ def test_sample_rows(spark):
     df = spark.range(100).withColumnRenamed("id", "record_id").repartition(7)
     assert [r[0] for r in rp.sample_rows(df).collect()] == [0, 1, 2]
     assert list(itertools.chain(*rp.sample_rows(df, 2).collect())) == [0, 1]
+
+
+def test_words_of_a_whole_batch_are_not_held_at_once():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from pairtables.functions.overlap import batch_counts
+
+    def peak(n_rows):
+        texts = pa.array([" ".join(f"w{i}" for i in range(300))] * n_rows)
+        tracemalloc.start()
+        counts = batch_counts(texts, texts, 2, True)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert counts.tolist() == [[300, 300, 300, 299, 300]] * n_rows
+        return most
+
+    assert peak(2000) < 2 * peak(100)
+
+
+def test_pieces_of_a_batch():
+    from pairtables.functions.overlap import _BYTES, _ROWS, pieces
+
+    assert list(pieces([])) == []
+    assert list(pieces([1] * (_ROWS + 1))) == [(0, _ROWS), (_ROWS, _ROWS + 1)]
+    assert list(pieces([1, 2 * _BYTES, _BYTES, 1])) == [(0, 1), (1, 2), (2, 3), (3, 4)]
