@@ -74,9 +74,11 @@ def subword_ids(path: str, max_len: int | None = None, pattern: str = RANK_PATTE
     def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encode = load_encoder(path, pattern)
         for texts in batches:
-            rows = list(_encoded(encode, texts.tolist()))
-            lists = [np.array(row[:max_len], dtype=np.int32) for row in rows]
-            yield pd.DataFrame({"ids": pd.Series(lists, dtype=object), "n": [len(row) for row in rows]})
+            lists, sizes = [], []
+            for row in _encoded(encode, texts.tolist()):  # lists of all ids of a batch are never held
+                lists.append(np.array(row[:max_len], dtype=np.int32))
+                sizes.append(len(row))
+            yield pd.DataFrame({"ids": pd.Series(lists, dtype=object), "n": pd.Series(sizes, dtype="int64")})
 
     return ids_of
 

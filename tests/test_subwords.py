@@ -70,3 +70,21 @@ def test_training_rows(spark):
     train, test = subword_training_rows(df, "gpt_output", FILES[0], 50_256, max_len=40)
     both = train.unionByName(test)
     assert both.count() == 40 and set(both.select(F.size("input_ids")).distinct().toPandas().iloc[:, 0]) == {40}
+
+
+def test_ids_of_a_whole_batch_are_not_held_at_once():
+    import tracemalloc
+
+    import pandas as pd
+
+    def peak(n_rows):
+        find, texts = subword_ids(FILES[0], 4).func, pd.Series(["one two three four " * 2000] * n_rows)
+        list(find(iter([texts[:1]])))  # the vocabulary is loaded
+        tracemalloc.start()
+        found = pd.concat(find(iter([texts])))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(found) == n_rows and set(map(len, found["ids"])) == {4}
+        return most
+
+    assert peak(400) < 2 * peak(60)
