@@ -22,6 +22,9 @@ _words = re.compile(fixed.TOKEN_PATTERN).findall
 _ROWS = 50
 #: Bytes of text whose words are held at once; a longer pair of texts is compared by itself, whole.
 _BYTES = 1 << 20
+#: Words that one big integer stands for. There is one such integer per distinct word, so without
+#: a bound their memory would grow with the square of a text's length.
+_BITS = 1 << 14
 
 
 def pieces(sizes: list[int]) -> Iterator[tuple[int, int]]:
@@ -66,8 +69,12 @@ def ngram_overlaps(lefts: list[list[str]], rights: list[list[str]], max_n: int)
     return out
 
 
-def lcs_length(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence, one big integer per row of the table."""
+def lcs_length(a: list[str], b: list[str], bits: int = _BITS) -> int:
+    """Length of the longest common subsequence, one big integer per row of the table.
+
+    The table is cut into strips of ``bits`` words of ``a``. What a row's sum carries out of one
+    strip is added to the same row in the next.
+    """
     head = 0
     while head < len(a) and head < len(b) and a[head] == b[head]:
         head += 1
@@ -75,16 +82,30 @@ def lcs_length(a: list[str], b: list[str]) -> int:
     while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
         tail += 1
     a, b = a[head : len(a) - tail], b[head : len(b) - tail]
+    carries = bytearray(len(b)) if len(a) > bits else None
+    return head + tail + sum(_strip(a[i : i + bits], b, carries) for i in range(0, len(a), bits))
+
+
+def _strip(a: list[str], b: list[str], carries: bytearray | None) -> int:
+    """Words that a strip adds to the length; with ``carries``, those of the rows are replaced."""
     where: dict[str, int] = {}
     for i, token in enumerate(a):
         where[token] = where.get(token, 0) | 1 << i
     full = (1 << len(a)) - 1
     open_bits = full
-    for token in b:
-        hits = open_bits & where.get(token, 0)
-        if hits:
-            open_bits = (open_bits + hits | open_bits - hits) & full
-    return head + tail + len(a) - open_bits.bit_count()
+    if carries is None:
+        for token in b:
+            hits = open_bits & where.get(token, 0)
+            if hits:
+                open_bits = (open_bits + hits | open_bits - hits) & full
+    else:
+        for j, token in enumerate(b):
+            hits = open_bits & where.get(token, 0)
+            if hits or carries[j]:
+                total = open_bits + hits + carries[j]
+                carries[j] = total > full
+                open_bits = (total | open_bits - hits) & full
+    return len(a) - open_bits.bit_count()
 
 
 def batch_counts(left: pa.Array, right: pa.Array, max_n: int = 0, lcs: bool = False) -> np.ndarray:

@@ -273,3 +273,22 @@ def test_pieces_of_a_batch():
     assert list(pieces([])) == []
     assert list(pieces([1] * (_ROWS + 1))) == [(0, _ROWS), (_ROWS, _ROWS + 1)]
     assert list(pieces([1, 2 * _BYTES, _BYTES, 1])) == [(0, 1), (1, 2), (2, 3), (3, 4)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(words, words, st.integers(1, 9))
+def test_lcs_in_strips_against_the_table_method(a, b, bits):
+    assert lcs_length(a, b, bits) == slow_lcs(a, b)
+
+
+def test_lcs_memory_does_not_grow_with_the_square_of_a_text():
+    import tracemalloc
+
+    a = [f"w{i}" for i in range(60000)]
+    b = a[30000:] + a[:30000]
+    tracemalloc.start()
+    length = lcs_length(a, b)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert length == 30000
+    assert most < 64 << 20
