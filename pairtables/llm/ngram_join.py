@@ -1,4 +1,4 @@
-"""Documents whose sets of word n-grams are similar: prefix filter, then a prefix-tree join."""
+"""Documents whose sets of word n-grams are similar: keys of buckets, then a prefix-tree join."""
 
 from __future__ import annotations
 
@@ -19,9 +19,9 @@ COMMON_COUNT, COMMON_SHARE, MAX_COMMON = 8, 0.0008, 500_000
 #: Documents before a batch's shingles are counted.
 COUNT_BATCH = 10_000
 #: Small blocks are packed into tasks of about so many members of sets. A block of more than
-#: ``TASK_MEMBERS`` is cut, and its cuts meet in pairs.
+#: ``TASK_MEMBERS`` is cut; its cuts meet the first one, and what that does not link the others.
 PACK_MEMBERS, TASK_MEMBERS = 100_000, 500_000
-#: Up to so many sets are looked for by a broadcast list (some 20 MB); for more, texts are shuffled once.
+#: Up to so many texts are looked for by a broadcast list (some 30 MB); for more, texts are shuffled for it.
 MAX_LISTED = 500_000
 _TOP = np.uint64(1 << 63)
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -97,24 +97,45 @@ def _rows(texts: DataFrame, n: int) -> DataFrame:
     return texts.mapInPandas(run, ", ".join(f"{k} long" for k in names))
 
 
+def _buckets(lack: int) -> int:
+    """The least power of two of which three quarters, rounded up, are more than ``lack``."""
+    buckets = 1
+    while buckets - buckets // 4 <= lack:
+        buckets *= 2
+    return buckets
+
+
 def _keys(ordered: np.ndarray, part: int, whole: int) -> np.ndarray:
-    """Hashes of neighbours in the first part of a set; the one member of a set of one.
-
-    Two linked sets of x and y members lack a and b of each other's, a + b <= (x + y)
-    (1 - s) / (1 + s) for a similarity s of at least a half. Among the first 2 (1 - s) + 3
-    members of both are more shared ones than a + b + 1, so that two of them are neighbours
-    in both sets: linked sets share a key. Sets that share a passage and no more rarely do.
-    Below two thirds small sets may lack such neighbours. There the keys are the single members
-    of the first n - ceil(s n) + 1: linked sets share one of them.
+    """Hashes of the buckets of a set with the most rare members; linked sets share one.
+
+    Two linked sets, the smaller of x members, differ by d <= lack(x) = (whole - part) x / part
+    members. Dealt by hash to B = _buckets(lack(x)) buckets, they have B - d or more buckets in
+    common, for a member spoils one at most. Each set keeps the lack + 1 strongest of its buckets,
+    B - B // 4 at most, and drops fewer than B - d, in an order that a bucket's number and content
+    give: so both keep the strongest of those they have in common. A set is also dealt to the
+    numbers of buckets of the smaller sets that may be linked with it. A key stands for some three
+    to nine shingles at a similarity of nine tenths, so unlike sets rarely share one, however many
+    there are. Below two thirds, where buckets would be empty, the keys are the single members of
+    the first n - ceil(s n) + 1: linked sets share one of them.
     """
-    if 3 * part < 2 * whole:
-        return ordered[: (whole - part) * len(ordered) // whole + 1]
-    if len(ordered) == 1:
-        return ordered
-    first = ordered[: 2 * ((whole - part) * len(ordered) // whole) + 3]
-    keys = (first[:-1] * _MIX[0]) ^ (first[1:] * _MIX[1])
-    keys ^= keys >> np.uint64(31)
-    return keys * _MIX[2]
+    size = len(ordered)
+    if 3 * part < 2 * whole or not size:
+        return ordered[: (whole - part) * size // whole + 1]
+    mixed = (ordered ^ (ordered >> np.uint64(32))) * _MIX[0]
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * _MIX[1]
+    rare, out = ordered < _TOP, []
+    lack, least = (whole - part) * size // part, -(-part * size // whole)
+    buckets, fewest = _buckets(lack), _buckets((whole - part) * least // part)
+    while buckets >= fewest:
+        at = ((mixed >> np.uint64(1)) >> np.uint64(64 - buckets.bit_length())).astype(np.int64)
+        content = np.zeros(buckets, dtype=np.uint64)
+        np.add.at(content, at, mixed)
+        order = np.lexsort((np.bincount(at, minlength=buckets), np.bincount(at[rare], minlength=buckets)))
+        kept = order[-min(lack + 1, buckets - buckets // 4) :]
+        keys = (content[kept] ^ (kept + buckets).astype(np.uint64) * _MIX[2]) * _MIX[0]
+        out.append((keys ^ (keys >> np.uint64(31))) * _MIX[2])
+        buckets //= 2
+    return np.concatenate(out)
 
 
 def _combined(keys: np.ndarray, texts: np.ndarray) -> pd.DataFrame:
@@ -171,29 +192,54 @@ def _blocks(entries: DataFrame, nodes: DataFrame) -> DataFrame:
     return nodes.join(found.withColumnRenamed("node", "_t1"), "_t1").select("node", F.col("component").alias("_block"))
 
 
-def _tasks(blocks: DataFrame, nodes: DataFrame, task_members: int) -> DataFrame:
-    """``node``, ``_part``, ``_task``: small blocks are packed into tasks; a large block is cut
-    by hash, and every two cuts meet in one task."""
-    sized = blocks.join(nodes.select("node", "_n"), "node")
+def _cut(blocks: DataFrame, nodes: DataFrame, task_members: int) -> DataFrame:
+    """The nodes in blocks, with the size of the block, into how many cuts it is dealt and which
+    of them (``_own``) the node is in."""
+    sized = blocks.join(nodes, "node")
     total = sized.groupBy("_block").agg(F.sum("_n").alias("_members"))
-    small = total.where(F.col("_members") <= task_members).agg(F.sum("_members")).first()[0] or 0
-    packs = small // min(PACK_MEMBERS, task_members) + 1
-    sized = sized.join(total, "_block")
     cuts = F.ceil(F.col("_members") / task_members).cast("int")
-    own = F.pmod(F.xxhash64("node"), cuts).cast("int")
-    meets = F.transform(
-        F.filter(F.sequence(F.lit(0), cuts - 1), lambda i: i != own),
-        lambda i: F.struct(F.least(i, own).alias("i"), F.greatest(i, own).alias("j")),
-    )
-    alone = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
-    spread = sized.withColumn("_ij", F.explode(F.when(cuts > 1, meets).otherwise(alone)))
-    part = F.xxhash64("_block", "_ij.i", "_ij.j")
-    return spread.select(
-        "node", part.alias("_part"),
+    return sized.join(total, "_block").select(
+        "node", "_rep", F.col("_t1").alias("_u1"), F.col("_t2").alias("_u2"), "_n", "_block", "_members",
+        cuts.alias("_cuts"), F.pmod(F.xxhash64("node"), cuts).cast("int").alias("_own"),
+    )
+
+
+def _first_tasks(cut: DataFrame, task_members: int) -> DataFrame:
+    """``node``, ``_part``, ``_task``: small blocks are packed into tasks; of a large one, each cut
+    meets the first. A group of like sets is linked by that, and its sets are sent once, those of
+    the first cut apart."""
+    small = cut.where("_cuts = 1").agg(F.sum("_n")).first()[0] or 0
+    packs = small // min(PACK_MEMBERS, task_members) + 1
+    cuts, own = F.col("_cuts"), F.col("_own")
+    meets = F.when(cuts == 1, F.array(own)).when(own == 0, F.sequence(F.lit(1), cuts - 1)).otherwise(F.array(own))
+    part = F.xxhash64("_block", "_meet")
+    return cut.withColumn("_meet", F.explode(meets)).select(
+        "node", "_rep", "_u1", "_u2", part.alias("_part"),
         F.when(cuts > 1, part).otherwise(F.pmod(F.xxhash64("_block"), F.lit(packs))).alias("_task"),
     )
 
 
+def _second_tasks(cut: DataFrame, found: DataFrame, task_members: int) -> DataFrame:
+    """Tasks of the cuts that have not met, from the components found so far. Within the largest
+    component of a block nothing is left to find, so only the sets outside it go to every cut, in
+    as many pieces as they fill; a block that is one component has no more tasks."""
+    named = cut.where("_cuts > 2").join(found, "node", "left").withColumn("_name", F.coalesce("component", "node"))
+    sizes = named.groupBy("_block", "_name").agg(F.sum("_n").alias("_size"))
+    largest = sizes.groupBy("_block").agg(F.max_by("_name", F.struct("_size", "_name")).alias("_largest"))
+    named = named.where("_own > 0").join(largest, "_block").withColumn("_out", F.col("_name") != F.col("_largest"))
+    pieces = named.where("_out").groupBy("_block").agg(F.ceil(F.sum("_n") / task_members).cast("int").alias("_pieces"))
+    named, own = named.join(pieces, "_block"), F.col("_own")
+    piece = F.pmod(F.xxhash64(F.lit(1), "node"), F.col("_pieces")).cast("int")
+    others = F.filter(F.sequence(F.lit(1), F.col("_cuts") - 1), lambda j: F.col("_out") & (j != own))
+    meets = F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("_pieces") - 1), lambda i: F.struct(i.alias("i"), own.alias("j"))),
+        F.transform(others, lambda j: F.struct(piece.alias("i"), j.alias("j"))),
+    )
+    part = F.xxhash64("_block", "_meet.i", "_meet.j")
+    spread = named.withColumn("_meet", F.explode(meets))
+    return spread.select("node", "_rep", "_u1", "_u2", part.alias("_part"), part.alias("_task"))
+
+
 def ngram_groups(
     docs: DataFrame, n: int = 3, part: int = 90, whole: int = 100, id_col: str = "doc_id", text_col: str = "text",
     task_members: int = TASK_MEMBERS,
@@ -207,10 +253,10 @@ def ngram_groups(
     ``part`` * union are linked; empty sets and null texts are alone (equal null ids with no
     words stay null). Ids are integers. An empty table gives no rows.
 
-    Equal texts are one node. Each node sends keys of the first part of its ordered set; common
-    shingles (a list of bounded size, gathered from all documents) are last in the
-    order, so their groups are met only by sets that hold little else. Whole sets are sent
-    once, to the task of their block, unless one block holds more than ``task_members``.
+    Equal texts are one node. Each node sends keys, that hold some rare shingles each; common
+    shingles (a list of bounded size, gathered from all documents) count least in their choice and
+    are last in the order of the tree. Only texts that share a key are moved, once, to the task of
+    their block, unless one block holds more than ``task_members``.
     """
     if not 2 * part >= whole >= part:
         raise ValueError("the similarity must be between a half and one")
@@ -223,33 +269,29 @@ def ngram_groups(
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     sent = docs.sparkSession.sparkContext.broadcast(_read_common(rows))
     blocks = stored(_blocks(_prefixes(texts, n, part, whole, sent), nodes), "blocks")
-    tasks = stored(_tasks(blocks, nodes, task_members), "tasks")
-    wanted = nodes.join(blocks.select("node"), "node").select(
-        F.col("node"), F.col("_rep"), F.col("_t1").alias("_u1"), F.col("_t2").alias("_u2")
-    )
-    wanted = F.broadcast(wanted) if blocks.count() <= MAX_LISTED else wanted
+    cut = stored(_cut(blocks, nodes, task_members), "cuts")
     one = (F.col("_t1") == F.col("_u1")) & (F.col("_t2") == F.col("_u2")) & F.col("_id").eqNullSafe(F.col("_rep"))
 
-    def whole_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles, (common, rank) = Shingler(n), sent.value
-        for b in batches:
-            for start in range(0, len(b), 500):
-                rows = b[start : start + 500]
-                sets = [_ordered(shingles(t), common, rank).tobytes() for t in rows["_text"]]
-                yield pd.DataFrame({"node": rows["node"], "_set": sets})
-
-    sets = texts.join(wanted, one).select("node", "_text").mapInPandas(whole_sets, "node long, _set binary")
-
     def join(group: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out, shingles, (common, rank) = [], Shingler(n), sent.value
         for _, block in group.drop_duplicates(["_part", "node"]).groupby("_part"):
             ids = block["node"].tolist()
-            own = [np.frombuffer(s, dtype=np.uint64) for s in block["_set"]]
+            own = [_ordered(shingles(t), common, rank) for t in block["_text"]]
             out += [(min(ids[a], ids[b]), max(ids[a], ids[b])) for a, b in links(own, part, whole)]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    edges = tasks.join(sets, "node").groupBy("_task").applyInPandas(join, "a long, b long")
+    def linked(tasks: DataFrame) -> DataFrame:
+        """The links that the tasks find. Texts take less room than their sets of hashes; the list
+        of tasks is broadcast or hashed, so texts are not sorted for the join."""
+        tasks = stored(tasks, "tasks")
+        tasks = F.broadcast(tasks) if tasks.count() <= MAX_LISTED else tasks.hint("shuffle_hash")
+        sent_on = texts.join(tasks, one).select("node", "_part", "_task", "_text")
+        return stored(sent_on.groupBy("_task").applyInPandas(join, "a long, b long"), "links")
+
+    edges = linked(_first_tasks(cut, task_members))
     found = components(edges)
+    if not cut.where("_cuts > 2").isEmpty():
+        found = components(edges.unionByName(linked(_second_tasks(cut, found, task_members))))
     member = nodes.join(found, "node").select("_t1", "_t2", "component", "_rep")
     least = member.groupBy("component").agg(F.min("_rep").alias("_least"))
     member = stored(member.join(least, "component").select("_t1", "_t2", "_least", "component"), "members")

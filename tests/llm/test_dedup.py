@@ -11,6 +11,7 @@ from pairtables.llm import exact_dedup as exact
 from pairtables.llm.components import components
 from pairtables.llm.exact_dedup import exact_dedup
 from pairtables.llm.line_dedup import remove_shared_lines
+from pairtables.llm import ngram_join as near
 from pairtables.llm.ngram_join import _keys, ngram_groups, one_per_group
 from pairtables.llm.trie import links
 
@@ -198,6 +199,52 @@ def test_linked_sets_share_a_key(part):
         assert 100 * same < part * (len(a) + len(b) - same) or ka & kb, (a, b)
 
 
+def test_unlike_texts_with_common_passages_share_no_key():
+    """However many such texts there are, those without a like one are not moved."""
+    rnd, words = random.Random(3), [f"w{i}" for i in range(2000)]
+    passages = [" ".join(rnd.choices(words, k=12)) for _ in range(200)]
+    texts = [" ".join(f"{rnd.choice(passages)} {' '.join(rnd.choices(words, k=6))}" for _ in range(12)) for _ in range(400)]
+    shingles, none, seen = near.Shingler(3), np.zeros(0, dtype=np.uint64), {}
+    for i, t in enumerate(texts):
+        for k in _keys(near._ordered(shingles(t), none, none), 90, 100).tolist():
+            seen.setdefault(k, set()).add(i)
+    met = set().union(*(x for x in seen.values() if len(x) > 1))
+    assert len(met) < 20
+
+
+@pytest.mark.parametrize("loose", [0, 12])
+def test_texts_of_a_large_block_are_sent_a_few_times(spark, monkeypatch, loose):
+    """A group of like texts in 20 cuts, alone or in one block with texts that are not linked."""
+    rnd, words, sent, put = random.Random(9), [f"w{i}" for i in range(900)], [], near.stored
+
+    def stored(df, name):
+        out = put(df, name)
+        if name == "tasks":
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(near, "stored", stored)
+    monkeypatch.setattr(near, "_keys", lambda ordered, part, whole: np.ones(1, dtype=np.uint64))
+    base, rows = rnd.choices(words, k=100), []
+    for i in range(80):
+        text = base[:]
+        text[rnd.choice([0, 99])] = f"own{i}"
+        rows.append((i, " ".join(text)))
+    for i in range(loose):
+        text = rnd.choices(words, k=100)
+        rows += [(200 + 2 * i + k, " ".join([*text, *("more" for _ in range(k))])) for k in (0, 1)]
+    got = ngram_groups(helpers.frame(spark, [(i, t, "s") for i, t in rows]), task_members=98 * len(rows) // 20 + 1)
+    assert {r._id: (r.n_shingles, r.component_id) for r in got.collect()} == helpers.groups(rows, 3, 90, 100)
+    assert sum(sent) <= (3 if not loose else 12) * len(rows)
+
+
+@pytest.mark.parametrize("n, part, seed, task", [(3, 90, 11, 150), (5, 80, 12, 250), (1, 67, 13, 150), (3, 100, 14, 200)])
+def test_ngram_groups_in_many_cuts_are_those_of_all_pairs(spark, n, part, seed, task):
+    rows = _family(seed)
+    got = ngram_groups(helpers.frame(spark, [(i, t, "s") for i, t in rows]), n=n, part=part, task_members=task)
+    assert {r._id: (r.n_shingles, r.component_id) for r in got.collect()} == helpers.groups(rows, n, part, 100)
+
+
 def test_components_that_do_not_end_are_an_error(spark, monkeypatch):
     from pairtables.llm import components as module
 
